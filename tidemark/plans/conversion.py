@@ -23,7 +23,7 @@ CONVERTED = [
 ]
 
 
-def _item_id():
+def item_id():
     return F.concat(F.col("category"), F.col("subcat").cast("string")).alias("item_id")
 
 
@@ -46,7 +46,7 @@ def sales_sums_by_pairs(
     """The sums below, by making every pair: the plain composition, to check the other against."""
     return sliding_sum(
         converted_orders(orders, rates, width, ts), ["category", "subcat"], ts, size, slide, "res"
-    ).select(_item_id(), "window_end", "allsum")
+    ).select(item_id(), "window_end", "allsum")
 
 
 def sales_sums(
@@ -78,7 +78,7 @@ def sales_sums(
         "category", "subcat", "pane", (F.col("amounts") * F.col("rates")).alias("allsum")
     )
     return panes_to_windows(per_pane, ["category", "subcat"], "pane", size, slide, ["allsum"]).select(
-        _item_id(), "window_end", "allsum"
+        item_id(), "window_end", "allsum"
     )
 
 

@@ -18,6 +18,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # A query over several streams goes by the slowest of their watermarks.
+    "spark.sql.streaming.multipleWatermarkPolicy": "min",
 }
 
 # For streams with large keyed state.
