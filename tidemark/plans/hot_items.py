@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.durations import Duration
@@ -16,8 +16,12 @@ VIEWS_SLIDE = "5 minutes"
 VIEWS_TOP = 3
 
 
+def is_page_view() -> Column:
+    return F.col("behavior") == "pv"
+
+
 def page_views(behavior: DataFrame) -> DataFrame:
-    return behavior.where(F.col("behavior") == "pv")
+    return behavior.where(is_page_view())
 
 
 def item_views(

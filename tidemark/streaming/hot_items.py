@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.durations import Duration
-from tidemark.plans.hot_items import VIEWS_SIZE, VIEWS_SLIDE, page_views
-from tidemark.streaming.watermarks import ASCENDING_DELAY, with_delay
+from tidemark.plans.hot_items import VIEWS_SIZE, VIEWS_SLIDE, is_page_view
+from tidemark.streaming.watermarks import ASCENDING_DELAY, keeping_the_clock, with_delay
 from tidemark.streaming.windows import window_agg, window_end
 
 
@@ -15,8 +15,12 @@ def item_views(
     behavior: DataFrame, size: Duration = VIEWS_SIZE, slide: Duration = VIEWS_SLIDE,
     delay: Duration = ASCENDING_DELAY, ts: str = "ts",
 ) -> DataFrame:
-    """``item_id, window_end, view_count``. The watermark follows all rows, the count only views."""
-    views = page_views(with_delay(behavior, ts, delay))
+    """``item_id, window_end, view_count``. The watermark follows all rows, the count only views.
+
+    Rows are added to their windows one by one, not by pane: a late row still counts in those of
+    its windows that are open.
+    """
+    views = with_delay(behavior, ts, delay).where(keeping_the_clock(is_page_view()))
     return window_end(
         window_agg(views, ["item_id"], ts, size, slide, F.count(F.lit(1)).alias("view_count"))
     )
