@@ -8,7 +8,10 @@ from pyspark.sql import functions as F
 from tests.feeds import rows, run, write_batches
 from tidemark.functions import codecs
 from tidemark.functions.durations import common_pane, micros
-from tidemark.functions.eventtime import epoch_millis, epoch_seconds, from_epoch_millis, from_epoch_seconds, pane_start
+from pyspark.sql.types import TimestampType
+from tidemark.functions.eventtime import (
+    as_time, epoch_millis, epoch_seconds, from_epoch_millis, from_epoch_seconds, pane_of,
+)
 from tidemark.sources.feeds import csv_records, csv_twice, kafka_lines, text_lines
 from tidemark.sources.schemas import BEHAVIOR, EVENT, ORDER, RATE
 from tidemark.streaming import sinks
@@ -104,7 +107,7 @@ def test_event_time(spark):
     df = spark.sql("SELECT -1L AS ms, -1L AS s, timestamp'1969-12-31 23:59:59.9995' AS ts")
     got = df.select(
         from_epoch_millis("ms").alias("a"), from_epoch_seconds("s").alias("b"),
-        epoch_millis("ts").alias("c"), epoch_seconds("ts").alias("d"), pane_start("ts", "10 seconds").alias("e"),
+        epoch_millis("ts").alias("c"), epoch_seconds("ts").alias("d"), as_time(pane_of("ts", "10 seconds"), TimestampType()).alias("e"),
     ).first()
     assert got.a == datetime(1969, 12, 31, 23, 59, 59, 999000)
     assert got.b == datetime(1969, 12, 31, 23, 59, 59)

@@ -1,8 +1,12 @@
 """Windowed equi inner joins.
 
-Row-producing joins are left to Catalyst: broadcast when a side is small by its measured size,
-else sort-merge, where AQE cuts a hot (key, window) partition into pieces by map output. No
-side is force-broadcast.
+Every pair of a group is in the result, so a group's work is the product of its two sides, which
+no partition size shows. The row joins therefore count both sides per group first and lay a large
+group out as a grid of cells: a left row goes to one row of cells, a right row to one column, and
+each cell joins at most ``CELL_ROWS`` by ``CELL_ROWS`` rows in a task of its own. Groups without a
+partner drop out before their rows are shuffled again.
+
+No side is force-broadcast: that is left to Catalyst and the sizes AQE measures.
 """
 
 from __future__ import annotations
@@ -11,58 +15,102 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.durations import Duration, interval, positive_micros
-from tidemark.functions.eventtime import pane_start
+from tidemark.functions.eventtime import as_time, pane_of, time_type
 from tidemark.operators.windows import session_panes
 
+CELL_ROWS = 10_000
+
+
+def _tagged(left: DataFrame, right: DataFrame, columns: list[str]) -> DataFrame:
+    """Both sides' ``columns`` in one table, each row counting for its side."""
+    both = left.select(*columns, F.lit(1).alias("n_left"), F.lit(0).alias("n_right")).unionByName(
+        right.select(*columns, F.lit(0).alias("n_left"), F.lit(1).alias("n_right"))
+    )
+    return both.where(" and ".join(f"`{c}` is not null" for c in columns))
+
+
+def _cells(side: str, cell_rows: int):
+    return F.ceil(F.col(side) / cell_rows).alias(f"_{side}")
+
+
+def _numbered(df: DataFrame) -> DataFrame:
+    """Rows numbered where they are read: copies of a row differ, and a task run again numbers its
+    rows as before. Hence the inputs of the row joins should be scans, filters and projections."""
+    return df.withColumn("_row", F.monotonically_increasing_id())
+
+
+def _join_cells(left: DataFrame, right: DataFrame, group: list[str]) -> DataFrame:
+    """Join two sides that carry ``_row`` and their group's cell counts ``_n_left``, ``_n_right``."""
+    lhs = left.withColumn("_cell_row", F.pmod("_row", "_n_left")).withColumn(
+        "_cell_column", F.explode(F.sequence(F.lit(0), F.col("_n_right") - 1)))
+    rhs = right.withColumn("_cell_column", F.pmod("_row", "_n_right")).withColumn(
+        "_cell_row", F.explode(F.sequence(F.lit(0), F.col("_n_left") - 1)))
+    inner = ("_row", "_n_left", "_n_right")
+    cell = [*group, "_cell_row", "_cell_column"]
+    return lhs.drop(*inner).join(rhs.drop(*inner), cell, "inner").drop("_cell_row", "_cell_column")
+
 
 def tumbling_window_join(
-    left: DataFrame, right: DataFrame, key: str, ts: str, width: Duration
+    left: DataFrame, right: DataFrame, key: str, ts: str, width: Duration, cell_rows: int = CELL_ROWS
 ) -> DataFrame:
     """Every (left, right) pair with an equal key in the same tumbling window.
 
     Gives ``key``, ``window_start``, ``window_end`` and both sides' other columns, of which no two
     may share a name; ``ts`` is the left side's, the right's is dropped.
     """
-    positive_micros(width)
-    lhs = left.withColumn("window_start", pane_start(ts, width))
-    rhs = right.withColumn("window_start", pane_start(ts, width)).drop(ts)
-    pairs = lhs.join(rhs, [key, "window_start"], "inner")
-    return pairs.withColumn("window_end", F.col("window_start") + interval(width))
+    kind, width_us = time_type(left, ts), positive_micros(width)
+    lhs = _numbered(left).withColumn("_window", pane_of(ts, width))
+    rhs = _numbered(right).withColumn("_window", pane_of(ts, width)).drop(ts)
+    group = [key, "_window"]
+    groups = (
+        _tagged(lhs, rhs, group).groupBy(*group)
+        .agg(F.sum("n_left").alias("n_left"), F.sum("n_right").alias("n_right"))
+        .where("n_left > 0 and n_right > 0")
+        .select(*group, _cells("n_left", cell_rows), _cells("n_right", cell_rows))
+    )
+    pairs = _join_cells(lhs.join(groups, group, "inner"), rhs.join(groups, group, "inner"), group)
+    return (
+        pairs.withColumn("window_start", as_time(F.col("_window"), kind))
+        .withColumn("window_end", as_time(F.col("_window") + width_us, kind))
+        .drop("_window")
+    )
 
 
 def session_window_join(
     left: DataFrame, right: DataFrame, key: str, ts: str, gap: Duration,
-    left_columns: dict[str, str], right_columns: dict[str, str],
+    left_columns: dict[str, str], right_columns: dict[str, str], cell_rows: int = CELL_ROWS,
 ) -> DataFrame:
     """Every (left, right) pair with an equal key in the same session, sessions being merged over
     the rows of both sides.
 
-    ``left_columns`` / ``right_columns`` map output names to columns of each side. Sessions are
-    found on pane summaries (see ``session_panes``); those with an empty side are dropped before
-    any row is shuffled by session.
+    ``left_columns`` / ``right_columns`` map output names to columns of each side. Sessions and their
+    sizes are found on pane summaries (see ``session_panes``), and rows get theirs by pane.
     """
-    both = left.select(key, ts, F.lit(1).alias("n_left"), F.lit(0).alias("n_right")).unionByName(
-        right.select(key, ts, F.lit(0).alias("n_left"), F.lit(1).alias("n_right"))
-    ).where(F.col(key).isNotNull())
     per_session = Window.partitionBy(key, "session_start")
+    session = [key, "session_start", "session_end"]
     sessions = (
-        session_panes(both, [key], ts, gap, {"n_left": ("sum", "n_left"), "n_right": ("sum", "n_right")})
-        .withColumn("session_end", F.max("last_ts").over(per_session) + interval(gap))
-        .withColumn("has_left", F.sum("n_left").over(per_session) > 0)
-        .withColumn("has_right", F.sum("n_right").over(per_session) > 0)
-        .where("has_left and has_right")
-        .select(key, "pane", "session_start", "session_end")
+        session_panes(
+            _tagged(left, right, [key, ts]), [key], ts, gap,
+            {"n_left": ("sum", "n_left"), "n_right": ("sum", "n_right")},
+        )
+        .select(
+            key, "pane", "session_start",
+            (F.max("last_ts").over(per_session) + interval(gap)).alias("session_end"),
+            F.sum("n_left").over(per_session).alias("n_left"),
+            F.sum("n_right").over(per_session).alias("n_right"),
+        )
+        .where("n_left > 0 and n_right > 0")
+        .select(*session, "pane", _cells("n_left", cell_rows), _cells("n_right", cell_rows))
     )
-    session = [key, "session_start", "session_end"]
 
     def placed(side: DataFrame, columns: dict[str, str]) -> DataFrame:
         return (
-            side.withColumn("pane", pane_start(ts, gap))
+            _numbered(side).withColumn("pane", pane_of(ts, gap))
             .join(sessions, [key, "pane"], "inner")
-            .select(*session, *(F.col(c).alias(name) for name, c in columns.items()))
+            .select(*session, "_row", "_n_left", "_n_right", *(F.col(c).alias(n) for n, c in columns.items()))
         )
 
-    return placed(left, left_columns).join(placed(right, right_columns), session, "inner")
+    return _join_cells(placed(left, left_columns), placed(right, right_columns), session)
 
 
 def key_join_counts(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
@@ -72,11 +120,8 @@ def key_join_counts(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     the join in full: it holds each key's row ``n_left * n_right`` times. Both sides are counted
     on the map side in one aggregation, and no pair is made one by one.
     """
-    tagged = left.select(key, F.lit(1).alias("n_left"), F.lit(0).alias("n_right")).unionByName(
-        right.select(key, F.lit(0).alias("n_left"), F.lit(1).alias("n_right"))
-    )
     return (
-        tagged.where(F.col(key).isNotNull())
+        _tagged(left, right, [key])
         .groupBy(key)
         .agg(F.sum("n_left").alias("n_left"), F.sum("n_right").alias("n_right"))
         .where("n_left > 0 and n_right > 0")

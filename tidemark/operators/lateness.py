@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.durations import Duration, interval, positive_micros
-from tidemark.functions.eventtime import pane_start
+from tidemark.functions.eventtime import as_time, pane_of, time_type
 
 
 def mark_late(
@@ -21,26 +21,25 @@ def mark_late(
     ``chunk`` sequence numbers; chunk maxima (combined on the map side) give each chunk what came
     before it, and only the rows of one chunk are put in order together.
     """
-    positive_micros(window)
-    rows = df.withColumn("_chunk", F.floor(F.col(arrival) / chunk))
+    kind, width_us = time_type(df, ts), positive_micros(window)
+    rows = df.withColumn("_chunk", F.col(arrival) - F.pmod(F.col(arrival), F.lit(chunk)))
     before = Window.partitionBy(*source).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
     carried = (
         rows.groupBy(*source, "_chunk").agg(F.max(ts).alias("_max"))
-        .withColumn("_carried", F.max("_max").over(before))
-        .select(*source, "_chunk", "_carried")
+        .select(*source, "_chunk", F.max("_max").over(before).alias("_carried"))
     )
     within = (
         Window.partitionBy(*source, "_chunk").orderBy(arrival, *ties)
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    seen = F.greatest(F.max(ts).over(within), F.col("_carried"))
-    window_end = pane_start(ts, window) + interval(window)
+    # Ordered first, joined after: the join's sort order is a prefix of the window's.
     return (
-        rows.join(carried, [*source, "_chunk"], "inner")
-        .withColumn("_watermark", seen - interval(delay))
-        .withColumn("window_end", window_end)
-        .withColumn(late, F.coalesce(F.col("window_end") <= F.col("_watermark"), F.lit(False)))
-        .drop("_chunk", "_carried", "_watermark")
+        rows.withColumn("_within", F.max(ts).over(within))
+        .join(carried, [*source, "_chunk"], "inner")
+        .withColumn("window_end", as_time(pane_of(ts, window) + width_us, kind))
+        .withColumn(late, F.coalesce(
+            F.col("window_end") <= F.greatest("_within", "_carried") - interval(delay), F.lit(False)))
+        .drop("_chunk", "_within", "_carried")
     )
 
 

@@ -11,11 +11,12 @@ from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType
 
 from tidemark.functions.durations import Duration, common_pane, interval, positive_micros, text
-from tidemark.functions.eventtime import pane_start
+from tidemark.functions.eventtime import aligned, as_time, pane_of, time_type
 
-# Aggregates that merge by adding up: name -> (partial, merged)
+# Aggregates whose partial results merge by adding up.
 _ADDITIVE = {
     "count": lambda column: F.count(F.lit(1)),
     "sum": F.sum,
@@ -76,45 +77,48 @@ def sliding_agg(
             .agg(*_partials(measures))
             .select(*keys, F.col("w.end").alias("window_end"), *measures)
         )
+    kind = time_type(df, ts)
     per_pane = (
-        df.withColumn("pane", pane_start(ts, common_pane(size, slide)))
-        .groupBy(*keys, "pane")
+        df.where(F.col(ts).isNotNull())
+        .groupBy(*keys, pane_of(ts, common_pane(size, slide)).alias("pane"))
         .agg(*_partials(measures))
     )
-    return panes_to_windows(per_pane, keys, "pane", size, slide, list(measures))
+    return panes_to_windows(per_pane, keys, "pane", size, slide, list(measures), kind)
 
 
 def panes_to_windows(
-    per_pane: DataFrame, keys: list[str], pane: str, size: Duration, slide: Duration, sums: list[str]
+    per_pane: DataFrame, keys: list[str], pane: str, size: Duration, slide: Duration,
+    sums: list[str], kind: DataType,
 ) -> DataFrame:
     """Add up pane totals per sliding window: ``keys, window_end, <sums>``.
 
-    A pane lies in a window iff its start does, provided the pane width divides both size and slide.
-    Panes are shuffled by key and block of time, once each (twice near a block's edge), and copied to
-    their windows after that; a shuffle by key and window would move ``size / slide`` copies. The
-    block keeps one key's panes from meeting in a single task.
+    ``pane`` is a start in microseconds; a pane lies in a window iff its start does, provided the pane
+    width divides both size and slide. Panes are shuffled by key and block of time, once each (twice
+    near a block's edge), and copied to their windows after that; a shuffle by key and window
+    would move ``size / slide`` copies. The block keeps one key's panes from meeting in a single task.
     """
     size_us, slide_us = positive_micros(size), positive_micros(slide)
     if size_us < slide_us:
         raise ValueError("windows must not leave gaps: slide exceeds size")
     block_us = slide_us * 16 * -(-size_us // slide_us)
-    block, step = timedelta(microseconds=block_us), interval(slide)
+    block, start = timedelta(microseconds=block_us), F.col(pane)
+    # The outer explode keeps Catalyst from inferring a filter on the sequence, which it would
+    # push below the first aggregation and so evaluate for every row. No sequence here is empty.
     return (
         per_pane
-        .withColumn("_first", pane_start(F.col(pane) - interval(size), slide) + step)
-        .withColumn("_last", pane_start(pane, slide))
-        .withColumn("_first_block", pane_start("_first", block))
-        .withColumn("_last_block", pane_start("_last", block))
-        .withColumn("_block", F.explode(F.sequence("_first_block", "_last_block", interval(block))))
+        .withColumn("_first", aligned(start - size_us, slide) + slide_us)
+        .withColumn("_last", aligned(start, slide))
+        .withColumn("_block", F.explode_outer(F.sequence(
+            aligned("_first", block), aligned("_last", block), F.lit(block_us))))
         .repartition(*keys, "_block")
-        .withColumn("_start", F.explode(F.sequence(
+        .withColumn("_start", F.explode_outer(F.sequence(
             F.greatest("_first", "_block"),
-            F.least(F.col("_last"), F.col("_block") + interval(block) - step),
-            step,
+            F.least(F.col("_last"), F.col("_block") + (block_us - slide_us)),
+            F.lit(slide_us),
         )))
         .groupBy(*keys, "_block", "_start")
         .agg(*(F.sum(name).alias(name) for name in sums))
-        .select(*keys, (F.col("_start") + interval(size)).alias("window_end"), *sums)
+        .select(*keys, as_time(F.col("_start") + size_us, kind).alias("window_end"), *sums)
     )
 
 
@@ -143,11 +147,10 @@ def session_panes(
     at most (time span / gap) rows, however many rows the key has. Rows exactly one gap apart
     share a session.
     """
-    positive_micros(gap)
+    time_type(df, ts)
     per_pane = (
         df.where(F.col(ts).isNotNull())
-        .withColumn("pane", pane_start(ts, gap))
-        .groupBy(*keys, "pane")
+        .groupBy(*keys, pane_of(ts, gap).alias("pane"))
         .agg(F.min(ts).alias("first_ts"), F.max(ts).alias("last_ts"), *_partials(measures))
     )
     in_order = Window.partitionBy(*keys).orderBy("pane")

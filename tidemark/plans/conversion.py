@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.durations import Duration, common_pane
-from tidemark.functions.eventtime import pane_start
+from tidemark.functions.eventtime import aligned, pane_of, time_type
 from tidemark.functions.report import SALES_LABEL, ranking_report
 from tidemark.operators.joins import tumbling_window_join
 from tidemark.operators.topn import top_n
@@ -62,24 +62,23 @@ def sales_sums(
     """
     pane = common_pane(width, size, slide)
     amounts = (
-        orders.where(F.col("currency").isNotNull())
-        .withColumn("pane", pane_start(ts, pane))
-        .groupBy("currency", "category", "subcat", "pane")
+        orders.where(F.col("currency").isNotNull() & F.col(ts).isNotNull())
+        .groupBy("currency", "category", "subcat", pane_of(ts, pane).alias("pane"))
         .agg(F.sum("amount").alias("amounts"))
-        .withColumn("join_window", pane_start("pane", width))
+        .withColumn("join_window", aligned("pane", width))
     )
     rate_sums = (
-        rates.where(F.col("currency").isNotNull())
-        .withColumn("join_window", pane_start(ts, width))
-        .groupBy("currency", "join_window")
+        rates.where(F.col("currency").isNotNull() & F.col(ts).isNotNull())
+        .groupBy("currency", pane_of(ts, width).alias("join_window"))
         .agg(F.sum("rate").alias("rates"))
     )
     per_pane = amounts.join(rate_sums, ["currency", "join_window"], "inner").select(
         "category", "subcat", "pane", (F.col("amounts") * F.col("rates")).alias("allsum")
     )
-    return panes_to_windows(per_pane, ["category", "subcat"], "pane", size, slide, ["allsum"]).select(
-        item_id(), "window_end", "allsum"
-    )
+    kind = time_type(orders, ts)
+    return panes_to_windows(
+        per_pane, ["category", "subcat"], "pane", size, slide, ["allsum"], kind
+    ).select(item_id(), "window_end", "allsum")
 
 
 def rank_sales(sums: DataFrame, n: int = SALES_TOP, ascending: bool = False) -> DataFrame:

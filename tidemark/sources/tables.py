@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.functions.eventtime import epoch_millis, epoch_seconds
 from tidemark.sources.schemas import CATEGORIES, CURRENCIES
@@ -16,8 +17,18 @@ from tidemark.sources.schemas import CATEGORIES, CURRENCIES
 BEHAVIOR_OF = {"view": "pv", "purchase": "buy", "click": "cart", "signup": "fav", "error": "other"}
 
 
+EVENTS = T.StructType([
+    T.StructField("event_id", T.LongType()),
+    T.StructField("ts", T.TimestampNTZType()),
+    T.StructField("user_id", T.LongType()),
+    T.StructField("event_type", T.StringType()),
+    T.StructField("value", T.DoubleType()),
+    T.StructField("props", T.StringType()),
+])
+
+
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+    return spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
 
 
 def _k() -> Column:
