@@ -1,12 +1,11 @@
 """Windowed equi inner joins.
 
 Every pair of a group is in the result, so a group's work is the product of its two sides, which
-no partition size shows. The row joins therefore count both sides per group first and lay a large
-group out as a grid of cells: a left row goes to one row of cells, a right row to one column, and
-each cell joins at most ``CELL_ROWS`` by ``CELL_ROWS`` rows in a task of its own. Groups without a
-partner drop out before their rows are shuffled again.
+no partition size shows. The row joins therefore count both sides per group and lay a large group
+out as a grid of cells: a left row goes to one row of cells, a right row to one column, and each
+cell joins about ``CELL_ROWS`` by ``CELL_ROWS`` rows as a group of its own.
 
-No side is force-broadcast: that is left to Catalyst and the sizes AQE measures.
+Neither input is force-broadcast: that is left to Catalyst and the sizes AQE measures.
 """
 
 from __future__ import annotations
@@ -16,6 +15,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.durations import Duration, interval, positive_micros
 from tidemark.functions.eventtime import as_time, pane_of, time_type
+from tidemark.operators.large import LISTED_GROUPS, lookup
 from tidemark.operators.windows import session_panes
 
 CELL_ROWS = 10_000
@@ -50,8 +50,32 @@ def _join_cells(left: DataFrame, right: DataFrame, group: list[str]) -> DataFram
     return lhs.drop(*inner).join(rhs.drop(*inner), cell, "inner").drop("_cell_row", "_cell_column")
 
 
+def _join_groups(left: DataFrame, right: DataFrame, group: list[str], cell_rows: int, listed: int) -> DataFrame:
+    """Inner join on ``group``, its large groups by cells.
+
+    The large groups are found by a job of its own, over the group columns alone and combined on the
+    map side. Mostly there are none, and then this is a plain join that shuffles each row once.
+    """
+    large = (
+        _tagged(left, right, group).groupBy(*group)
+        .agg(F.sum("n_left").alias("n_left"), F.sum("n_right").alias("n_right"))
+        .where("n_left > 0 and n_right > 0")
+        .where((F.col("n_left") > cell_rows) | (F.col("n_right") > cell_rows))
+        .select(*group, _cells("n_left", cell_rows), _cells("n_right", cell_rows))
+    )
+    large = lookup(large, listed)
+    if large is None:
+        return left.join(right, group, "inner")
+
+    def with_cells(side: DataFrame) -> DataFrame:
+        return _numbered(side).join(large, group, "left").fillna(1, ["_n_left", "_n_right"])
+
+    return _join_cells(with_cells(left), with_cells(right), group)
+
+
 def tumbling_window_join(
-    left: DataFrame, right: DataFrame, key: str, ts: str, width: Duration, cell_rows: int = CELL_ROWS
+    left: DataFrame, right: DataFrame, key: str, ts: str, width: Duration,
+    cell_rows: int = CELL_ROWS, listed: int = LISTED_GROUPS,
 ) -> DataFrame:
     """Every (left, right) pair with an equal key in the same tumbling window.
 
@@ -59,16 +83,9 @@ def tumbling_window_join(
     may share a name; ``ts`` is the left side's, the right's is dropped.
     """
     kind, width_us = time_type(left, ts), positive_micros(width)
-    lhs = _numbered(left).withColumn("_window", pane_of(ts, width))
-    rhs = _numbered(right).withColumn("_window", pane_of(ts, width)).drop(ts)
-    group = [key, "_window"]
-    groups = (
-        _tagged(lhs, rhs, group).groupBy(*group)
-        .agg(F.sum("n_left").alias("n_left"), F.sum("n_right").alias("n_right"))
-        .where("n_left > 0 and n_right > 0")
-        .select(*group, _cells("n_left", cell_rows), _cells("n_right", cell_rows))
-    )
-    pairs = _join_cells(lhs.join(groups, group, "inner"), rhs.join(groups, group, "inner"), group)
+    lhs = left.withColumn("_window", pane_of(ts, width))
+    rhs = right.withColumn("_window", pane_of(ts, width)).drop(ts)
+    pairs = _join_groups(lhs, rhs, [key, "_window"], cell_rows, listed)
     return (
         pairs.withColumn("window_start", as_time(F.col("_window"), kind))
         .withColumn("window_end", as_time(F.col("_window") + width_us, kind))

@@ -4,42 +4,64 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 from tidemark.functions.durations import Duration, interval, positive_micros
 from tidemark.functions.eventtime import as_time, pane_of, time_type
+from tidemark.operators.large import LISTED_GROUPS, lookup
 
 
 def mark_late(
     df: DataFrame, source: list[str], arrival: str, ties: list[str], ts: str,
-    window: Duration, delay: Duration, chunk: int = 65_536, late: str = "late",
+    window: Duration, delay: Duration, chunk: int = 1_000_000, late: str = "late",
+    listed: int = LISTED_GROUPS,
 ) -> DataFrame:
     """Add ``window_end`` and the flag ``late``: the row's tumbling window had closed when it came,
     i.e. its end is at or before (largest ``ts`` among the source's earlier arrivals - ``delay``).
 
-    ``arrival`` is an integer sequence, ``ties`` break equal values. The running maximum is done in
-    two levels, so that one source may hold any share of the rows: arrivals are cut into chunks of
-    ``chunk`` sequence numbers; chunk maxima (combined on the map side) give each chunk what came
-    before it, and only the rows of one chunk are put in order together.
+    ``arrival`` is an integer sequence, ``ties`` break equal values. One source may hold any share of
+    the rows: one with more than ``chunk`` of them is cut by every ``chunk`` sequence numbers. Its
+    chunk maxima (combined on the map side) tell each chunk what came before it, and only the rows
+    of one chunk are put in order together.
     """
     kind, width_us = time_type(df, ts), positive_micros(window)
-    rows = df.withColumn("_chunk", F.col(arrival) - F.pmod(F.col(arrival), F.lit(chunk)))
-    before = Window.partitionBy(*source).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    carried = (
-        rows.groupBy(*source, "_chunk").agg(F.max(ts).alias("_max"))
-        .select(*source, "_chunk", F.max("_max").over(before).alias("_carried"))
+    large = lookup(
+        df.groupBy(*source).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > chunk)
+        .select(*source, F.lit(True).alias("_large")),
+        listed,
+    )
+    if large is None:
+        seen = F.max(ts).over(_earlier(source, arrival, *ties))
+        rows = df.withColumn("_seen", seen)
+    else:
+        rows = _seen_by_chunk(df, source, arrival, ties, ts, chunk, large)
+    return (
+        rows.withColumn("window_end", as_time(pane_of(ts, window) + width_us, kind))
+        .withColumn(late, F.coalesce(F.col("window_end") <= F.col("_seen") - interval(delay), F.lit(False)))
+        .drop("_seen")
     )
-    within = (
-        Window.partitionBy(*source, "_chunk").orderBy(arrival, *ties)
-        .rowsBetween(Window.unboundedPreceding, -1)
+
+
+def _earlier(keys: list[str], *order: str) -> WindowSpec:
+    return Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+
+
+def _seen_by_chunk(
+    df: DataFrame, source: list[str], arrival: str, ties: list[str], ts: str, chunk: int, large: DataFrame
+) -> DataFrame:
+    number = F.col(arrival) - F.pmod(F.col(arrival), F.lit(chunk))
+    rows = df.join(large, source, "left").withColumn("_chunk", F.when(F.col("_large"), number).otherwise(0))
+    carried = (
+        df.join(large, source, "left_semi").withColumn("_chunk", number)
+        .groupBy(*source, "_chunk").agg(F.max(ts).alias("_max"))
+        .select(*source, "_chunk", F.max("_max").over(_earlier(source, "_chunk")).alias("_carried"))
     )
     # Ordered first, joined after: the join's sort order is a prefix of the window's.
     return (
-        rows.withColumn("_within", F.max(ts).over(within))
-        .join(carried, [*source, "_chunk"], "inner")
-        .withColumn("window_end", as_time(pane_of(ts, window) + width_us, kind))
-        .withColumn(late, F.coalesce(
-            F.col("window_end") <= F.greatest("_within", "_carried") - interval(delay), F.lit(False)))
-        .drop("_chunk", "_within", "_carried")
+        rows.withColumn("_within", F.max(ts).over(_earlier([*source, "_chunk"], arrival, *ties)))
+        .join(carried, [*source, "_chunk"], "left")
+        .withColumn("_seen", F.greatest("_within", "_carried"))
+        .drop("_large", "_chunk", "_within", "_carried")
     )
 
 
