@@ -19,9 +19,17 @@ from tidemark.operators.windows import session_count, tumbling_count
 from tidemark.plans.conversion import converted_orders, sales_ranking, sales_report, sales_sums
 from tidemark.plans.hot_items import hot_items, hot_items_report, item_views, page_views
 from tidemark.plans.sessions import user_self_join, user_sessions
-from tidemark.session import configure
+from tidemark.plans.conversion import rank_sales
+from tidemark.plans.hot_items import rank_items
+from tidemark.session import configure, configure_state_store
 from tidemark.sources.schemas import BEHAVIOR
-from tidemark.sources.tables import behavior_feed, events, orders_feed, rate_feed
+from tidemark.sources.tables import behavior_feed, event_stream, events, orders_feed, rate_feed
+from tidemark.streaming import conversion as streaming_conversion
+from tidemark.streaming import hot_items as streaming_hot_items
+from tidemark.streaming.ranking import ranked
+from tidemark.streaming.sinks import batch_files, catch_up, to_files
+from tidemark.streaming.watermarks import ascending
+from tidemark.streaming.windows import session_counts
 
 JOIN_WIDTH = "1 hour"
 SALES_SIZE = "3 hours"
@@ -301,3 +309,77 @@ def _(spark, sf_dir):
 @query("order_report", f"WITH {_ranked_sales('ASC')} {_report('ranked', 'allsum', '销售额', 'rk')}")
 def _(spark, sf_dir):
     return sales_report(_sales_ranking(spark, sf_dir, ascending=True))
+
+
+# --- the same as streams ----------------------------------------------------------------------
+#
+# Each reads the whole table as a stream up to its end. Nothing later comes, so what is still open
+# at the last watermark does not come out: the SQL says so. A watermark is in whole milliseconds.
+
+
+def _watermark(feed: str, delay: str = "0 seconds") -> str:
+    return f"(SELECT date_trunc('milliseconds', max(ts)) - INTERVAL '{delay}' FROM {feed})"
+
+
+_CLOCK = f"least({_watermark('orders_feed')}, {_watermark('rate_feed', '1 second')})"
+
+
+@query("stream_hot_items", f"""WITH {_HOT}
+  SELECT item_id, window_end, view_count, rk FROM hot WHERE window_end <= {_watermark('events')}""")
+def _(spark, sf_dir):
+    views = streaming_hot_items.item_views(behavior_feed(event_stream(configure_state_store(spark), sf_dir)))
+    result = catch_up(spark, "stream_hot_items", lambda run, path: ranked(
+        views, run, rank_items, batch_files(path)))
+    return result.select("item_id", naive("window_end").alias("window_end"), "view_count", "rk")
+
+
+@query("stream_order_topn", f"""WITH {_ranked_sales('DESC')}
+  SELECT item_id, window_end, allsum, rk FROM ranked WHERE window_end <= {_CLOCK}""")
+def _(spark, sf_dir):
+    configure_state_store(spark)
+    sums = streaming_conversion.sales_sums(
+        orders_feed(event_stream(spark, sf_dir)), rate_feed(event_stream(spark, sf_dir)),
+        JOIN_WIDTH, SALES_SIZE, SALES_SLIDE,
+    )
+    result = catch_up(spark, "stream_order_topn", lambda run, path: ranked(
+        sums, run, rank_sales, batch_files(path)))
+    return result.select("item_id", naive("window_end").alias("window_end"), "allsum", "rk")
+
+
+@query("stream_tumbling_join", f"""WITH {_PAIRS}
+  SELECT ts_ms, category, subcat, currency, amount, rate_ts_ms, rate_currency, rate, res FROM pairs""")
+def _(spark, sf_dir):
+    configure_state_store(spark)
+    pairs = streaming_conversion.converted_orders(
+        orders_feed(event_stream(spark, sf_dir)), rate_feed(event_stream(spark, sf_dir)), JOIN_WIDTH
+    ).drop("w", "ts")
+    return catch_up(spark, "stream_tumbling_join", lambda run, path: to_files(pairs, run, path))
+
+
+@query("stream_session_counts", f"""WITH {_BEHAVIOR}, tagged AS (
+  SELECT event_id, user_id, ts, behavior FROM behavior_feed WHERE behavior IN ('cart', 'buy')),
+marked AS (
+  SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) <= INTERVAL 6 HOUR
+                 THEN 0 ELSE 1 END AS opens FROM tagged),
+numbered AS (
+  SELECT *, sum(opens) OVER (PARTITION BY user_id ORDER BY ts, event_id
+                             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sid FROM marked),
+sessions AS (
+  SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 6 HOUR AS session_end,
+         count(*) FILTER (WHERE behavior = 'cart') AS n_left, count(*) FILTER (WHERE behavior = 'buy') AS n_right
+  FROM numbered GROUP BY user_id, sid)
+  SELECT * FROM sessions WHERE n_left > 0 AND n_right > 0 AND session_end <= least(
+    {_watermark("(SELECT ts FROM tagged WHERE behavior = 'cart')")},
+    {_watermark("(SELECT ts FROM tagged WHERE behavior = 'buy')")})""")
+def _(spark, sf_dir):
+    configure_state_store(spark)
+    counts = session_counts(
+        ascending(behavior_feed(event_stream(spark, sf_dir), "cart"), "ts"),
+        ascending(behavior_feed(event_stream(spark, sf_dir), "buy"), "ts"),
+        "user_id", "ts", SESSION_GAP,
+    )
+    result = catch_up(spark, "stream_session_counts", lambda run, path: to_files(counts, run, path))
+    return result.select(
+        "user_id", naive("session_start").alias("session_start"), naive("session_end").alias("session_end"),
+        "n_left", "n_right",
+    )

@@ -31,6 +31,13 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
 
 
+def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same table as a stream; ``ts`` is an instant, as watermarks ask for."""
+    # As a pattern: a stream takes a folder or a pattern, while the table may be a single file.
+    rows = spark.readStream.schema(EVENTS).parquet(f"{sf_dir}/{{events}}.parquet")
+    return rows.withColumn("ts", F.col("ts").cast("timestamp"))
+
+
 def _k() -> Column:
     return F.get_json_object("props", "$.k").cast("int")
 

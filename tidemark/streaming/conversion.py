@@ -14,25 +14,30 @@ from tidemark.streaming.windows import window_agg, window_end
 def converted_orders(
     orders: DataFrame, rates: DataFrame, width: Duration = JOIN_WINDOW,
     order_delay: Duration = ASCENDING_DELAY, rate_delay: Duration = RATE_DELAY, ts: str = "ts",
+    cells: int = 8,
 ) -> DataFrame:
     """``w, ts`` and the converted fields, one row per (order, rate) pair of a currency's window.
 
     The window, not the row's own time, is the event time of the join. So a row is late only once
-    its window has closed, and both sides' rows leave the state with their window.
+    its window has closed, and both sides' rows leave the state with their window. A currency may
+    hold any share of the orders: they are dealt out to ``cells`` per currency and window, each of
+    which gets a copy of the rates. What is only to be summed needs no pairs: see ``sales_sums``.
     """
     lhs = (
         with_delay(orders, ts, order_delay)
         .withColumn("w", F.window(ts, text(width)))
-        .select("w", plain_time(ts).alias(ts), "ts_ms", "category", "subcat", "currency", "amount")
+        .select("w", plain_time(ts).alias(ts), "ts_ms", "category", "subcat", "currency", "amount",
+                F.floor(F.rand(0) * cells).cast("int").alias("cell"))
     )
     rhs = (
         with_delay(rates, ts, rate_delay)
         .withColumn("w", F.window(ts, text(width)))
         .select("w", F.col("ts_ms").alias("rate_ts_ms"), "currency",
-                F.col("currency").alias("rate_currency"), "rate")
+                F.col("currency").alias("rate_currency"), "rate",
+                F.explode(F.sequence(F.lit(0), F.lit(cells - 1))).alias("cell"))
     )
     res = F.col("rate").cast("bigint") * F.col("amount")
-    return lhs.join(rhs, ["w", "currency"], "inner").withColumn("res", res).select("w", ts, *CONVERTED)
+    return lhs.join(rhs, ["w", "currency", "cell"], "inner").withColumn("res", res).select("w", ts, *CONVERTED)
 
 
 def sales_sums(

@@ -4,9 +4,10 @@ it goes on where it stopped when the driver or executors are lost.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter
 
 from tidemark.session import checkpoint_location
@@ -44,6 +45,18 @@ def to_each_batch(df: DataFrame, name: str, write: BatchWrite) -> DataStreamWrit
     return _writer(df, name).foreachBatch(write)
 
 
+def catch_up(spark: SparkSession, name: str, start: Callable[[str, str], DataStreamWriter]) -> DataFrame:
+    """Run a query over everything its sources hold now, and read back what it wrote.
+
+    ``start(run, path)`` gives the query, named ``run`` and writing Parquet to ``path``; each call is
+    a new run with a folder of its own under the shared checkpoint folder.
+    """
+    run = f"{name}-{uuid.uuid4().hex}"
+    path = f"{checkpoint_location(spark, run)}-result"
+    start(run, path).trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(path)
+
+
 # --- writes for to_each_batch ---------------------------------------------------------------
 
 
