@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter
 
-from tidemark.session import checkpoint_location
+from tidemark.session import checkpoint_location, state_partitions
 
 # Writes one micro-batch. It may be called again for the same id after a failure.
 BatchWrite = Callable[[DataFrame, int], None]
@@ -53,7 +53,9 @@ def catch_up(spark: SparkSession, name: str, start: Callable[[str, str], DataStr
     """
     run = f"{name}-{uuid.uuid4().hex}"
     path = f"{checkpoint_location(spark, run)}-result"
-    start(run, path).trigger(availableNow=True).start().awaitTermination()
+    with state_partitions(spark):
+        query = start(run, path).trigger(availableNow=True).start()
+        query.awaitTermination()
     return spark.read.parquet(path)
 
 
