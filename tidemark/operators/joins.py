@@ -135,8 +135,11 @@ def key_join_counts(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
 
     Joined rows that carry nothing but the key are all alike within a key, so the two counts state
     the join in full: it holds each key's row ``n_left * n_right`` times. Both sides are counted
-    on the map side in one aggregation, and no pair is made one by one.
+    on the map side in one aggregation, and no pair is made one by one. A self-join is read once.
     """
+    if left is right:
+        counts = left.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n_left"))
+        return counts.withColumn("n_right", F.col("n_left"))
     return (
         _tagged(left, right, [key])
         .groupBy(key)
