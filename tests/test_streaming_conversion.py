@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.feeds import BASE_MS, at, order_stream, order_table, rate_stream, rate_table, rows, run
 from tidemark.plans import conversion as batch
@@ -118,3 +119,12 @@ def test_slide_must_fit_the_join_window(spark, tmp_path):
     orders, rates = streams(spark, tmp_path, ORDERS, RATES)
     with pytest.raises(ValueError):
         stream.sales_sums(orders, rates, "10 seconds", "30 seconds", "15 seconds")
+
+
+def test_no_currency_no_pair_and_no_32_bit_overflow(spark):
+    orders = order_table(spark, [[(1, "A", 1, "USD", 2_000_000_000), (2, "A", 1, "EUR", 5)]])
+    rates = rate_table(spark, [[(1, "USD", 19), (2, "EUR", 1)]])
+    orders = orders.withColumn("currency", F.when(F.col("currency") == "USD", "USD"))
+    assert rows(batch.converted_orders(orders, rates), "res") == [(38_000_000_000,)]
+    for sums in (batch.sales_sums, batch.sales_sums_by_pairs):
+        assert rows(sums(orders, rates), "allsum") == [(38_000_000_000,)] * 3
