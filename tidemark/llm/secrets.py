@@ -1,0 +1,251 @@
+"""Secrets in text: fixed patterns, and a battery of randomness tests with false-discovery control.
+
+Any long run of token characters is a candidate. Its encoding is inferred from the characters it
+uses; three tests then ask whether its symbols could be uniform draws from that alphabet: chi-squared
+uniformity, runs above and below the middle, and serial correlation. Ordinary text fails the tests,
+but short text fails them less reliably, so the evidence is judged per class of length: stretches
+of ordinary text (the document's letters and digits without what lies between) are scored the same
+way, a candidate's p-value is the share of ordinary stretches that look at least as random, and
+Benjamini-Hochberg bounds the false discoveries among the candidates of the class. Both counts are
+over all documents.
+"""
+
+from __future__ import annotations
+
+import hashlib
+import math
+import re
+import zlib
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from tidemark.llm.common import written
+
+# Fixed patterns of the contract. ASCII letters only, in either case.
+ASSIGN = re.compile(
+    r"(?:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)",
+    re.IGNORECASE | re.ASCII)
+ACCESS = re.compile(r"AKIA[A-Z0-9]+")
+HEX = re.compile(r"[0-9a-f]{24,}")
+MIN_ASSIGNED, MIN_ACCESS = 6, 20
+
+TOKEN = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
+MIN_RUN = 20
+LONG_RUN = re.compile(rf"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{{{MIN_RUN},}}")
+_BLANKED = bytes(b if chr(b) in TOKEN else 32 for b in range(256))
+_WORDY = re.compile(r"[A-Za-z0-9]+")
+
+# Inferred encodings, smallest alphabet first: name, symbols in value order.
+ALPHABETS = [
+    ("hex", "0123456789abcdef"),
+    ("HEX", "0123456789ABCDEF"),
+    ("base32", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"),
+    ("base36", "0123456789abcdefghijklmnopqrstuvwxyz"),
+    ("base62", "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"),
+    ("base64", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"),
+    ("base64url", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_"),
+]
+_CODES = []
+for _name, _symbols in ALPHABETS:
+    _codes = np.full(128, -1, np.int16)
+    _codes[[ord(c) for c in _symbols]] = np.arange(len(_symbols))
+    _CODES.append((_name, len(_symbols), _codes))
+
+# Classes of length: a candidate belongs to the last one that it reaches.
+LENGTHS = (20, 24, 28, 32, 40, 48, 64, 96)
+# Randomness is kept in steps, so that counts per class and step are a small table.
+STEPS = 400
+
+FOUND = ("doc_id bigint, n_assign bigint, n_access bigint, n_hex bigint, "
+         "base array<struct<kind:string,start:int,stop:int>>, "
+         "runs array<struct<start:int,stop:int,encoding:string,length_class:int,step:int>>, "
+         "plain array<struct<length_class:int,step:int>>")
+
+
+def infer_encoding(run: str) -> tuple[str, np.ndarray, int] | None:
+    """Name, symbol values and alphabet size of the smallest alphabet that holds the run; padding is
+    left out. None if no alphabet does."""
+    raw = np.frombuffer(run.rstrip("=").encode("ascii"), np.uint8)
+    for name, size, codes in _CODES:
+        values = codes[raw]
+        if len(values) and values.min() >= 0:
+            return name, values, size
+    return None
+
+
+def _two_sided(z: float) -> float:
+    return math.erfc(abs(z) / math.sqrt(2))
+
+
+def battery(values: np.ndarray, size: int) -> float:
+    """Fisher's combination of the three tests: the probability that uniform draws would look less
+    uniform than these. Near 0 for text, anywhere in (0, 1] for random symbols."""
+    n = len(values)
+    counts = np.bincount(values, minlength=size)
+    chi = float((counts.astype(float) ** 2).sum()) * size / n - n
+    freedom = size - 1
+    # Exact variance for small expectations; a too even run counts as well as a too uneven one.
+    p_chi = _two_sided((chi - freedom) / math.sqrt(2 * freedom * (n - 1) / n)) if n > 1 else 1.0
+    high = values >= size / 2
+    above = int(high.sum())
+    below = n - above
+    p_runs = 1e-12
+    if above and below:
+        runs = 1 + int((high[1:] != high[:-1]).sum())
+        mean = 1 + 2 * above * below / n
+        spread = (mean - 1) * (mean - 2) / (n - 1)
+        p_runs = _two_sided((runs - mean) / math.sqrt(spread)) if spread > 0 else 1.0
+    centred = values - (size - 1) / 2
+    # Draws are centred on the alphabet's middle, so letters of one half show as correlation.
+    serial = float((centred[1:] * centred[:-1]).sum()) / (math.sqrt(n - 1) * (size * size - 1) / 12)
+    joint = 1.0
+    for p in (p_chi, p_runs, _two_sided(serial)):
+        joint *= max(p, 1e-12)
+    half = -math.log(joint)
+    return math.exp(-half) * (1 + half + half * half / 2)
+
+
+def step_of(p: float) -> int:
+    return min(STEPS, int(-20 * math.log10(max(p, 1e-30))))
+
+
+def length_class(n: int) -> int:
+    return max((i for i, least in enumerate(LENGTHS) if n >= least), default=-1)
+
+
+def base_spans(text: str, long_run: bool) -> list[tuple[str, int, int]]:
+    spans = []
+    if ":" in text or "=" in text:
+        spans += [("assign", *m.span()) for m in ASSIGN.finditer(text)
+                  if len(m.group(1)) >= MIN_ASSIGNED]
+    if long_run:
+        spans += [("access", *m.span()) for m in ACCESS.finditer(text)
+                  if m.end() - m.start() >= MIN_ACCESS]
+        spans += [("hex", *m.span()) for m in HEX.finditer(text)]
+    order = ("assign", "access", "hex")
+    return sorted(spans, key=lambda s: (s[1], order.index(s[0])))
+
+
+def ordinary_stretch(text: str) -> tuple[int, int] | None:
+    """Length class and step of one stretch of the document's own words, joined; which length and
+    where follows from the text, so that every class gets its share."""
+    mark = zlib.crc32(text.encode("utf-8"))
+    which = mark % len(LENGTHS)
+    want = LENGTHS[which]
+    at = (mark >> 8) % max(1, len(text) - 4 * want)
+    # Tokens of an alphabet's full range would be secrets themselves, so words alone are taken.
+    letters = "".join(w for w in _WORDY.findall(text[at:at + 4 * want]) if len(w) < MIN_RUN)[:want]
+    if len(letters) < want or not (known := infer_encoding(letters)):
+        return None
+    return which, step_of(battery(known[1], known[2]))
+
+
+def find_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    schema = pa.schema([
+        ("doc_id", pa.int64()), ("n_assign", pa.int64()), ("n_access", pa.int64()),
+        ("n_hex", pa.int64()),
+        ("base", pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()),
+                                     ("stop", pa.int32())]))),
+        ("runs", pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32()),
+                                     ("encoding", pa.string()), ("length_class", pa.int32()),
+                                     ("step", pa.int32())]))),
+        ("plain", pa.list_(pa.struct([("length_class", pa.int32()), ("step", pa.int32())]))),
+    ])
+    for batch in batches:
+        rows = []
+        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            text = text.as_py() or ""
+            pieces = text.encode("utf-8").translate(_BLANKED).split()
+            long_run = max(map(len, pieces), default=0) >= MIN_RUN
+            base = base_spans(text, long_run)
+            runs = []
+            for m in LONG_RUN.finditer(text) if long_run else ():
+                known = infer_encoding(m.group())
+                if known and len(known[1]) >= MIN_RUN:
+                    runs.append({
+                        "start": m.start(), "stop": m.end(), "encoding": known[0],
+                        "length_class": length_class(len(known[1])),
+                        "step": step_of(battery(known[1], known[2]))})
+            plain = ordinary_stretch(text)
+            kinds = [s[0] for s in base]
+            rows.append({
+                "doc_id": doc_id, "n_assign": kinds.count("assign"),
+                "n_access": kinds.count("access"), "n_hex": kinds.count("hex"),
+                "base": [{"kind": k, "start": a, "stop": b} for k, a, b in base],
+                "runs": runs,
+                "plain": [{"length_class": plain[0], "step": plain[1]}] if plain else []})
+        yield pa.RecordBatch.from_pylist(rows, schema=schema)
+
+
+def thresholds(found: DataFrame, rate: float) -> dict[int, int]:
+    """Per class of length, the largest step (least random) at which Benjamini-Hochberg still rejects
+    "ordinary text". The two count tables have a row per class and step, whatever the data."""
+    def counted(column: str) -> dict[int, np.ndarray]:
+        out = {c: np.zeros(STEPS + 1, np.int64) for c in range(len(LENGTHS))}
+        rows = found.select(F.explode(column).alias("x")).groupBy(
+            "x.length_class", "x.step").count().collect()
+        for c, step, n in rows:
+            out[c][step] = n
+        return out
+
+    runs, plain = counted("runs"), counted("plain")
+    cuts = {}
+    for c in runs:
+        # A low step is a high probability of uniform draws: both sums run from random to text.
+        chance = (1 + plain[c].cumsum()) / (1 + plain[c].sum())
+        picked = runs[c].cumsum()
+        passed = np.flatnonzero((runs[c] > 0) & (chance * runs[c].sum() <= rate * picked))
+        if len(passed):
+            cuts[c] = int(passed[-1])
+    return cuts
+
+
+def _listed(spans: Column) -> Column:
+    return F.array_join(
+        F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"),
+                                                 s["stop"].cast("string"))), ",")
+
+
+def scan_secrets(docs: DataFrame, rate: float = 0.01) -> DataFrame:
+    """Every row of docs with its spans: doc_id, n_assign, n_access, n_hex, base and spans (arrays of
+    kind, start, stop in code points).
+
+    Spans of kind ``random`` are those that the battery adds, with expected share ``rate`` of false
+    ones; a run that a fixed pattern covers already isn't added. Null text is empty. With few
+    documents there is too little ordinary text to compare with, and nothing is added. Repeated rows
+    are scanned each; columns other than doc_id and text are ignored; an empty table gives an empty
+    result.
+    """
+    found = written(
+        docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+        .mapInArrow(find_spans, FOUND),
+        "secret-spans",
+    )
+    cuts = thresholds(found, rate)
+    cut = F.array(*(F.lit(cuts.get(c, -1)) for c in range(len(LENGTHS))))
+    random = F.transform(
+        F.filter("runs", lambda r: (r["step"] <= F.get(cut, r["length_class"])) & ~F.exists(
+            "base", lambda b: (b["start"] <= r["start"]) & (b["stop"] >= r["stop"]))),
+        lambda r: F.struct(F.lit("random").alias("kind"), r["start"].alias("start"),
+                           r["stop"].alias("stop")))
+    rank = F.create_map(*(F.lit(x) for p in
+                          (("assign", 0), ("access", 1), ("hex", 2), ("random", 3)) for x in p))
+    ordered = F.transform(
+        F.array_sort(F.transform(
+            F.concat("base", random),
+            lambda s: F.struct(s["start"].alias("start"), rank[s["kind"]].alias("rank"),
+                               s["stop"].alias("stop"), s["kind"].alias("kind")))),
+        lambda s: F.struct(s["kind"].alias("kind"), s["start"].alias("start"),
+                           s["stop"].alias("stop")))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", "base", ordered.alias("spans"))
+
+
+def digest_secrets(scanned: DataFrame) -> DataFrame:
+    return scanned.select(
+        "doc_id", "n_assign", "n_access", "n_hex",
+        F.sha2(_listed(F.col("base")), 256).alias("base_sha256"),
+        _listed(F.col("spans")).alias("spans"))
