@@ -52,7 +52,7 @@ def test_matches_sql(spark, duck, name):
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(contract.registry.QUERIES) == set(contract.registry.ORACLE)
 
 
 def test_entry(spark):
