@@ -34,10 +34,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def texts(docs: DataFrame) -> DataFrame:
+    """doc_id and text of docs; what other columns there are, and their names, doesn't matter."""
+    ship_code(docs.sparkSession)
+    return docs.select(
+        docs["doc_id"].cast("bigint").alias("doc_id"), docs["text"].cast("string").alias("text"))
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """df as a table in the shared checkpoint folder, read back: it cuts the lineage, is computed
     once, and outlives the executors that made it."""
-    ship_code(df.sparkSession)
     path = f"{checkpoint_root(df.sparkSession)}/tidemark-llm/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import written
+from tidemark.llm.common import texts, written
 from tidemark.llm.wordbpe import WordEncoder
 
 PIECES = ("doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, part int")
@@ -145,7 +145,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = 4096, end_id
     table gives an empty result.
     """
     pieces = written(
-        docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInArrow(
+        texts(docs).mapInArrow(
             lambda batches: cut_pieces(batches, tokenizer, capacity, end_id), PIECES),
         "pack-pieces",
     )

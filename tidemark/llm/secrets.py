@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import written
+from tidemark.llm.common import texts, written
 
 # Fixed patterns of the contract. ASCII letters only, in either case.
 ASSIGN = re.compile(
@@ -221,7 +221,7 @@ def scan_secrets(docs: DataFrame, rate: float = 0.01) -> DataFrame:
     result.
     """
     found = written(
-        docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+        texts(docs)
         .mapInArrow(find_spans, FOUND),
         "secret-spans",
     )

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import running_totals, written
+from tidemark.llm.common import running_totals, texts, written
 
 LAW = "bytes"
 
@@ -28,8 +28,8 @@ def shard_documents(docs: DataFrame, shards: int = 8, whole_group_share: float =
     """
     text = F.coalesce("text", F.lit(""))
     narrow = written(
-        docs.select(
-            F.col("doc_id").cast("bigint"),
+        texts(docs).select(
+            "doc_id",
             (F.octet_length(text) + 1).cast("bigint").alias("size"),
             F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"),
             F.md5(F.encode(text, "UTF-8")).alias("digest"),

@@ -1,9 +1,8 @@
 """Token ids of whole columns by a word-level BPE file: each distinct word is encoded once.
 
 The file's tokenizer normalizes a text and splits it into words; a word's ids depend on the word
-alone. So a batch is split into words by Arrow, and the library's tokenizer is asked only about
-words that this worker hasn't met. What Arrow's expressions could split differently goes to
-the library as a whole text.
+alone. So the library's tokenizer is asked only about words that this worker hasn't met; a text
+whose normal form isn't plain lower case goes to it as a whole.
 """
 
 from __future__ import annotations
@@ -13,12 +12,8 @@ import unicodedata
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 
-# The split of the file's pre-tokenizer, in RE2's terms; a separator goes after each word.
-_WORD = r"('s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\t\n\x0b\x0c\r\x{85}\p{Z}\p{L}\p{N}]+)"
-_SEPARATOR = "\n"
-_SPACES = "[\\t\\n\\x0b\\x0c\\r\\x{85}\\p{Z}]+"
+from tidemark.llm.words import blocks, gather, split_words
 
 
 class WordEncoder:
@@ -34,88 +29,105 @@ class WordEncoder:
             cls._own[path] = cls(path)
         return cls._own[path]
 
-    def __init__(self, path: str, known_words: int = 400_000):
+    def __init__(self, path: str, known_words: int = 2_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.known_words = known_words
-        self.rows: dict[str, int] = {}
-        self.pool = np.zeros(1 << 16, np.uint32)
-        self.ends = np.zeros(1 << 14, np.int64)
+        vocabulary = self.tokenizer.get_vocab()
+        suffix = self.tokenizer.model.end_of_word_suffix
+        # Tokens that end a word.
+        self.closing = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.closing[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
+        # Hashes in order, and for each the run of its ids in the pool.
+        self.hashes = np.zeros(0, np.uint64)
+        self.begins = np.zeros(0, np.int64)
+        self.lengths = np.zeros(0, np.int64)
+        self.pool = np.zeros(0, np.uint32)
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(e.ids, np.uint32)
-                for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _learn(self, words: list[str]) -> None:
-        for at in range(0, len(words), 20_000):
-            for word, ids in zip(words[at:at + 20_000], self.encode(words[at:at + 20_000]), strict=True):
-                n = len(self.rows)
-                begin = int(self.ends[n])
-                while begin + len(ids) > len(self.pool):
-                    self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
-                if n + 1 == len(self.ends):
-                    self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
-                self.pool[begin:begin + len(ids)] = ids
-                self.ends[n + 1] = begin + len(ids)
-                self.rows[word] = n
-
-    def encode_column(self, texts: pa.Array, block_bytes: int = 8 << 20) -> list[np.ndarray]:
+        out = []
+        for at in range(0, len(texts), 10_000):
+            batch = self.tokenizer.encode_batch_fast(texts[at:at + 10_000], add_special_tokens=False)
+            out += [np.array(e.ids, np.uint32) for e in batch]
+        return out
+
+    def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of words, one after the other, and how many each has. Words go to the tokenizer
+        many at a time, with spaces between: it splits them there again."""
+        lines = [" ".join(words[at:at + 1000]) for at in range(0, len(words), 1000)]
+        ids, sizes = [], []
+        for i, e in enumerate(self.tokenizer.encode_batch_fast(lines, add_special_tokens=False)):
+            ids.append(np.array(e.ids, np.uint32))
+            counts = np.diff(np.flatnonzero(self.closing[ids[-1]]), prepend=-1)
+            if len(counts) != len(words[1000 * i:1000 * i + 1000]):
+                # Words that the tokenizer splits further: one by one.
+                own = self.encode(words[1000 * i:1000 * i + 1000])
+                ids[-1] = np.concatenate(own)
+                counts = np.fromiter(map(len, own), np.int64, len(own))
+            sizes.append(counts)
+        if not words:
+            return np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        return np.concatenate(ids), np.concatenate(sizes)
+
+    def encode_column(self, texts: pa.Array) -> list[np.ndarray]:
         """Ids of each text; null is empty."""
+        values = [t or "" for t in texts.to_pylist()]
         out: list[np.ndarray] = []
-        sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
-        begin, held = 0, 0
-        for i, size in enumerate(sizes):
-            held += int(size)
-            if held >= block_bytes or i + 1 == len(sizes):
-                out += self._block(pc.fill_null(texts[begin:i + 1], ""))
-                begin, held = i + 1, 0
+        for a, b in blocks(values):
+            out += self._block(values[a:b])
         return out
 
-    def _block(self, texts: pa.Array) -> list[np.ndarray]:
-        values = texts.to_pylist()
-        odd = {i for i, text in enumerate(values)
-               if not text.isascii() and (not unicodedata.is_normalized("NFC", text)
-                                          or "İ" in text or "Σ" in text)}
-        plain = pa.array(["" if i in odd else t for i, t in enumerate(values)]) if odd else texts
-        # Arrow's lower case and the library's agree on what isn't set apart above.
-        lowered = pc.utf8_lower(pc.replace_substring_regex(plain, _SPACES, " "))
-        marked = pc.replace_substring_regex(lowered, _WORD, "\\1" + _SEPARATOR)
-        words = pc.split_pattern(marked, _SEPARATOR)
-        offsets = words.offsets.to_numpy()
-        flat = pc.utf8_ltrim(words.flatten(), " ")
-        coded = flat.dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
-        missing = [w for w in distinct if w not in self.rows]
-        spare = self.known_words - len(self.rows)
-        self._learn(missing[:max(0, spare)])
-        late = {w: ids for at in range(max(0, spare), len(missing), 20_000)
-                for w, ids in zip(missing[at:at + 20_000], self.encode(missing[at:at + 20_000]),
-                                  strict=True)}
-        pool, begins, lengths = self._pool_of(distinct, late)
-        codes = coded.indices.to_numpy()
-        lengths, begins = lengths[codes], begins[codes]
-        ends = np.concatenate([[0], lengths.cumsum()])
-        ids = pool[np.arange(ends[-1]) + np.repeat(begins - ends[:-1], lengths)]
-        cuts = ends[offsets - offsets[0]]
+    def _block(self, values: list[str]) -> list[np.ndarray]:
+        lowered, odd = [], []
+        for i, text in enumerate(values):
+            low = text.lower()
+            # A capital sigma's lower case depends on its place; a few letters become two.
+            if not text.isascii() and (not unicodedata.is_normalized("NFC", text)
+                                       or "Σ" in text or len(low) != len(text)):
+                odd.append(i)
+                low = ""
+            lowered.append(low)
+        words = split_words(lowered, spaced=False)
+        coded = pa.array(words.hashes).dictionary_encode()
+        codes, distinct = coded.indices.to_numpy(), coded.dictionary.to_numpy()
+        example = np.zeros(len(distinct), np.int64)
+        example[codes[::-1]] = np.arange(len(codes) - 1, -1, -1)
+        begins, lengths, pool = self._ids_of(words, distinct, example)
+        begins, lengths = begins[codes], lengths[codes]
+        long = np.flatnonzero(words.hashes == 0)
+        if len(long):
+            own, sizes = self.encode_words([words.word(w) for w in long])
+            begins[long] = len(pool) + sizes.cumsum() - sizes
+            lengths[long] = sizes
+            pool = np.concatenate([pool, own])
+        ids, ends = gather(pool, begins, lengths)
+        cuts = ends[words.cuts]
         out = [ids[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
         for i in odd:
             out[i] = self.encode([values[i]])[0]
         return out
 
-    def _pool_of(self, distinct: list[str], late: dict[str, np.ndarray]):
-        rows = np.fromiter((self.rows.get(w, -1) for w in distinct), np.int64, len(distinct))
-        begins = self.ends[rows]
-        lengths = self.ends[rows + 1] - begins
-        pool = self.pool
-        if late:
-            at = np.flatnonzero(rows < 0)
-            extra = [late[distinct[i]] for i in at]
-            sizes = np.fromiter(map(len, extra), np.int64, len(extra))
-            used = int(self.ends[len(self.rows)])
-            begins[at] = used + sizes.cumsum() - sizes
-            lengths[at] = sizes
-            pool = np.concatenate([self.pool[:used], *extra])
-        return pool, begins, lengths
+    def _ids_of(self, words, distinct: np.ndarray, example: np.ndarray):
+        at = np.minimum(np.searchsorted(self.hashes, distinct), max(0, len(self.hashes) - 1))
+        known = self.hashes[at] == distinct if len(self.hashes) else np.zeros(len(distinct), bool)
+        begins = np.where(known, self.begins[at] if len(self.hashes) else 0, 0)
+        lengths = np.where(known, self.lengths[at] if len(self.hashes) else 0, 0)
+        missing = np.flatnonzero(~known & (distinct != 0))
+        if not len(missing):
+            return begins, lengths, self.pool
+        own, sizes = self.encode_words([words.word(w) for w in example[missing]])
+        begins[missing] = len(self.pool) + sizes.cumsum() - sizes
+        lengths[missing] = sizes
+        pool = np.concatenate([self.pool, own])
+        keep = missing[:max(0, self.known_words - len(self.hashes))]
+        if len(keep):
+            self.pool = pool[:int(begins[keep[-1]] + lengths[keep[-1]])]
+            hashes = np.concatenate([self.hashes, distinct[keep]])
+            order = np.argsort(hashes)
+            self.hashes = hashes[order]
+            self.begins = np.concatenate([self.begins, begins[keep]])[order]
+            self.lengths = np.concatenate([self.lengths, lengths[keep]])[order]
+        return begins, lengths, pool
