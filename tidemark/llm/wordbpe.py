@@ -29,7 +29,7 @@ class WordEncoder:
             cls._own[path] = cls(path)
         return cls._own[path]
 
-    def __init__(self, path: str, known_words: int = 2_000_000):
+    def __init__(self, path: str, known_words: int = 1_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 

@@ -120,7 +120,7 @@ def _hashes(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarr
     return found
 
 
-def blocks(texts: list[str], most_characters: int = 4_000_000):
+def blocks(texts: list[str], most_characters: int = 1_000_000):
     """Runs of consecutive texts of together about so many characters."""
     begin = held = 0
     for i, text in enumerate(texts):
