@@ -5,10 +5,14 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import packing, secrets, sharding, toxicity
+from tidemark.llm import packing, quality, secrets, sharding, toxicity
 from tidemark.llm.common import table
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_quality(table(spark, sf_dir, "documents"))
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -27,7 +31,7 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest_secrets(secrets.scan_secrets(table(spark, sf_dir, "documents")))
 
 
-QUERIES = {f.__name__: f for f in (op2_toxicity, op3_best_fit_packing, op6_sharding, op7_secret_scan)}
+QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_toxicity, op3_best_fit_packing, op6_sharding, op7_secret_scan)}
 # DuckDB has neither crc32 nor match positions, and the other operators train, iterate or call a
 # tokenizer: each is tested against a plain version instead.
 ORACLE: dict[str, str] = {}
