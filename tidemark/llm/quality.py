@@ -90,7 +90,7 @@ def votes(values: list[str]) -> tuple[np.ndarray, Words, np.ndarray, np.ndarray]
         vote(fresh, fresh < 0.6, fresh > 0.9, total >= 20),
         vote(echo, echo > 0.3, echo < 0.05, per["words"] >= 5),
         vote(letter, per["words"] < 1, per["words"] >= 20, np.ones(len(values), bool)),
-        vote(letter, letter < 0.6, letter > 0.9, per["chars"] >= 40),
+        vote(letter, letter < 0.75, letter > 0.9, per["chars"] >= 120),
     ], axis=1).astype(np.int8) if values else np.zeros((0, len(LABELLERS)), np.int8)
     # A word's shape: what it begins with, whether it shouts, how long it is.
     first = codes[words.starts]

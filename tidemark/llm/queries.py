@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import packing, quality, secrets, sharding, toxicity
+from tidemark.llm import ngram_join, packing, quality, secrets, sharding, toxicity
 from tidemark.llm.common import table
 
 
@@ -23,6 +23,10 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         capacity=4096, end_id=1)
 
 
+def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.link_documents(table(spark, sf_dir, "documents"), width=3, percent=90)
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"), shards=8)
 
@@ -31,7 +35,8 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest_secrets(secrets.scan_secrets(table(spark, sf_dir, "documents")))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_toxicity, op3_best_fit_packing, op6_sharding, op7_secret_scan)}
+QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_toxicity, op3_best_fit_packing, op4_ngram_jaccard_join,
+                                 op6_sharding, op7_secret_scan)}
 # DuckDB has neither crc32 nor match positions, and the other operators train, iterate or call a
 # tokenizer: each is tested against a plain version instead.
 ORACLE: dict[str, str] = {}

@@ -39,7 +39,7 @@ def _powers(factor: int, n: int) -> np.ndarray:
 
 
 @functools.cache
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
+def power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers(_FACTOR, n), _powers(pow(_FACTOR, -1, 1 << 64), n)
 
 
@@ -105,7 +105,7 @@ def split_words(texts: list[str], spaced: bool) -> Words:
 def _hashes(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64 bits of each word, from prefix sums of a polynomial; 0 for long words."""
     size = 1 << max(16, (len(codes) + 1).bit_length())
-    powers, inverses = _power_tables(size)
+    powers, inverses = power_tables(size)
     mixed = codes.astype(np.uint64) + np.uint64(0x632BE59BD9B4E019)
     mixed *= np.uint64(0xBF58476D1CE4E5B9)
     mixed ^= mixed >> np.uint64(29)
