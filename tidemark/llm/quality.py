@@ -174,14 +174,15 @@ def vote_patterns(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 def _training_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         values = [t or "" for t in batch.column("text").to_pylist()]
-        table, words, shape, repeats = votes(values)
-        x = features(words, shape, repeats)
-        ranges = list(zip(x.cuts[:-1], x.cuts[1:], strict=True))
-        yield pa.RecordBatch.from_arrays([
-            pa.array(_codes(table)),
-            pa.array([x.index[a:b] for a, b in ranges], pa.list_(pa.int64())),
-            pa.array([x.value[a:b] for a, b in ranges], pa.list_(pa.float64())),
-        ], names=["pattern", "index", "value"])
+        for begin, end in blocks(values):
+            table, words, shape, repeats = votes(values[begin:end])
+            x = features(words, shape, repeats)
+            ranges = list(zip(x.cuts[:-1], x.cuts[1:], strict=True))
+            yield pa.RecordBatch.from_arrays([
+                pa.array(_codes(table)),
+                pa.array([x.index[a:b] for a, b in ranges], pa.list_(pa.int64())),
+                pa.array([x.value[a:b] for a, b in ranges], pa.list_(pa.float64())),
+            ], names=["pattern", "index", "value"])
 
 
 @dataclass(frozen=True)
@@ -199,12 +200,12 @@ def train(docs: DataFrame, most_rows: int = 6000) -> Scorer:
     counted_patterns = patterns.groupBy("pattern").count().collect()
     codes = np.array([r[0] for r in counted_patterns], np.int64)
     labels = fit_label_model(_patterns(codes), np.array([r[1] for r in counted_patterns], float))
-    total = sum(r[1] for r in counted_patterns)
-    # A share of the ids by hash; the bound holds for any corpus.
-    share = min(1.0, 1.5 * most_rows / max(1, total))
-    chance = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < int(share * 1_000_000) + 1
-    rows = own.where(chance).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most_rows).mapInArrow(
+    # The ids alone are ordered; the texts of at most most_rows of them are read.
+    chosen = own.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(most_rows)
+    rows = own.join(F.broadcast(chosen), "doc_id").mapInArrow(
         _training_rows, "pattern bigint, index array<bigint>, value array<double>").toArrow()
+    # Repeated ids could exceed the bound.
+    rows = rows.slice(0, most_rows)
     if not len(rows):
         return Scorer(labels, np.zeros(FEATURES, np.float32), 4.0)
     x = stack([Sparse(np.array([0, len(i)]), np.array(i, np.int64), np.array(v))
