@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import fingerprints, ngram_join, packing, quality, secrets, sharding, toxicity
+from tidemark.llm import bpe_documents, fingerprints, ngram_join, packing, quality, secrets, sharding, toxicity
 from tidemark.llm.common import table
 
 
@@ -35,12 +35,18 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.digest_secrets(secrets.scan_secrets(table(spark, sf_dir, "documents")))
 
 
+def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    return bpe_documents.digest_encoding(
+        bpe_documents.encode_documents(table(spark, sf_dir, "documents"), ranks), ranks)
+
+
 def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_documents(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_toxicity, op3_best_fit_packing, op4_ngram_jaccard_join,
-                                 op6_sharding, op7_secret_scan, op10_document_fingerprints)}
+                                 op6_sharding, op7_secret_scan, op9_byte_bpe, op10_document_fingerprints)}
 # DuckDB has neither crc32 nor match positions, and the other operators train, iterate or call a
 # tokenizer: each is tested against a plain version instead.
 ORACLE: dict[str, str] = {}
