@@ -28,7 +28,7 @@ def components(links: DataFrame, name: str) -> DataFrame:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m"))
         large = both.join(least, "u").where("v > u").select(
-            F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct()
+            F.col("v").alias("u"), F.least("u", "m").alias("v"))
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = written(small.union(least.select("u", F.col("m").alias("v"))).distinct(), f"{name}-stars")

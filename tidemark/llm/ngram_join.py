@@ -78,7 +78,7 @@ def prefix_length(n: int, percent: int) -> int:
 
 def _cut(percent: int) -> int:
     """N-grams below this hash are counted: somewhat more of each set than its first ones."""
-    return int((1.5 * (100 - percent) / 100) * 2 ** 64)
+    return int((1.4 * (100 - percent) / 100) * 2 ** 64)
 
 
 def _signed(hashes: np.ndarray) -> np.ndarray:
@@ -105,20 +105,20 @@ def summarize(batches: Iterator[pa.RecordBatch], width: int, percent: int) -> It
         ], names=["doc_id", "n", "set_id", "eligible", "tokens"])
 
 
-def candidate_cells(sets: DataFrame, percent: int) -> DataFrame:
+def candidate_cells(summary: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     """rep and token: the first n-grams of each distinct set, in the order rare before frequent, that
-    another set has as well. N-grams above the cut aren't counted and come last."""
-    rows = sets.select("rep", F.explode("tokens").alias("token"))
+    another document has as well. N-grams above the cut aren't counted and come last."""
+    rows = summary.select("doc_id", F.explode("tokens").alias("token"))
     shared = rows.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
     low = F.col("token") < F.lit(min(_cut(percent), 2 ** 64 - 1) - 2 ** 63)
-    per_set = rows.join(shared, "token").groupBy("rep").agg(
-        F.array_sort(F.collect_list(F.when(low, F.struct("df", "token")))).alias("counted"),
-        F.collect_list(F.when(~low, F.col("token"))).alias("rest"))
+    per_document = rows.join(shared, "token").groupBy("doc_id").agg(
+        F.array_sort(F.collect_set(F.when(low, F.struct("df", "token")))).alias("counted"),
+        F.collect_set(F.when(~low, F.col("token"))).alias("rest"))
     prefix = F.col("n") + 1 - F.ceil(F.col("n") * percent / 100)
-    # N-grams of one set alone come before all of these.
+    # N-grams of one document alone come before all of these.
     alone = F.col("eligible") - F.size("counted")
     first = F.slice("counted", F.lit(1), F.greatest(prefix - alone, F.lit(0)).cast("int"))
-    return per_set.join(sets.select("rep", "n", "eligible"), "rep").select(
+    return per_document.withColumnRenamed("doc_id", "rep").join(reps, "rep").select(
         "rep", F.explode(F.concat(F.transform(first, lambda s: s["token"]), "rest")).alias("token"))
 
 
@@ -193,16 +193,14 @@ def link_documents(docs: DataFrame, width: int = 5, percent: int = 80, few: int
     """
     summary = written(
         texts(docs).mapInArrow(lambda batches: summarize(batches, width, percent), SETS), "ngram-sets")
-    sets = summary.where("n > 0 and doc_id is not null").groupBy("set_id").agg(
-        F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("eligible").alias("eligible"),
-        F.first("tokens").alias("tokens"))
-    cells = written(candidate_cells(sets, percent), "ngram-cells")
+    known = written(summary.where("n > 0 and doc_id is not null").groupBy("set_id").agg(
+        F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("eligible").alias("eligible")),
+        "ngram-classes")
+    cells = written(candidate_cells(summary, known.select("rep", "n", "eligible"), percent), "ngram-cells")
     hubs = cells.groupBy("token").agg(F.min("rep").alias("hub"), F.count("*").alias("m")).where("m > 1")
     pairs = cells.join(hubs, "token").select(F.col("rep").alias("a"), F.col("hub").alias("b"))
     groups = components(pairs, "ngram-groups").withColumnsRenamed({"node": "rep", "component": "group"})
-    known = summary.where("n > 0 and doc_id is not null").groupBy("set_id").agg(
-        F.min("doc_id").alias("rep"), F.first("n").alias("n"))
-    members = written(known.join(groups, "rep"), "ngram-members")
+    members = written(known.drop("eligible").join(groups, "rep"), "ngram-members")
     units = _units(members, percent)
     ids = members.select(F.col("rep").alias("doc_id")).distinct()
     if members.count() <= few:
