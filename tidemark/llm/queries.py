@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe_documents, fingerprints, ngram_join, packing, quality, secrets, sharding, toxicity
+from tidemark.llm import bpe_documents, embedding_dedup, fingerprints, ngram_join, packing, quality, secret_scan, sharding, toxicity
 from tidemark.llm.common import table
 
 
@@ -32,7 +32,11 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secrets.digest_secrets(secrets.scan_secrets(table(spark, sf_dir, "documents")))
+    return secret_scan.digest_secrets(secret_scan.scan_secrets(table(spark, sf_dir, "documents")))
+
+
+def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.link_vectors(table(spark, sf_dir, "embeddings"), threshold=0.9)
 
 
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -46,7 +50,7 @@ def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_toxicity, op3_best_fit_packing, op4_ngram_jaccard_join,
-                                 op6_sharding, op7_secret_scan, op9_byte_bpe, op10_document_fingerprints)}
+                                 op6_sharding, op7_secret_scan, op8_embedding_near_dedup, op9_byte_bpe, op10_document_fingerprints)}
 # DuckDB has neither crc32 nor match positions, and the other operators train, iterate or call a
 # tokenizer: each is tested against a plain version instead.
 ORACLE: dict[str, str] = {}
