@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe_documents, embedding_dedup, fingerprints, ngram_join, packing, quality, secret_scan, sharding, toxicity
+from tidemark.llm import bpe_documents, embedding_dedup, fingerprints, licenses, ngram_join, packing, quality, secret_scan, sharding, toxicity
 from tidemark.llm.common import table
 
 
@@ -27,6 +27,10 @@ def op4_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.link_documents(table(spark, sf_dir, "documents"), width=3, percent=90)
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(table(spark, sf_dir, "documents"))
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_documents(table(spark, sf_dir, "documents"), shards=8)
 
@@ -49,7 +53,7 @@ def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprint_documents(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_toxicity, op3_best_fit_packing, op4_ngram_jaccard_join,
+QUERIES = {f.__name__: f for f in (op1_quality_classifier, op2_toxicity, op3_best_fit_packing, op4_ngram_jaccard_join, op5_license_scan,
                                  op6_sharding, op7_secret_scan, op8_embedding_near_dedup, op9_byte_bpe, op10_document_fingerprints)}
 # DuckDB has neither crc32 nor match positions, and the other operators train, iterate or call a
 # tokenizer: each is tested against a plain version instead.
