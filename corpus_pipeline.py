@@ -1,23 +1,110 @@
-"""From raw documents to packed training sequences, stage by stage."""
+"""From raw documents to packed training sequences, stage by stage.
+
+Each stage works on all that the one before it kept, and is written before the next one reads it.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tidemark.llm import ngram_join, packing, quality, secret_scan, toxicity
 from tidemark.llm.common import table, written
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = []
+REDACTED = "[SECRET]"
+# Up to so many rows of ids (and spans) are sent to every task; beyond it both sides are shuffled.
+FEW = 500_000
+
+
+def _sized(rows: DataFrame) -> DataFrame:
+    return F.broadcast(rows) if rows.count() <= FEW else rows
+
+
+def _without(docs: DataFrame, rejected: DataFrame, name: str) -> DataFrame:
+    """docs but for the rejected ids. Rows without an id can't be named and stay."""
+    ids = written(rejected.where("doc_id is not null").select("doc_id").distinct(), name)
+    return docs.join(_sized(ids.withColumnRenamed("doc_id", "rejected_id")),
+                     docs["doc_id"] == F.col("rejected_id"), "left_anti")
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    scored = toxicity.score_toxicity(docs, table(spark, sf_dir, "labels"))
+    return _without(docs, scored.where("toxic"), "toxic-ids")
+
+
+def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return _without(docs, quality.score_quality(docs).where(~F.col("kept")), "poor-ids")
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The first document of each group of near copies. Of rows that share an id one stays; rows without
+    an id go, since the stages after this one tell documents apart by it."""
+    linked = ngram_join.link_documents(docs, width=5, percent=80)
+    single = _without(docs, linked.where("component_id <> doc_id"), "copy-ids").where("doc_id is not null")
+    counts = docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1")
+    repeated = written(counts.select(F.col("doc_id").alias("repeated_id")), "repeated-ids")
+    if repeated.isEmpty():
+        return single
+    same = F.col("doc_id") == F.col("repeated_id")
+    return single.join(repeated, same, "left_anti").union(
+        single.join(repeated, same, "left_semi").dropDuplicates(["doc_id"]))
+
+
+def _merged(spans: Column) -> Column:
+    """Overlapping and touching spans joined; spans come in order of their starts."""
+    empty = F.array().cast("array<struct<start:int,stop:int>>")
+
+    def add(done: Column, s: Column) -> Column:
+        last = F.try_element_at(done, F.lit(-1))
+        own = F.struct(s["start"].alias("start"), s["stop"].alias("stop"))
+        longer = F.struct(last["start"].alias("start"), F.greatest(last["stop"], s["stop"]).alias("stop"))
+        return F.when(last.isNotNull() & (last["stop"] >= s["start"]), F.concat(
+            F.slice(done, F.lit(1), F.size(done) - 1), F.array(longer))).otherwise(F.concat(done, F.array(own)))
+
+    return F.aggregate(spans, empty, add)
+
+
+def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document, with what was found replaced by a mark and n_chars brought up to date."""
+    found = written(
+        secret_scan.scan_secrets(docs).where(F.size("spans") > 0)
+        .select(F.col("doc_id").alias("found_id"), _merged(F.col("spans")).alias("found_spans")), "found-spans")
+    joined = docs.join(_sized(found), docs["doc_id"] == F.col("found_id"), "left")
+    # From the last span to the first, so that places before it stay right.
+    clean = F.aggregate(F.reverse("found_spans"), docs["text"], lambda text, s: F.concat(
+        F.substring(text, F.lit(1), s["start"]), F.lit(REDACTED),
+        F.substring(text, s["stop"] + 1, F.length(text))))
+    text = F.when(F.col("found_id").isNotNull(), clean).otherwise(docs["text"])
+    changed = {"text": text.alias("text")}
+    if "n_chars" in docs.columns:
+        changed["n_chars"] = F.when(F.col("found_id").isNotNull(), F.length(clean).cast("bigint")).otherwise(
+            docs["n_chars"]).alias("n_chars")
+    return joined.select(*(changed.get(c, docs[c]) for c in docs.columns))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), capacity=4096, end_id=1)
+
+
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("toxicity", drop_toxic),
+    ("quality", drop_poor),
+    ("near_copies", drop_near_copies),
+    ("secrets", redact_secrets),
+    ("packing", pack),
+]
 
-# The first stages train on samples of labels, which SQL cannot express; tests hold the rows against
-# a plain version.
+# The first stages train models and the last calls a tokenizer, which SQL cannot express: the tests
+# hold each stage against a plain version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rows of the last stage, each stage having worked on all that the one before it kept."""
+    """The rows of the last stage."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), name)
+        docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
     return docs
