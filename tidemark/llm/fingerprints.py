@@ -21,7 +21,6 @@ K, S = 12, 4
 PIECE = 8192
 # Hashes in a fingerprint: the least ones of a text's anchors, all of them for short texts.
 SKETCH = 128
-_NONE = "array<struct<pos:int,hash:int>>"
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -29,67 +28,77 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def _piece_anchors(text: Column) -> Column:
+def _piece_anchors(text: Column, shift: Column) -> Column:
+    last = K - S
+
     def of(chars: Column) -> Column:
         inner = F.transform(F.slice(chars, F.lit(1), F.size(chars) - (S - 1)), lambda c, i: F.hash(
             c, *(F.get(chars, i + k) for k in range(1, S))))
 
         def closed(h: Column) -> Column:
-            last = K - S
-            places = F.filter(
-                F.sequence(F.lit(0), F.size(chars) - K),
-                lambda i: F.least(F.get(h, i), F.get(h, i + last))
-                <= F.least(*(F.get(h, i + k) for k in range(1, last))))
-            # Inner runs a width apart make up the whole run.
-            return F.transform(places, lambda i: F.struct(
-                i.alias("pos"), F.hash(*(F.get(h, i + k) for k in range(0, K, S))).alias("hash")))
+            ends = F.zip_with(F.slice(h, F.lit(1), F.size(h) - last), F.slice(h, F.lit(1 + last), F.size(h)),
+                              lambda a, z: F.least(a, z))
+
+            def anchor(end: Column, i: Column) -> Column:
+                # Most places fail at the first comparisons.
+                least = end <= F.get(h, i + 1)
+                for k in range(2, last):
+                    least = least & (end <= F.get(h, i + k))
+                # Inner runs a width apart make up the whole run.
+                own = F.hash(*(F.get(h, i + k) for k in range(0, K, S))).cast("bigint")
+                return F.when(least, (i + shift).cast("bigint") * F.lit(1 << 32) + own + F.lit(1 << 31))
 
-        return F.when(F.size(chars) >= K, _let(inner, closed)).otherwise(F.array().cast(_NONE))
+            return F.array_compact(F.transform(ends, anchor))
+
+        return F.when(F.size(chars) >= K, _let(inner, closed)).otherwise(F.array().cast("array<bigint>"))
 
     return _let(F.split(text, ""), of)
 
 
 def anchors(text: Column) -> Column:
-    """The anchors of a text: array of pos, in characters from 0, and hash. None if it is shorter than
-    K characters."""
+    """The anchors of a text, in order: its place, in characters from 0, times 2 ** 32, plus its hash.
+    None if the text is shorter than K characters."""
     n = F.length(text)
     pieces = F.when(n <= 2 * PIECE, F.array(text)).otherwise(F.transform(
         F.sequence(F.lit(0), F.greatest(n - K, F.lit(0)), F.lit(PIECE)),
         lambda at: F.substring(text, at + 1, F.lit(PIECE + K - 1))))
-    return F.flatten(F.transform(pieces, lambda piece, j: F.transform(
-        _piece_anchors(piece), lambda a: F.struct(
-            (a["pos"] + j * PIECE).cast("int").alias("pos"), a["hash"].alias("hash")))))
+    return F.flatten(F.transform(pieces, lambda piece, j: _piece_anchors(piece, j * PIECE)))
+
+
+def place_of(anchor: Column) -> Column:
+    return F.shiftright(anchor, 32)
 
 
 def _sketch(hashes: Column) -> Column:
-    return F.slice(F.array_sort(F.array_distinct(hashes)), 1, SKETCH)
+    return F.slice(F.sort_array(F.array_distinct(hashes)), 1, SKETCH)
 
 
 def _short(text: Column) -> Column:
     """What stands in for the anchors of a text without any: its own hash, if it isn't empty."""
-    return F.when(F.length(text) > 0, F.array(F.hash(text))).otherwise(F.array().cast("array<int>"))
+    return F.when(F.length(text) > 0, F.array(F.hash(text).cast("bigint") + F.lit(1 << 31))).otherwise(
+        F.array().cast("array<bigint>"))
 
 
 def _hashes(found: Column) -> Column:
-    return F.transform(found, lambda a: a["hash"])
+    return F.transform(found, lambda a: a.bitwiseAND(F.lit((1 << 32) - 1)))
 
 
 def sketch(text: Column) -> Column:
-    """The fingerprint of a text, as array<int>."""
+    """The fingerprint of a text, as array<bigint> of 32-bit hashes."""
     return _let(anchors(text), lambda a: F.when(F.size(a) > 0, _sketch(_hashes(a))).otherwise(_short(text)))
 
 
 def likeness(a: Column, b: Column) -> Column:
     """Jaccard likeness of two fingerprints, from 0 to 1: among the least hashes of both together, the
     share that both have. Two empty ones are alike."""
-    union = F.slice(F.array_sort(F.array_union(a, b)), 1, SKETCH)
+    union = F.slice(F.sort_array(F.array_union(a, b)), 1, SKETCH)
     return _let(union, lambda u: F.when(F.size(u) == 0, 1.0).otherwise(
         F.size(F.array_intersect(F.array_intersect(u, a), b)) / F.size(u)))
 
 
 def printed(hashes: Column) -> Column:
     return F.array_join(F.transform(hashes, lambda h: F.lpad(
-        F.lower(F.hex(F.pmod(h.cast("bigint"), F.lit(1 << 32)))), 8, "0")), "")
+        F.lower(F.hex(h)), 8, "0")), "")
 
 
 def with_next(docs: DataFrame, parts: int) -> DataFrame:
@@ -130,17 +139,25 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
     parts = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     own = texts(docs).withColumn("text", F.coalesce("text", F.lit("")))
     order = W.partitionBy("run").orderBy("late", "doc_id", "text")
-    rows = with_next(own, parts).withColumn("next", F.coalesce(F.lead("text").over(order), F.lit("")))
+    rows = with_next(own, parts).withColumn("own", anchors(F.col("text")))
+    # The next text's anchors come with it: a text's are computed once.
+    rows = rows.select(
+        "run", "late", "doc_id", "text", "own", F.coalesce(F.lead("text").over(order), F.lit("")).alias("next"),
+        F.lead("own").over(order).alias("next_own"))
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
-    head, tail = F.left("text", n - half), F.left("next", half)
     cut = rows.select(
-        "run", "late", "doc_id", "text", n.cast("bigint").alias("n_chars"), head.alias("head"), tail.alias("tail"),
-        anchors(F.col("text")).alias("own"), anchors(tail).alias("added"))
+        "run", "late", "doc_id", "text", "own", n.cast("bigint").alias("n_chars"),
+        F.left("text", n - half).alias("head"), F.left("next", half).alias("tail"),
+        F.coalesce("next_own", F.array().cast("array<bigint>")).alias("next_own"))
     edited = F.concat("head", "tail")
     seam = anchors(F.concat(F.right("head", F.lit(K - 1)), F.left("tail", F.lit(K - 1))))
-    kept = F.filter("own", lambda a: a["pos"] + K <= F.length("head"))
-    together = F.concat(_hashes(kept), _hashes(F.col("added")), _hashes(seam))
+
+    def up_to(column: str, end: Column) -> Column:
+        return F.filter(column, lambda a: place_of(a) + K <= end)
+
+    together = F.concat(_hashes(up_to("own", F.length("head"))), _hashes(up_to("next_own", F.length("tail"))),
+                        _hashes(seam))
     printed_rows = cut.select(
         "run", "late", "doc_id", "text", "n_chars",
         F.sha2(F.encode(edited, "UTF-8"), 256).alias("edited_sha256"),
