@@ -43,6 +43,25 @@ def test_strict_fails(spark, bad, ansi):
         spark.conf.unset("spark.sql.ansi.enabled")
 
 
+@pytest.mark.parametrize("bad", [*BAD, "1,CNY, 2"])
+@pytest.mark.parametrize("use", [
+    lambda df: df.count(), lambda df: df.select("currency").collect(),
+    lambda df: df.groupBy("currency").count().collect()])
+def test_strict_fails_whatever_is_used(spark, bad, use):
+    with pytest.raises(Exception, match="not a record of"):
+        use(codecs.decode_rates(lines(spark, "1,CNY,2", bad)))
+
+
+@pytest.mark.parametrize("bad", ["x,2,3,pv,5", "1,2,3,pv", "1,2,3,pv,5,6", "1, 2,3,pv,5"])
+@pytest.mark.parametrize("use", [
+    lambda df: df.count(), lambda df: df.select("item_id", "behavior").collect(),
+    lambda df: df.groupBy("behavior").count().collect()])
+def test_csv_fails_whatever_is_used(spark, tmp_path, bad, use):
+    (tmp_path / "feed.csv").write_text(f"1,2,3,pv,5\n\n{bad}\n")
+    with pytest.raises(Exception, match="not a record of"):
+        use(csv_records(spark, str(tmp_path)))
+
+
 def test_quarantine_keeps_everything(spark):
     good, bad = codecs.decode_quarantine(lines(spark, "1,CNY,2", *BAD), RATE)
     assert rows(good, *good.columns) == [(1, "CNY", 2)]

@@ -16,11 +16,9 @@ from tidemark.functions.codecs import decode_orders, decode_rates, encode, encod
 from tidemark.functions.eventtime import epoch_millis, from_epoch_millis, from_epoch_seconds, naive
 from tidemark.operators.lateness import mark_late
 from tidemark.operators.windows import session_count, tumbling_count
-from tidemark.plans.conversion import converted_orders, sales_ranking, sales_report, sales_sums
-from tidemark.plans.hot_items import hot_items, hot_items_report, item_views, page_views
-from tidemark.plans.sessions import user_self_join, user_sessions
-from tidemark.plans.conversion import rank_sales
-from tidemark.plans.hot_items import rank_items
+from tidemark.plans.conversion import converted_orders, rank_sales, sales_ranking, sales_report, sales_sums
+from tidemark.plans.hot_items import hot_items, hot_items_report, item_views, page_views, rank_items
+from tidemark.plans.sessions import user_self_join, user_session_counts, user_sessions
 from tidemark.session import configure, configure_state_store
 from tidemark.sources.schemas import BEHAVIOR
 from tidemark.sources.tables import behavior_feed, event_stream, events, orders_feed, rate_feed
@@ -196,6 +194,13 @@ def _(spark, sf_dir):
     return _late_rows(spark, sf_dir, "10 seconds", "3500 milliseconds")
 
 
+@query("late_rows_dropped", f"""SELECT event_id, user_id, ts, window_end
+  FROM ({_late_sql(3_600_000_000, 3_600_000_000)}) WHERE NOT late""")
+def _(spark, sf_dir):
+    """What a windowed operator gets to see: rows whose window was still open when they came."""
+    return _late_rows(spark, sf_dir, "1 hour", "1 hour").where(~F.col("late")).drop("late")
+
+
 # --- filter, windows, aggregates -------------------------------------------------------------
 
 
@@ -269,11 +274,24 @@ def _(spark, sf_dir):
     return user_sessions(behavior_feed(ev, "cart"), behavior_feed(ev, "buy"), SESSION_GAP)
 
 
-@query("session_self_join", f"""WITH {_BEHAVIOR}, buys AS (SELECT user_id FROM behavior_feed WHERE behavior = 'buy')
+@query("session_self_join", f"""WITH {_BEHAVIOR}
   SELECT user_id, user_id || ' joined ' || user_id AS msg, count(*) AS n_left, count(*) AS n_right
-  FROM buys GROUP BY user_id""")
+  FROM behavior_feed WHERE user_id IS NOT NULL GROUP BY user_id""")
+def _(spark, sf_dir):
+    return user_self_join(behavior_feed(events(spark, sf_dir)))
+
+
+@query("session_join_counts", f"""WITH {_BEHAVIOR}, marked AS (
+  SELECT event_id, user_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id)
+    <= INTERVAL 6 HOUR THEN 0 ELSE 1 END AS opens FROM behavior_feed WHERE user_id IS NOT NULL),
+numbered AS (
+  SELECT *, sum(opens) OVER (PARTITION BY user_id ORDER BY ts, event_id
+                             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sid FROM marked)
+  SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 6 HOUR AS session_end,
+         count(*) AS n_left, count(*) AS n_right, user_id || ' joined ' || user_id AS msg
+  FROM numbered GROUP BY user_id, sid""")
 def _(spark, sf_dir):
-    return user_self_join(behavior_feed(events(spark, sf_dir), "buy"))
+    return user_session_counts(behavior_feed(events(spark, sf_dir)), SESSION_GAP)
 
 
 # --- rankings --------------------------------------------------------------------------------

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.durations import Duration
 from tidemark.operators.joins import key_join_counts, session_window_join
+from tidemark.operators.windows import session_count
 
 # Fixed value: inactivity that ends a session.
 SESSION_GAP = "10 minutes"
@@ -31,3 +32,12 @@ def user_self_join(behavior: DataFrame) -> DataFrame:
     return key_join_counts(behavior, behavior, "user_id").select(
         "user_id", joined_message("user_id", "user_id").alias("msg"), "n_left", "n_right"
     )
+
+
+def user_session_counts(behavior: DataFrame, gap: Duration = SESSION_GAP, ts: str = "ts") -> DataFrame:
+    """``user_id, session_start, session_end, n_left, n_right, msg``: the session join of the whole feed
+    with itself. Its rows carry nothing but the line ``msg``, n_left * n_right times per session, so
+    the two counts state it in full."""
+    return session_count(behavior.where(F.col("user_id").isNotNull()), ["user_id"], ts, gap, "n_left").select(
+        "user_id", "session_start", "session_end", "n_left", F.col("n_left").alias("n_right"),
+        joined_message("user_id", "user_id").alias("msg"))

@@ -22,6 +22,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # A query over several streams goes by the slowest of their watermarks.
     "spark.sql.streaming.multipleWatermarkPolicy": "min",
+    # A user's rows merge into sessions before they are shuffled, so a hot user leaves a task as few rows.
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
 }
 
 # For streams with large keyed state.

@@ -55,11 +55,22 @@ def csv_records(
     streaming: bool = False,
     max_files_per_trigger: int | None = None,
 ) -> DataFrame:
-    """Headerless CSV in declared field order; a malformed line fails the query."""
-    reader = spark.readStream if streaming else spark.read
-    if streaming and max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    return reader.schema(schema).option("header", False).option("mode", "FAILFAST").csv(path)
+    """Headerless CSV in declared field order; a malformed line fails the query, whatever is selected
+    or counted: lines are parsed whole, and the check is a filter that pruning can't take away."""
+    corrupt = "_corrupt"
+    parsed = T.StructType([*schema.fields, T.StructField(corrupt, T.StringType())])
+    rec = F.from_csv("value", parsed.simpleString()[len("struct<"):-1].replace(":", " "),
+                     {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt})
+    complaint = F.concat(F.lit("malformed line, not a record of ("), F.lit(", ".join(schema.names)),
+                         F.lit("): "), "value")
+    return (
+        text_lines(spark, path, streaming, max_files_per_trigger)
+        .where("trim(value) <> ''")
+        .select("value", rec.alias("rec"))
+        .where(F.when(F.col(f"rec.{corrupt}").isNull(), True).otherwise(
+            F.raise_error(complaint).cast("boolean")))
+        .select(*(F.col(f"rec.{name}").alias(name) for name in schema.names))
+    )
 
 
 def csv_twice(spark: SparkSession, path: str, streaming: bool = False, **kwargs) -> tuple[DataFrame, DataFrame]:
