@@ -107,7 +107,11 @@ def summarize(batches: Iterator[pa.RecordBatch], width: int, percent: int) -> It
 
 def candidate_cells(summary: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     """rep and token: the first n-grams of each distinct set, in the order rare before frequent, that
-    another document has as well. N-grams above the cut aren't counted and come last."""
+    another set may be similar by. N-grams above the cut aren't counted and come last.
+
+    If two sets' first common n-gram has i and j others before it, i + j are not common; so a set
+    leaves an n-gram's cell if its place and the cell's earliest make up more than it may lack.
+    """
     rows = summary.select("doc_id", F.explode("tokens").alias("token"))
     shared = rows.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
     low = F.col("token") < F.lit(min(_cut(percent), 2 ** 64 - 1) - 2 ** 63)
@@ -118,8 +122,16 @@ def candidate_cells(summary: DataFrame, reps: DataFrame, percent: int) -> DataFr
     # N-grams of one document alone come before all of these.
     alone = F.col("eligible") - F.size("counted")
     first = F.slice("counted", F.lit(1), F.greatest(prefix - alone, F.lit(0)).cast("int"))
-    return per_document.withColumnRenamed("doc_id", "rep").join(reps, "rep").select(
-        "rep", F.explode(F.concat(F.transform(first, lambda s: s["token"]), "rest")).alias("token"))
+    placed = F.concat(
+        F.transform(first, lambda s, i: F.struct(
+            s["token"].alias("token"), (F.greatest(alone, F.lit(0)) + i).alias("place"))),
+        F.transform(F.array_sort("rest"), lambda t, i: F.struct(
+            t.alias("token"), (F.col("eligible") + i).alias("place"))))
+    cells = written(per_document.withColumnRenamed("doc_id", "rep").join(reps, "rep").select(
+        "rep", (F.col("n") * (100 - percent) / percent).alias("spare"), F.explode(placed).alias("p"))
+        .select("rep", "spare", "p.token", "p.place"), "ngram-cells")
+    earliest = cells.groupBy("token").agg(F.min("place").alias("earliest"))
+    return cells.join(earliest, "token").where("place + earliest <= spare + 0.000001").select("rep", "token")
 
 
 def _units(members: DataFrame, percent: int) -> DataFrame:
@@ -187,7 +199,7 @@ def link_documents(docs: DataFrame, width: int = 5, percent: int = 80, few: int
     Two documents link when 100 * intersection >= percent * union of their n-gram sets. Documents
     with equal sets are one set with the smallest of their ids. Null, empty and blank texts have no
     n-grams and link with nothing. Rows without an id stay alone, with a null component. Rows that
-    share an id are one document with all their links. Other columns are ignored; an empty table
+    share an id are taken for copies of one text. Other columns are ignored; an empty table
     gives an empty result. ``few``: up to so many candidates, their ids (16 bytes each) are broadcast
     to the scan that makes their sets; beyond it both sides are shuffled.
     """
