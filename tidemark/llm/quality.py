@@ -135,9 +135,9 @@ class LabelModel:
 
 
 def fit_label_model(patterns: np.ndarray, counts: np.ndarray, rounds: int = 100) -> LabelModel:
-    """EM from the majority's view. Labellers are taken to be better than chance at the start only."""
-    good_votes, bad_votes = (patterns == GOOD).sum(1), (patterns == BAD).sum(1)
-    q = np.clip((good_votes + 1) / (good_votes + 3 * bad_votes + 2), 0.05, 0.95)
+    """EM from the view that a bad vote is seldom wrong: documents are bad in different ways, each of
+    which only some labellers see, so the majority would outvote them."""
+    q = 0.95 * 0.2 ** (patterns == BAD).sum(1)
     model = LabelModel(0.5, np.full((patterns.shape[1], 2, 3), 1 / 3))
     for _ in range(rounds):
         share = float((counts * q).sum() / max(1, counts.sum()))
