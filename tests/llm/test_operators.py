@@ -353,3 +353,35 @@ def test_vectors(spark):
     assert all((got[i].n_links, got[i].component_id, got[i].kept) == (0, i, True) for i in range(900, 905))
     assert got[301].component_id == 300 and not got[301].kept
     assert embedding_dedup.link_vectors(table.where("false")).count() == 0
+
+
+def plain_links(x):
+    """Links at 0.9 and the least vector of each one's component."""
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    link = unit @ unit.T >= 0.9
+    np.fill_diagonal(link, False)
+    label = np.arange(len(x))
+    while True:
+        fresh = np.minimum(label, np.where(link, label, len(x)).min(1))
+        if (fresh == label).all():
+            return link.sum(1).tolist(), label.tolist()
+        label = fresh
+
+
+def vector_table(spark, x):
+    return spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+
+
+def test_links_between_saturated_groups(spark):
+    draw = np.random.default_rng(5)
+    x = draw.standard_normal((300, 64))
+    # Groups of 40 with cosines of about 0.98 inside, whose middles are at about 0.93.
+    middle = draw.standard_normal(64)
+    for at in (0, 40, 80):
+        own = middle + 0.27 * draw.standard_normal(64)
+        x[at:at + 40] = own + 0.14 * draw.standard_normal((40, 64))
+    n_links, component = plain_links(x)
+    assert min(n_links[:120]) > 40
+    got = {r.vec_id: r for r in embedding_dedup.link_vectors(vector_table(spark, x)).collect()}
+    assert [got[i].n_links for i in range(300)] == n_links
+    assert [got[i].component_id for i in range(300)] == component

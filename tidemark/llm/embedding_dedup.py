@@ -2,10 +2,11 @@
 
 Every vector keeps a short list of its nearest ones so far. Lists start from neighbours in the order
 of random sign codes; then, round after round, the members of each list and of the lists it stands in
-are compared with each other, and better neighbours replace worse ones, until few lists change. An
-audit compares some vectors with all others and has the search go on while too many links are
-missing. A list that holds nothing but links is saturated: it is enlarged to all that links lead to,
-and those are compared in blocks.
+are compared with each other, and better neighbours replace worse ones, until few lists change. Links
+are kept apart from the lists: one that was met once stays. An audit compares some vectors with all
+others and has the search widened while too many links are missing. A list that holds nothing but
+links is saturated: what it lacks can lie outside its group, too. Saturated vectors are compared in
+blocks, each with all blocks that are near enough for a link.
 """
 
 from __future__ import annotations
@@ -49,7 +50,7 @@ def unit_vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             names=["vec_id", "unit", "half"])
 
 
-def sign_codes(batches: Iterator[pa.RecordBatch], tables: int) -> Iterator[pa.RecordBatch]:
+def sign_codes(batches: Iterator[pa.RecordBatch], tables: range) -> Iterator[pa.RecordBatch]:
     """Each vector with the signs of 64 random projections, for each of several sets of them. A code
     begins with the vector's length, so that only comparable ones stand together."""
     for batch in batches:
@@ -61,7 +62,7 @@ def sign_codes(batches: Iterator[pa.RecordBatch], tables: int) -> Iterator[pa.Re
             for size in np.unique(lengths):
                 own = np.flatnonzero(lengths == size)
                 x = np.stack([np.frombuffer(halves[i], np.float16) for i in own]).astype(np.float32)
-                for t in range(tables):
+                for t in tables:
                     planes = np.random.default_rng([17, t, int(size)]).standard_normal((int(size), 64))
                     bits = np.packbits(x @ planes > 0, axis=1)
                     yield pa.RecordBatch.from_arrays([
@@ -99,9 +100,9 @@ def _edges(u, v, sims) -> pa.RecordBatch:
 EDGES = "u bigint, v bigint, sim float"
 
 
-def compare_lists(rows: pa.Table) -> pa.Table:
+def compare_lists(rows: pa.Table, near: float) -> pa.Table:
     """For the lists of several vectors w: pairs of members, at least one of them new in the list, that
-    are better than the worst that a member has."""
+    are better than the worst that a member has, or at least ``near``."""
     w = rows.column("w").to_numpy()
     order = np.argsort(w, kind="stable")
     cuts = np.flatnonzero(np.diff(w[order], prepend=w[order[0]] - 1)) if len(w) else np.zeros(0, int)
@@ -117,7 +118,7 @@ def compare_lists(rows: pa.Table) -> pa.Table:
         x = np.stack([np.frombuffer(halves[i], np.float16) for i in own]).astype(np.float32)
         sims = x @ x.T
         ok = (new[own][:, None] | new[own][None, :]) & (members[own][:, None] != members[own][None, :])
-        i, j = np.nonzero(ok & (sims > worst[own][:, None]))
+        i, j = np.nonzero(ok & (sims > np.minimum(worst[own], near)[:, None]))
         out_u.append(members[own[i]])
         out_v.append(members[own[j]])
         out_s.append(sims[i, j])
@@ -133,8 +134,8 @@ def _best(edges: DataFrame, k: int) -> DataFrame:
     return once.withColumn("place", F.row_number().over(place)).where(F.col("place") <= k)
 
 
-def descend(graph: DataFrame, halves: DataFrame, k: int) -> DataFrame:
-    """One round over the lists (u, v, sim, fresh, place)."""
+def descend(graph: DataFrame, halves: DataFrame, k: int, near: float) -> DataFrame:
+    """One round over the lists (u, v, sim, fresh, place): the pairs that it meets."""
     buckets = 4 * int(graph.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     back = W.partitionBy("v").orderBy(F.desc("sim"), "u")
     # Of the lists that a vector stands in, the k nearest are its own list's other half.
@@ -146,10 +147,16 @@ def descend(graph: DataFrame, halves: DataFrame, k: int) -> DataFrame:
         F.when(F.count("*") >= k, F.min("sim")).otherwise(F.lit(-2.0)).cast("float").alias("worst"))
     vectors = halves.join(worst, halves["id"] == worst["u"], "left").select(
         F.col("id").alias("m"), "half", F.coalesce("worst", F.lit(-2.0).cast("float")).alias("worst"))
-    found = lists.join(vectors, "m").withColumn("bucket", F.pmod(F.xxhash64("w"), F.lit(buckets))).groupBy(
-        "bucket").applyInArrow(compare_lists, EDGES)
-    old = graph.select("u", "v", "sim", F.lit(False).alias("fresh"))
-    return _best(old.union(found.withColumn("fresh", F.lit(True))), k)
+    return lists.join(vectors, "m").withColumn("bucket", F.pmod(F.xxhash64("w"), F.lit(buckets))).groupBy(
+        "bucket").applyInArrow(lambda rows: compare_lists(rows, near), EDGES)
+
+
+def _merged(graph: DataFrame | None, found: DataFrame, k: int) -> DataFrame:
+    """The lists with the found pairs."""
+    edges = found.select("u", "v", "sim", F.lit(True).alias("fresh"))
+    if graph is not None:
+        edges = graph.select("u", "v", "sim", F.lit(False).alias("fresh")).union(edges)
+    return written(_best(edges, k), "neighbour-lists")
 
 
 def exact_cosines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -160,22 +167,28 @@ def exact_cosines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             [batch.column("a"), batch.column("b"), pa.array(cosines, pa.float64())], names=["a", "b", "cosine"])
 
 
-def _links(graph: DataFrame, units: DataFrame, threshold: float) -> DataFrame:
-    """The lists' edges of at least the threshold, each once: a, b."""
-    close = graph.where(F.col("sim") >= threshold - SLACK).select(
+def _near_pairs(found: DataFrame, threshold: float) -> DataFrame:
+    """The pairs that may be links, each once: a, b."""
+    return found.where(F.col("sim") >= threshold - SLACK).select(
         F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")).distinct()
+
+
+def _links(close: DataFrame, units: DataFrame, threshold: float) -> DataFrame:
+    """The pairs of at least the threshold, each once: a, b."""
     a = units.select(F.col("id").alias("a"), F.col("unit").alias("unit_a"))
     b = units.select(F.col("id").alias("b"), F.col("unit").alias("unit_b"))
-    return close.join(a, "a").join(b, "b").select("a", "b", "unit_a", "unit_b").mapInArrow(
-        exact_cosines, "a bigint, b bigint, cosine double").where(F.col("cosine") >= threshold).select("a", "b")
+    return close.distinct().join(a, "a").join(b, "b").select("a", "b", "unit_a", "unit_b").mapInArrow(
+        exact_cosines, "a bigint, b bigint, cosine double").where(F.col("cosine") >= threshold).select("a", "b").distinct()
 
 
-def audit(units: DataFrame, groups: DataFrame, threshold: float, most: int) -> float:
-    """The share of the links of at most ``most`` vectors, those with the lowest hashes, that lie within
-    a group. The links come from comparing them with all vectors."""
+def audit(units: DataFrame, links: DataFrame, full: DataFrame, threshold: float,
+          most: int) -> tuple[float, DataFrame | None]:
+    """The share of the links of at most ``most`` vectors, those with the lowest hashes, that are among
+    ``links`` or lie between two saturated vectors (``full``), and the missing ones, if any. The links
+    come from comparing them with all vectors."""
     chosen = units.orderBy(F.xxhash64("id"), "id").limit(most).select("id", "unit").toArrow()
     if not len(chosen):
-        return 1.0
+        return 1.0, None
     ids = chosen.column("id").to_numpy()
     raw = chosen.column("unit").to_pylist()
 
@@ -195,35 +208,117 @@ def audit(units: DataFrame, groups: DataFrame, threshold: float, most: int) -> f
             yield pa.RecordBatch.from_arrays([pa.array(q, pa.int64()), pa.array(v, pa.int64())], names=["q", "v"])
 
     true = units.select("id", "unit").mapInArrow(compare, "q bigint, v bigint").where("q <> v")
-    of = groups.select(F.col("node").alias("q"), F.col("component").alias("cq"))
-    to = groups.select(F.col("node").alias("v"), F.col("component").alias("cv"))
-    n, hit = true.join(of, "q", "left").join(to, "v", "left").agg(
-        F.count("*"), F.count(F.when(F.col("cq") == F.col("cv"), 1))).first()
-    return hit / n if n else 1.0
-
-
-def count_within(rows: pa.Table, threshold: float) -> pa.Table:
-    """For the asked vectors of a block pair: the weight of those among the others that they link to."""
+    both = links.union(links.select("b", "a")).toDF("q", "v").withColumn("listed", F.lit(True))
+    judged = true.join(full.select(F.col("id").alias("q"), F.lit(True).alias("fq")), "q", "left").join(
+        full.select(F.col("id").alias("v"), F.lit(True).alias("fv")), "v", "left").join(
+        both, ["q", "v"], "left").withColumn("hit", F.coalesce(F.col("listed"), F.col("fq") & F.col("fv"), F.lit(False)))
+    n, hit = judged.agg(F.count("*"), F.count(F.when(F.col("hit"), 1))).first()
+    missing = None if hit == n else written(judged.where(~F.col("hit")).select(
+        F.least("q", "v").alias("a"), F.greatest("q", "v").alias("b")).distinct(), "missing-links")
+    return hit / n if n else 1.0, missing
+
+
+def block_ball(rows: pa.Table) -> pa.Table:
+    """The middle of a block's vectors and the largest angle between it and one of them."""
+    x = _rows(rows.column("unit"), np.float64)
+    middle = x.sum(0)
+    length = math.sqrt(float(middle @ middle))
+    middle = middle / length if length > 1e-9 else x[0]
+    radius = float(np.arccos(np.clip(x @ middle, -1, 1)).max())
+    return pa.table({"block": rows.column("block").slice(0, 1), "middle": pa.array([middle.tobytes()], pa.binary()),
+                     "radius": pa.array([radius], pa.float64())})
+
+
+def near_blocks(rows: pa.Table, threshold: float) -> pa.Table:
+    """Pairs of blocks (x >= y) that may hold a link: by the triangle inequality of angles, the others
+    cannot."""
     asked = rows.column("asked").to_numpy(zero_copy_only=False)
     x, y = rows.filter(pa.array(asked)), rows.filter(pa.array(~asked))
-    if not len(x) or not len(y):
-        return pa.table({"id": pa.array([], pa.int64()), "weight": pa.array([], pa.int64())})
+    out_x, out_y = [], []
+    sizes = [np.array([len(m) for m in t.column("middle").to_pylist()]) for t in (x, y)]
+    for size in np.intersect1d(*sizes):
+        p, q = (t.filter(pa.array(n == size)) for t, n in zip((x, y), sizes, strict=True))
+        angles = np.arccos(np.clip(_rows(p.column("middle"), np.float64) @ _rows(
+            q.column("middle"), np.float64).T, -1, 1))
+        reach = p.column("radius").to_numpy()[:, None] + q.column("radius").to_numpy()[None, :]
+        # Angles near 0 are exact to about 1e-8.
+        i, j = np.nonzero(angles <= reach + math.acos(max(-1.0, min(1.0, threshold))) + 1e-6)
+        names = p.column("block").to_pylist(), q.column("block").to_pylist()
+        for a, b in zip(i, j, strict=True):
+            if names[0][a] >= names[1][b]:
+                out_x.append(names[0][a])
+                out_y.append(names[1][b])
+    return pa.table({"x": pa.array(out_x, pa.string()), "y": pa.array(out_y, pa.string())})
+
+
+def count_between(rows: pa.Table, threshold: float) -> pa.Table:
+    """For the vectors of two blocks, or of one block twice: the weight of those that they link to, and
+    the least vector that links within the two lead to."""
+    first = rows.column("first").to_numpy(zero_copy_only=False)
+    same = rows.column("x")[0].as_py() == rows.column("y")[0].as_py()
+    x = rows.filter(pa.array(first))
+    y = x if same else rows.filter(pa.array(~first))
     ids, others = x.column("id").to_numpy(), y.column("id").to_numpy()
     link = _rows(x.column("unit"), np.float64) @ _rows(y.column("unit"), np.float64).T >= threshold
     link &= ids[:, None] != others[None, :]
-    return pa.table({"id": pa.array(ids), "weight": pa.array(link @ y.column("copies").to_numpy())})
+    label, other_label = ids.copy(), others.copy()
+    none = np.iinfo(np.int64).max
+    while True:
+        fresh = np.minimum(label, np.where(link, other_label[None, :], none).min(1))
+        other_fresh = np.minimum(other_label, np.where(link, fresh[:, None], none).min(0))
+        if (fresh == label).all() and (other_fresh == other_label).all():
+            break
+        label, other_label = fresh, other_fresh
+    out = [ids], [link @ y.column("copies").to_numpy()], [label]
+    if not same:
+        for column, more in zip(out, (others, link.T @ x.column("copies").to_numpy(), other_label), strict=True):
+            column.append(more)
+    return pa.table(dict(zip(("id", "weight", "label"), map(np.concatenate, out), strict=True)))
+
+
+def link_saturated(full: DataFrame, groups: DataFrame, units: DataFrame, threshold: float, k: int) -> DataFrame:
+    """All links among the vectors of ``full``, counted without writing pairs: id, weight, label, in rows
+    per vector and pair of blocks."""
+    spark = units.sparkSession
+    own = units.join(full, "id").join(groups.withColumnRenamed("node", "id"), "id", "left").select(
+        "id", "unit", "copies", "component", F.length("unit").alias("length"))
+    # A block's vectors come from one group, so that its ball is small; what is in no large group is mixed.
+    large = own.where("component is not null").groupBy("component").count().where(F.col("count") > k).select("component")
+    dealt = own.join(large.withColumn("large", F.lit(True)), "component", "left").withColumn(
+        "of", F.when(F.col("large"), F.col("component")))
+    sizes = dealt.groupBy("of", "length").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts")).select(
+        F.col("of").alias("s_of"), F.col("length").alias("s_length"), "parts")
+    part = F.pmod(F.xxhash64("id", "unit"), F.col("parts"))
+    members = written(dealt.join(
+        sizes, dealt["of"].eqNullSafe(sizes["s_of"]) & (dealt["length"] == sizes["s_length"])).select(
+        F.concat_ws("/", F.coalesce(F.col("of").cast("string"), F.lit("-")), "length", part.cast("string")).alias("block"),
+        "id", "unit", "copies"), "saturated-vectors")
+    balls = written(members.groupBy("block").applyInArrow(
+        block_ball, "block string, middle binary, radius double"), "vector-blocks")
+    chunks = max(1, math.ceil(balls.count() / BLOCK))
+    chunk, every = F.pmod(F.xxhash64("block"), F.lit(chunks)).cast("int"), F.explode(F.sequence(F.lit(0), F.lit(chunks - 1)))
+    columns = ("block", "middle", "radius")
+    pairs = written(
+        balls.select(*columns, chunk.alias("i"), every.alias("j"), F.lit(True).alias("asked")).union(
+            balls.select(*columns, every.alias("i"), chunk.alias("j"), F.lit(False).alias("asked")))
+        .groupBy("i", "j").applyInArrow(lambda rows: near_blocks(rows, threshold), "x string, y string"), "block-pairs")
+    sides = pairs.join(members, pairs["x"] == members["block"]).withColumn("first", F.lit(True)).union(
+        pairs.where("x <> y").join(members, F.col("y") == F.col("block")).withColumn("first", F.lit(False))).drop("block")
+    return written(sides.groupBy("x", "y").applyInArrow(
+        lambda rows: count_between(rows, threshold), "id bigint, weight bigint, label bigint"), "block-links")
 
 
 def link_vectors(vectors: DataFrame, threshold: float = 0.9, k: int = 10, tables: int = 6, rounds: int = 8,
                  settled: float = 0.02, audited: int = 1000, least_recall: float = 0.98) -> DataFrame:
     """Every row of vectors: vec_id, n_links, component_id, kept and recall (the audit's).
 
-    Rounds end once less than a share ``settled`` of the lists' places change and the audit finds at
-    least ``least_recall`` of the links, or after ``rounds``. Rows with the same direction are one
-    vector in the search and count one by one in n_links. Vectors that are null, empty, zero, or
-    hold null or non-finite components, and rows without an id, link with nothing; so do vectors of
-    different lengths. Different vectors under one id count as one with all their links. Other
-    columns are ignored; an empty table gives an empty result.
+    Rounds pause once less than a share ``settled`` of the lists' places change, or after ``rounds``.
+    While the audit then finds less than ``least_recall`` of the links, lists twice as long and fresh
+    sign codes widen the search; when that no longer helps, all vectors are compared in blocks. Rows
+    with the same direction are one vector in the search and count one by one in n_links. Vectors
+    that are null, empty, zero, or hold null or non-finite components, and rows without an id, link
+    with nothing; so do vectors of different lengths. Different vectors under one id count as one
+    with all their links. Other columns are ignored; an empty table gives an empty result.
     """
     ship_code(vectors.sparkSession)
     own = written(vectors.select(vectors["vec_id"].cast("bigint").alias("vec_id"), "embedding").mapInArrow(
@@ -232,46 +327,55 @@ def link_vectors(vectors: DataFrame, threshold: float = 0.9, k: int = 10, tables
         F.min("vec_id").alias("id"), F.count("*").alias("copies"), F.first("half").alias("half")),
         "distinct-vectors")
     halves = units.select("id", "half")
-    start = halves.mapInArrow(lambda b: sign_codes(b, tables), "t int, code binary, id bigint, half binary")
     n = int(own.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = start.repartitionByRange(n, "t", "code", "id").sortWithinPartitions("t", "code", "id")
-    graph = written(_best(ordered.mapInArrow(lambda b: neighbours_in_order(b, k // 2), EDGES).where("u <> v")
-                          .withColumn("fresh", F.lit(True)), k), "neighbour-lists")
-    recall, links, groups = 1.0, None, None
-    for done in range(rounds + 1):
+
+    def in_code_order(some: range, reach: int) -> DataFrame:
+        start = halves.mapInArrow(lambda b: sign_codes(b, some), "t int, code binary, id bigint, half binary")
+        ordered = start.repartitionByRange(n, "t", "code", "id").sortWithinPartitions("t", "code", "id")
+        return written(ordered.mapInArrow(lambda b: neighbours_in_order(b, reach), EDGES).where("u <> v"),
+                       "neighbour-pairs")
+
+    near = threshold - SLACK
+    found = in_code_order(range(tables), k // 2)
+    graph, met = _merged(None, found, k), written(_near_pairs(found, threshold), "near-pairs")
+    done = 0
+    while True:
         changed, places = graph.agg(F.count(F.when(F.col("fresh"), 1)), F.count("*")).first()
-        if done and changed <= settled * places or not places or done == rounds:
-            links = written(_links(graph, units, threshold), "vector-links")
-            groups = components(links, "vector-groups")
-            recall = audit(units, groups, threshold, audited)
-            if recall >= least_recall or not changed:
+        if not (done and changed <= settled * places or not places or done == rounds):
+            found = written(descend(graph, halves, k, near), "neighbour-pairs")
+            done += 1
+        else:
+            links = written(_links(met, units, threshold), "vector-links")
+            full = written(graph.where(F.col("sim") >= near).groupBy("u").count().where(
+                F.col("count") >= k).select(F.col("u").alias("id")), "saturated-ids")
+            recall, missing = audit(units, links, full, threshold, audited)
+            if missing is not None:
+                links = links.union(missing)
+            if recall >= least_recall or not changed or done == rounds:
                 break
-        if done < rounds:
-            graph = written(descend(graph, halves, k), "neighbour-lists")
-    # Lists of k links may lack some: their groups are compared in full, block by block.
-    full = graph.where(F.col("sim") >= threshold - SLACK).groupBy("u").count().where(F.col("count") >= k)
-    enlarged = groups.join(full, groups["node"] == full["u"], "left_semi").select("component").distinct()
-    members = groups.join(enlarged, "component", "left_semi").join(
-        units.withColumnRenamed("id", "node"), "node").select(
-        "component", F.col("node").alias("id"), "unit", "copies")
-    sizes = members.groupBy("component").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts"))
-    dealt = members.join(sizes, "component").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
-    every = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-    blocks = dealt.select("component", "id", "unit", "copies", F.col("part").alias("i"), every.alias("j"),
-                          F.lit(True).alias("asked")).union(
-        dealt.select("component", "id", "unit", "copies", every.alias("i"), F.col("part").alias("j"),
-                     F.lit(False).alias("asked")))
-    within = blocks.groupBy("component", "i", "j").applyInArrow(
-        lambda rows: count_within(rows, threshold), "id bigint, weight bigint")
+            found = written(descend(graph, halves, k, near), "neighbour-pairs")
+            done += 1
+        graph = _merged(graph, found, k)
+        met = met.union(written(_near_pairs(found, threshold), "near-pairs"))
+    groups = written(components(links, "vector-groups"), "vector-groups")
+    within = link_saturated(full, groups, units, threshold, k)
+    # Groups that saturated vectors join.
+    of = lambda node: groups.select(F.col("node").alias(node), F.col("component").alias(f"{node}_group"))
+    joined = within.where("id <> label").select("id", "label").distinct().join(of("id"), "id", "left").join(
+        of("label"), "label", "left").select(
+        F.coalesce("id_group", "id").alias("a"), F.coalesce("label_group", "label").alias("b")).where("a <> b").distinct()
+    larger = components(joined, "joined-groups").toDF("group", "joined")
     copies = units.groupBy("id").agg(F.sum("copies").alias("copies"))
     both = links.union(links.select("b", "a")).toDF("id", "other")
-    listed = both.join(members.select("id"), "id", "left_anti").join(
+    flag = lambda node: full.select(F.col("id").alias(node), F.lit(True).alias(f"{node}_full"))
+    listed = both.join(flag("id"), "id", "left").join(flag("other"), "other", "left").where(
+        "id_full is null or other_full is null").join(
         copies.toDF("other", "weight"), "other").select("id", "weight")
-    counted = listed.union(within).groupBy("id").agg(F.sum("weight").alias("others"))
-    nodes = copies.join(counted, "id", "left").join(
-        groups.toDF("id", "component"), "id", "left").select(
+    counted = listed.union(within.select("id", "weight")).groupBy("id").agg(F.sum("weight").alias("others"))
+    nodes = copies.join(counted, "id", "left").join(groups.toDF("id", "component"), "id", "left").withColumn(
+        "group", F.coalesce("component", "id")).join(larger, "group", "left").select(
         "id", (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-        F.coalesce("component", "id").alias("component_id"))
+        F.coalesce("joined", "group").alias("component_id"))
     placed = units.select("unit", "id").join(nodes, "id").select("unit", "n_links", "component_id")
     component = F.coalesce("component_id", "vec_id")
     return own.withColumn("unit", F.when(F.col("vec_id").isNotNull(), F.col("unit"))).join(
