@@ -385,3 +385,14 @@ def test_links_between_saturated_groups(spark):
     got = {r.vec_id: r for r in embedding_dedup.link_vectors(vector_table(spark, x)).collect()}
     assert [got[i].n_links for i in range(300)] == n_links
     assert [got[i].component_id for i in range(300)] == component
+
+
+def test_search_goes_on_while_links_are_missing(spark):
+    draw = np.random.default_rng(6)
+    x = draw.standard_normal((800, 64))
+    x[400:] = x[:400] + 0.4 * draw.standard_normal((400, 64))
+    n_links, component = plain_links(x)
+    rows = embedding_dedup.link_vectors(vector_table(spark, x), k=2, tables=1, rounds=0).collect()
+    got = {r.vec_id: r for r in rows}
+    assert sum(r.n_links for r in rows) >= 0.98 * sum(n_links) and rows[0].recall >= 0.98
+    assert sum(got[i].component_id == component[i] for i in range(800)) >= 780

@@ -335,7 +335,7 @@ def link_vectors(vectors: DataFrame, threshold: float = 0.9, k: int = 10, tables
         return written(ordered.mapInArrow(lambda b: neighbours_in_order(b, reach), EDGES).where("u <> v"),
                        "neighbour-pairs")
 
-    near = threshold - SLACK
+    near, used, before = threshold - SLACK, tables, -1.0
     found = in_code_order(range(tables), k // 2)
     graph, met = _merged(None, found, k), written(_near_pairs(found, threshold), "near-pairs")
     done = 0
@@ -351,10 +351,16 @@ def link_vectors(vectors: DataFrame, threshold: float = 0.9, k: int = 10, tables
             recall, missing = audit(units, links, full, threshold, audited)
             if missing is not None:
                 links = links.union(missing)
-            if recall >= least_recall or not changed or done == rounds:
+            if recall >= least_recall:
                 break
-            found = written(descend(graph, halves, k, near), "neighbour-pairs")
-            done += 1
+            if recall - before < (1 - before) / 4:
+                full, recall = units.select("id").distinct(), 1.0
+                break
+            # A gain of less than a quarter of what was missing ends this.
+            before, k, done = recall, 2 * k, 0
+            met = met.union(missing)
+            found = in_code_order(range(used, used + tables), k // 2)
+            used += tables
         graph = _merged(graph, found, k)
         met = met.union(written(_near_pairs(found, threshold), "near-pairs"))
     groups = written(components(links, "vector-groups"), "vector-groups")
