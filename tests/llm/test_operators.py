@@ -396,3 +396,22 @@ def test_search_goes_on_while_links_are_missing(spark):
     got = {r.vec_id: r for r in rows}
     assert sum(r.n_links for r in rows) >= 0.98 * sum(n_links) and rows[0].recall >= 0.98
     assert sum(got[i].component_id == component[i] for i in range(800)) >= 780
+
+
+def test_secrets_inside_runs(spark):
+    draw = random.Random(18)
+    some = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    before = ("AWS_SECRET_ACCESS_KEY=", "/v1/sk_live_", "SIGNATURE=", "a-b/")
+    texts, want = [], {}
+    for i in range(2000):
+        text = prose(i, 200)
+        if i % 20 == 0:
+            key = "".join(draw.choice(some) for _ in range(48))
+            text += " " + before[i // 20 % 4] + key
+            want[i] = (len(text) - 48, len(text))
+        texts.append((i, text))
+    rows = secret_scan.scan_secrets(spark.createDataFrame(texts, "doc_id long, text string")).collect()
+    got = {r.doc_id: {(s.start, s.stop) for s in r.spans if s.kind == "random"} for r in rows}
+    for k in range(4):
+        own = [i for i in want if i // 20 % 4 == k]
+        assert sum(want[i] in got[i] for i in own) >= 0.8 * len(own)

@@ -1,6 +1,7 @@
 """Secrets in text: fixed patterns, and a battery of randomness tests with false-discovery control.
 
-Any long run of token characters is a candidate. Its encoding is inferred from the characters it
+Any long run of token characters is a candidate, cut at inner "="; if no alphabet holds all of a part
+it is cut at "/", "_" and "-" too. A candidate's encoding is inferred from the characters it
 uses; three tests then ask whether its symbols could be uniform draws from that alphabet: chi-squared
 uniformity, runs above and below the middle, and serial correlation. Ordinary text fails the tests,
 but short text fails them less reliably, so the evidence is judged per class of length: stretches
@@ -36,6 +37,9 @@ MIN_ASSIGNED, MIN_ACCESS = 6, 20
 TOKEN = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 MIN_RUN = 20
 LONG_RUN = re.compile(rf"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{{{MIN_RUN},}}")
+# Trailing padding belongs to its part; a separator belongs to none.
+_ASSIGNED = re.compile(r"[^=]+(?:=+\Z)?")
+_PART = re.compile(r"[^=/_-]+(?:=+\Z)?")
 _BLANKED = bytes(b if chr(b) in TOKEN else 32 for b in range(256))
 _WORDY = re.compile(r"[A-Za-z0-9]+")
 
@@ -77,6 +81,21 @@ def infer_encoding(run: str) -> tuple[str, np.ndarray, int] | None:
     return None
 
 
+def candidates(run: str, at: int) -> Iterator[tuple[int, int, tuple[str, np.ndarray, int]]]:
+    """Start, stop and encoding of the parts of a run (which begins at ``at``) that are long enough to
+    be tested."""
+    for m in _ASSIGNED.finditer(run):
+        known = infer_encoding(m.group())
+        if known:
+            found = [(m.start(), m.end(), known)]
+        else:
+            found = [(m.start() + p.start(), m.start() + p.end(), infer_encoding(p.group()))
+                     for p in _PART.finditer(m.group())]
+        for start, stop, known in found:
+            if known and len(known[1]) >= MIN_RUN:
+                yield at + start, at + stop, known
+
+
 def _two_sided(z: float) -> float:
     return math.erfc(abs(z) / math.sqrt(2))
 
@@ -164,10 +183,9 @@ def find_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             base = base_spans(text, long_run)
             runs = []
             for m in LONG_RUN.finditer(text) if long_run else ():
-                known = infer_encoding(m.group())
-                if known and len(known[1]) >= MIN_RUN:
+                for start, stop, known in candidates(m.group(), m.start()):
                     runs.append({
-                        "start": m.start(), "stop": m.end(), "encoding": known[0],
+                        "start": start, "stop": stop, "encoding": known[0],
                         "length_class": length_class(len(known[1])),
                         "step": step_of(battery(known[1], known[2]))})
             plain = ordinary_stretch(text)
