@@ -415,3 +415,23 @@ def test_secrets_inside_runs(spark):
     for k in range(4):
         own = [i for i in want if i // 20 % 4 == k]
         assert sum(want[i] in got[i] for i in own) >= 0.8 * len(own)
+
+
+def test_ordinary_text_counts_whole(spark):
+    text = prose(21, 900) + " Aa9 " + prose(22, 30).upper()
+    letters = secret_scan.ordinary_letters(text).tobytes().decode()
+    want = defaultdict(int)
+    for c, n in enumerate(secret_scan.LENGTHS):
+        for at in range(0, len(letters) - n + 1, n):
+            _, values, size = secret_scan.infer_encoding(letters[at:at + n])
+            want[c, secret_scan.step_of(secret_scan.battery(values, size))] += 1
+    got = {divmod(v >> 32, secret_scan.STEPS + 1): v & 0xffffffff
+           for v in secret_scan.ordinary_column(["", text]).to_pylist()[1]}
+    assert got == want
+    # Few documents, much text: there is enough to compare with.
+    draw = random.Random(23)
+    keys = ["".join(draw.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789") for _ in range(48))
+            for _ in range(20)]
+    rows = [(i, f"{prose(i, 6000)} {keys[i]}") for i in range(20)]
+    found = secret_scan.scan_secrets(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sum(any(s.kind == "random" for s in r.spans) for r in found) >= 15

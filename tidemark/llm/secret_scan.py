@@ -5,10 +5,10 @@ it is cut at "/", "_" and "-" too. A candidate's encoding is inferred from the c
 uses; three tests then ask whether its symbols could be uniform draws from that alphabet: chi-squared
 uniformity, runs above and below the middle, and serial correlation. Ordinary text fails the tests,
 but short text fails them less reliably, so the evidence is judged per class of length: stretches
-of ordinary text (the document's letters and digits without what lies between) are scored the same
-way, a candidate's p-value is the share of ordinary stretches that look at least as random, and
+of ordinary text (the whole document's letters and digits without what lies between, cut one after
+the other for every class) are scored the same way, a candidate's p-value is the share of ordinary stretches that look at least as random, and
 Benjamini-Hochberg bounds the false discoveries among the candidates of the class. Both counts are
-over all documents.
+over all documents; the ordinary text of equal documents counts once.
 """
 
 from __future__ import annotations
@@ -16,7 +16,6 @@ from __future__ import annotations
 import hashlib
 import math
 import re
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -67,7 +66,10 @@ STEPS = 400
 FOUND = ("doc_id bigint, n_assign bigint, n_access bigint, n_hex bigint, "
          "base array<struct<kind:string,start:int,stop:int>>, "
          "runs array<struct<start:int,stop:int,encoding:string,length_class:int,step:int>>, "
-         "plain array<struct<length_class:int,step:int>>")
+         "text_digest binary, plain array<bigint>")
+_FITS = sum(((codes >= 0).astype(np.int16) << a) for a, (_, _, codes) in enumerate(_CODES))
+# Stretches scored at a time, and letters held for it.
+ROWS, HELD = 8192, 1 << 20
 
 
 def infer_encoding(run: str) -> tuple[str, np.ndarray, int] | None:
@@ -149,18 +151,72 @@ def base_spans(text: str, long_run: bool) -> list[tuple[str, int, int]]:
     return sorted(spans, key=lambda s: (s[1], order.index(s[0])))
 
 
-def ordinary_stretch(text: str) -> tuple[int, int] | None:
-    """Length class and step of one stretch of the document's own words, joined; which length and
-    where follows from the text, so that every class gets its share."""
-    mark = zlib.crc32(text.encode("utf-8"))
-    which = mark % len(LENGTHS)
-    want = LENGTHS[which]
-    at = (mark >> 8) % max(1, len(text) - 4 * want)
+def _erfc(z: np.ndarray) -> np.ndarray:
+    return np.fromiter(map(math.erfc, np.abs(z) / math.sqrt(2)), float, len(z))
+
+
+def battery_rows(values: np.ndarray, size: int) -> np.ndarray:
+    """battery() of each row, as steps."""
+    rows, n = values.shape
+    counts = np.bincount((values + np.arange(rows)[:, None] * size).ravel(), minlength=rows * size)
+    chi = (counts.reshape(rows, size) ** 2).sum(1) * size / n - n
+    p_chi = _erfc((chi - (size - 1)) / math.sqrt(2 * (size - 1) * (n - 1) / n))
+    high = values >= size / 2
+    above = high.sum(1)
+    runs = 1 + (high[:, 1:] != high[:, :-1]).sum(1)
+    mean = 1 + 2 * above * (n - above) / n
+    spread = (mean - 1) * (mean - 2) / (n - 1)
+    p_runs = np.where(spread > 0, _erfc((runs - mean) / np.sqrt(np.where(spread > 0, spread, 1.0))), 1.0)
+    p_runs = np.where((above > 0) & (above < n), p_runs, 1e-12)
+    centred = values - (size - 1) / 2
+    serial = (centred[:, 1:] * centred[:, :-1]).sum(1) / (math.sqrt(n - 1) * (size * size - 1) / 12)
+    joint = np.ones(rows)
+    for p in (p_chi, p_runs, _erfc(serial)):
+        joint *= np.maximum(p, 1e-12)
+    half = -np.log(joint)
+    p = np.exp(-half) * (1 + half + half * half / 2)
+    return np.minimum(STEPS, (-20 * np.log10(np.maximum(p, 1e-30))).astype(np.int64))
+
+
+def ordinary_letters(text: str) -> np.ndarray:
     # Tokens of an alphabet's full range would be secrets themselves, so words alone are taken.
-    letters = "".join(w for w in _WORDY.findall(text[at:at + 4 * want]) if len(w) < MIN_RUN)[:want]
-    if len(letters) < want or not (known := infer_encoding(letters)):
-        return None
-    return which, step_of(battery(known[1], known[2]))
+    return np.frombuffer("".join(w for w in _WORDY.findall(text) if len(w) < MIN_RUN).encode("ascii"), np.uint8)
+
+
+def ordinary_counts(letters: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """For each text's letters, the counts of the steps of all its stretches: a list per text, given by
+    its length and its values, (class * (STEPS + 1) + step) * 2 ** 32 + count."""
+    width = len(LENGTHS) * (STEPS + 1)
+    keys = []
+    for c, want in enumerate(LENGTHS):
+        own = np.array([len(x) // want for x in letters])
+        stretches = np.concatenate([x[:k * want] for x, k in zip(letters, own, strict=True)]).reshape(-1, want)
+        owner = np.repeat(np.arange(len(letters)), own)
+        for at in range(0, len(stretches), ROWS):
+            part, whose = stretches[at:at + ROWS], owner[at:at + ROWS]
+            fits = np.bitwise_and.reduce(_FITS[part], axis=1)
+            for a, (_, size, codes) in enumerate(_CODES):
+                # The smallest alphabet is the lowest bit.
+                chosen = (fits & -fits) == 1 << a
+                if chosen.any():
+                    step = battery_rows(codes[part[chosen]].astype(np.int64), size)
+                    keys.append(whose[chosen] * width + c * (STEPS + 1) + step)
+    found, n = np.unique(np.concatenate(keys) if keys else np.zeros(0, np.int64), return_counts=True)
+    return np.bincount(found // width, minlength=len(letters)), (found % width << 32) + n
+
+
+def ordinary_column(texts: list[str]) -> pa.ListArray:
+    sizes, values, held, total = [], [], [], 0
+    for i, text in enumerate(texts):
+        held.append(ordinary_letters(text))
+        total += len(held[-1])
+        if total >= HELD or i == len(texts) - 1:
+            for out, more in zip((sizes, values), ordinary_counts(held), strict=True):
+                out.append(more)
+            held, total = [], 0
+    offsets = np.concatenate([[0], *sizes]).cumsum().astype(np.int32)
+    flat = np.concatenate(values) if values else np.zeros(0, np.int64)
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat.astype(np.int64)))
 
 
 def find_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -172,10 +228,9 @@ def find_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ("runs", pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32()),
                                      ("encoding", pa.string()), ("length_class", pa.int32()),
                                      ("step", pa.int32())]))),
-        ("plain", pa.list_(pa.struct([("length_class", pa.int32()), ("step", pa.int32())]))),
     ])
     for batch in batches:
-        rows = []
+        rows, own = [], []
         for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
             text = text.as_py() or ""
             pieces = text.encode("utf-8").translate(_BLANKED).split()
@@ -188,29 +243,34 @@ def find_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         "start": start, "stop": stop, "encoding": known[0],
                         "length_class": length_class(len(known[1])),
                         "step": step_of(battery(known[1], known[2]))})
-            plain = ordinary_stretch(text)
             kinds = [s[0] for s in base]
             rows.append({
                 "doc_id": doc_id, "n_assign": kinds.count("assign"),
                 "n_access": kinds.count("access"), "n_hex": kinds.count("hex"),
                 "base": [{"kind": k, "start": a, "stop": b} for k, a, b in base],
-                "runs": runs,
-                "plain": [{"length_class": plain[0], "step": plain[1]}] if plain else []})
-        yield pa.RecordBatch.from_pylist(rows, schema=schema)
+                "runs": runs})
+            own.append(text)
+        spans = pa.RecordBatch.from_pylist(rows, schema=schema)
+        digests = pa.array([hashlib.blake2b(t.encode("utf-8"), digest_size=16).digest() for t in own], pa.binary())
+        yield pa.RecordBatch.from_arrays(
+            [*spans.columns, digests, ordinary_column(own)], names=[*schema.names, "text_digest", "plain"])
 
 
 def thresholds(found: DataFrame, rate: float) -> dict[int, int]:
     """Per class of length, the largest step (least random) at which Benjamini-Hochberg still rejects
     "ordinary text". The two count tables have a row per class and step, whatever the data."""
-    def counted(column: str) -> dict[int, np.ndarray]:
+    def counted(rows: DataFrame) -> dict[int, np.ndarray]:
         out = {c: np.zeros(STEPS + 1, np.int64) for c in range(len(LENGTHS))}
-        rows = found.select(F.explode(column).alias("x")).groupBy(
-            "x.length_class", "x.step").count().collect()
-        for c, step, n in rows:
+        for c, step, n in rows.groupBy("length_class", "step").agg(F.sum("n")).collect():
             out[c][step] = n
         return out
 
-    runs, plain = counted("runs"), counted("plain")
+    runs = counted(found.select(F.explode("runs").alias("x")).select("x.length_class", "x.step", F.lit(1).alias("n")))
+    code = F.shiftright("x", 32).cast("int")
+    plain = counted(found.where(F.size("plain") > 0).select("text_digest", "plain").dropDuplicates(["text_digest"])
+                    .select(F.explode("plain").alias("x")).select(
+        F.floor(code / (STEPS + 1)).cast("int").alias("length_class"), (code % (STEPS + 1)).alias("step"),
+        F.col("x").bitwiseAND(F.lit((1 << 32) - 1)).alias("n")))
     cuts = {}
     for c in runs:
         # A low step is a high probability of uniform draws: both sums run from random to text.
