@@ -18,7 +18,7 @@ from tidemark.sources.schemas import BEHAVIOR, EVENT
 from tidemark.sources.tables import behavior_feed, events
 from tidemark.streaming import hot_items as stream
 from tidemark.streaming import ranking, sinks, watermarks
-from tidemark.streaming.windows import session_counts, window_agg, window_end
+from tidemark.streaming.windows import self_session_counts, session_counts, window_agg, window_end
 
 T0 = BASE_MS // 1000
 
@@ -103,6 +103,42 @@ def test_a_restarted_query_goes_on(spark, tmp_path):
     assert rows(spark.read.parquet(out), *want.columns) == rows(want, *want.columns)
 
 
+def test_timers_rank_as_the_batch_does_and_go_on_after_a_restart(spark, tmp_path):
+    out, folder = str(tmp_path / "out"), tmp_path / "in"
+    feed = view_stream(spark, folder, VIEWS[:2])
+    assert "RocksDB" in spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+
+    def start():
+        return run(sinks.to_files(stream.hot_items_by_timer(feed, n=2), tmp_path.name, out))
+
+    start()
+    early = spark.read.parquet(out).count()
+    for i, records in enumerate(VIEWS[2:]):
+        (folder / f"more-{i}.txt").write_text("".join(behavior_line(r) + "\n" for r in records))
+        query = start()
+    want = batch.hot_items(view_table(spark, VIEWS), n=2)
+    columns = ["item_id", "window_end", "view_count", "rk"]
+    assert early < want.count()
+    assert rows(spark.read.parquet(out), *columns) == rows(want, *columns)
+    assert "transformWithState" in json.dumps([p.json for p in query.recentProgress])
+
+
+def test_the_end_of_the_input_closes_what_is_open(spark, tmp_path):
+    """Nothing comes after the last row, and yet all its windows come out; without the end they don't."""
+    feed = view_stream(spark, tmp_path / "in", VIEWS[:2])
+    want = batch.hot_items(view_table(spark, VIEWS[:2]))
+    open_still = str(tmp_path / "out")
+    run(ranking.ranked(stream.item_views(feed), tmp_path.name, batch.rank_items, sinks.batch_files(open_still)))
+    got = sinks.catch_up(spark, tmp_path.name, lambda name, path, until_end: ranking.ranked(
+        stream.item_views(until_end(feed)), name, batch.rank_items, sinks.batch_files(path)))
+    assert rows(got, *want.columns) == rows(want, *want.columns)
+    assert spark.read.parquet(open_still).count() < want.count()
+    sessions = sinks.catch_up(spark, tmp_path.name, lambda name, path, until_end: sinks.to_files(
+        self_session_counts(watermarks.ascending(until_end(feed), "ts"), "user_id", "ts", "10 minutes"), name, path))
+    assert rows(sessions, "user_id", "session_end", "n_left", "n_right") == [
+        (1, at(1000), 4, 4), (2, at(990), 2, 2), (3, at(1015), 2, 2)]
+
+
 def test_report_on_a_stream(spark, tmp_path):
     out = str(tmp_path / "out")
     run(ranking.ranked(

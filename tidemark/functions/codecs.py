@@ -19,52 +19,54 @@ from tidemark.sources.schemas import ORDER, RATE
 SEPARATOR = ","
 
 
-def _fields(schema: T.StructType, value: Column) -> list[Column]:
-    parts = F.split(value, SEPARATOR)
-    return [
-        F.get(parts, F.lit(i)).try_cast(field.dataType).alias(field.name)
-        for i, field in enumerate(schema.fields)
-    ]
+def _split(lines: DataFrame, value: str) -> DataFrame:
+    """``value`` and its ``parts``. A line is split in a generator of one row: Catalyst puts no generator in
+    place of the columns that come from it, so a line is split once however often its parts are used."""
+    return lines.select(value, F.explode_outer(F.array(F.split(value, SEPARATOR))).alias("parts"))
+
+
+def _part(i: int) -> Column:
+    return F.get("parts", F.lit(i))
+
+
+def _fields(schema: T.StructType) -> list[Column]:
+    return [_part(i).try_cast(field.dataType).alias(field.name) for i, field in enumerate(schema.fields)]
 
 
 def _is_good(schema: T.StructType) -> Column:
     good = F.lit(True)
-    for field in schema.fields:
-        good = good & F.col(f"rec.{field.name}").isNotNull()
+    for i, field in enumerate(schema.fields):
+        good = good & _part(i).try_cast(field.dataType).isNotNull()
     return good
 
 
-def _is_strict(schema: T.StructType, value: Column) -> Column:
+def _is_strict(schema: T.StructType) -> Column:
     """Good, and numbers without padding: the cast alone would take it."""
-    parts = F.split(value, SEPARATOR)
     good = _is_good(schema)
     for i, field in enumerate(schema.fields):
         if not isinstance(field.dataType, T.StringType):
-            part = F.get(parts, F.lit(i))
-            good = good & (part == F.trim(part))
+            good = good & (_part(i) == F.trim(_part(i)))
     return F.coalesce(good, F.lit(False))
 
 
 def decode(lines: DataFrame, schema: T.StructType, value: str = "value") -> DataFrame:
     """Strict: the check is a filter over all fields, which column pruning can't take away, so no bad
     line gets through whatever is selected or counted."""
-    rec = lines.select(value, F.struct(*_fields(schema, F.col(value))).alias("rec"))
     complaint = F.concat(
         F.lit("not a record of ("), F.lit(", ".join(schema.names)), F.lit("): "),
         F.coalesce(F.col(value), F.lit("null")),
     )
-    checked = F.when(_is_strict(schema, F.col(value)), True).otherwise(
-        F.raise_error(complaint).cast("boolean"))
-    return rec.where(checked).select("rec.*")
+    checked = F.when(_is_strict(schema), True).otherwise(F.raise_error(complaint).cast("boolean"))
+    return _split(lines, value).where(checked).select(*_fields(schema))
 
 
 def decode_quarantine(
     lines: DataFrame, schema: T.StructType, value: str = "value"
 ) -> tuple[DataFrame, DataFrame]:
     """(good records, bad lines as they came). Works on streams: each is its own query."""
-    rec = lines.select(value, F.struct(*_fields(schema, F.col(value))).alias("rec"))
-    good = rec.where(_is_good(schema)).select("rec.*")
-    bad = rec.where(~_is_good(schema)).select(value)
+    parts = _split(lines, value)
+    good = parts.where(_is_good(schema)).select(*_fields(schema))
+    bad = parts.where(~_is_good(schema)).select(value)
     return good, bad
 
 

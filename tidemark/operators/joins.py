@@ -5,72 +5,94 @@ no partition size shows. The row joins therefore count both sides per group and
 out as a grid of cells: a left row goes to one row of cells, a right row to one column, and each
 cell joins about ``CELL_ROWS`` by ``CELL_ROWS`` rows as a group of its own.
 
-Neither input is force-broadcast: that is left to Catalyst and the sizes AQE measures.
+A row's place in the grid follows from what the row holds and nothing else. A task that is run again,
+over rows in another order or in other partitions, therefore sends every row where it went before.
+Copies of a row would all go to one place, so in large groups they are counted first and then dealt out in
+lots of at most ``CELL_ROWS``, each with a number.
+
+Neither input is force-broadcast: that is left to Catalyst and the sizes AQE measures. Nothing runs while
+a join is being built: group sizes are part of its plan.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.durations import Duration, interval, positive_micros
 from tidemark.functions.eventtime import as_time, pane_of, time_type
-from tidemark.operators.large import LISTED_GROUPS, lookup
+from tidemark.operators.large import LISTED_GROUPS, largest
 from tidemark.operators.windows import session_panes
 
 CELL_ROWS = 10_000
 
 
 def _tagged(left: DataFrame, right: DataFrame, columns: list[str]) -> DataFrame:
-    """Both sides' ``columns`` in one table, each row counting for its side."""
-    both = left.select(*columns, F.lit(1).alias("n_left"), F.lit(0).alias("n_right")).unionByName(
-        right.select(*columns, F.lit(0).alias("n_left"), F.lit(1).alias("n_right"))
-    )
+    """Both sides' ``columns`` in one table, each row counting for its side; one scan if they are one table."""
+    if left is right:
+        both = left.select(*columns, F.lit(1).alias("n_left"), F.lit(1).alias("n_right"))
+    else:
+        both = left.select(*columns, F.lit(1).alias("n_left"), F.lit(0).alias("n_right")).unionByName(
+            right.select(*columns, F.lit(0).alias("n_left"), F.lit(1).alias("n_right")))
     return both.where(" and ".join(f"`{c}` is not null" for c in columns))
 
 
-def _cells(side: str, cell_rows: int):
+def _cells(side: str, cell_rows: int) -> Column:
     return F.ceil(F.col(side) / cell_rows).alias(f"_{side}")
 
 
-def _numbered(df: DataFrame) -> DataFrame:
-    """Rows numbered where they are read: copies of a row differ, and a task run again numbers its
-    rows as before. Hence the inputs of the row joins should be scans, filters and projections."""
-    return df.withColumn("_row", F.monotonically_increasing_id())
+def _lots(df: DataFrame, columns: list[str], cell_rows: int) -> DataFrame:
+    """Copies of a row as one row per ``cell_rows`` of them: ``_copies`` how many it stands for, ``_row``
+    a number that follows from the row's content and the lot's number."""
+    counted = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
+    lot = F.explode(F.sequence(F.lit(0), F.floor((F.col("_n") - 1) / cell_rows)))
+    return counted.withColumn("_lot", lot).select(
+        *columns, F.least(F.lit(cell_rows), F.col("_n") - F.col("_lot") * cell_rows).alias("_copies"),
+        F.xxhash64(*columns, "_lot").alias("_row"))
+
+
+def _copied(df: DataFrame, *counts: str) -> DataFrame:
+    """Each row as often as the product of its counts says, one count after the other."""
+    for count in counts:
+        df = df.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col(count)))).drop("_copy", count)
+    return df
 
 
 def _join_cells(left: DataFrame, right: DataFrame, group: list[str]) -> DataFrame:
-    """Join two sides that carry ``_row`` and their group's cell counts ``_n_left``, ``_n_right``."""
+    """Join two sides that carry ``_row``, ``_copies`` and their group's cell counts ``_n_left``, ``_n_right``."""
     lhs = left.withColumn("_cell_row", F.pmod("_row", "_n_left")).withColumn(
         "_cell_column", F.explode(F.sequence(F.lit(0), F.col("_n_right") - 1)))
     rhs = right.withColumn("_cell_column", F.pmod("_row", "_n_right")).withColumn(
         "_cell_row", F.explode(F.sequence(F.lit(0), F.col("_n_left") - 1)))
     inner = ("_row", "_n_left", "_n_right")
     cell = [*group, "_cell_row", "_cell_column"]
-    return lhs.drop(*inner).join(rhs.drop(*inner), cell, "inner").drop("_cell_row", "_cell_column")
+    pairs = lhs.drop(*inner).withColumnRenamed("_copies", "_copies_left").join(
+        rhs.drop(*inner).withColumnRenamed("_copies", "_copies_right"), cell, "inner")
+    return _copied(pairs.drop("_cell_row", "_cell_column"), "_copies_left", "_copies_right")
 
 
 def _join_groups(left: DataFrame, right: DataFrame, group: list[str], cell_rows: int, listed: int) -> DataFrame:
     """Inner join on ``group``, its large groups by cells.
 
-    The large groups are found by a job of its own, over the group columns alone and combined on the
-    map side. Mostly there are none, and then this is a plain join that shuffles each row once.
+    The large groups are found over the group columns alone, combined on the map side. Their list is
+    broadcast; once it turns out to be empty, as it mostly does, AQE drops the part of the plan that
+    deals with them, and what is left is a plain join that shuffles each row once.
     """
-    large = (
+    sizes = (
         _tagged(left, right, group).groupBy(*group)
         .agg(F.sum("n_left").alias("n_left"), F.sum("n_right").alias("n_right"))
         .where("n_left > 0 and n_right > 0")
         .where((F.col("n_left") > cell_rows) | (F.col("n_right") > cell_rows))
-        .select(*group, _cells("n_left", cell_rows), _cells("n_right", cell_rows))
     )
-    large = lookup(large, listed)
-    if large is None:
-        return left.join(right, group, "inner")
+    large = largest(sizes, F.col("n_left") * F.col("n_right"), group, listed).select(
+        *group, _cells("n_left", cell_rows), _cells("n_right", cell_rows))
 
     def with_cells(side: DataFrame) -> DataFrame:
-        return _numbered(side).join(large, group, "left").fillna(1, ["_n_left", "_n_right"])
+        own = side.join(large, group, "left_semi")
+        return _lots(own, side.columns, cell_rows).join(large, group)
 
-    return _join_cells(with_cells(left), with_cells(right), group)
+    plain = left.join(large, group, "left_anti").join(right.join(large, group, "left_anti"), group)
+    return plain.unionByName(_join_cells(with_cells(left), with_cells(right), group))
 
 
 def tumbling_window_join(
@@ -100,11 +122,15 @@ def session_window_join(
     """Every (left, right) pair with an equal key in the same session, sessions being merged over
     the rows of both sides.
 
-    ``left_columns`` / ``right_columns`` map output names to columns of each side. Sessions and their
-    sizes are found on pane summaries (see ``session_panes``), and rows get theirs by pane.
+    ``left_columns`` / ``right_columns`` map output names to columns of each side. Both sides are one tagged
+    table, read twice: for the sessions and their sizes, on pane summaries (see ``session_panes``), and
+    for the rows, which get their session by pane. A session's two sides then meet as two lists, those
+    of a large one as two lists per cell, so no list has many more than ``cell_rows`` rows; pairs are
+    made list by list. If both sides are one table, its rows stand for both sides, also in the shuffles.
     """
     per_session = Window.partitionBy(key, "session_start")
     session = [key, "session_start", "session_end"]
+    names = [*left_columns, *right_columns]
     sessions = (
         session_panes(
             _tagged(left, right, [key, ts]), [key], ts, gap,
@@ -120,14 +146,51 @@ def session_window_join(
         .select(*session, "pane", _cells("n_left", cell_rows), _cells("n_right", cell_rows))
     )
 
-    def placed(side: DataFrame, columns: dict[str, str]) -> DataFrame:
-        return (
-            _numbered(side).withColumn("pane", pane_of(ts, gap))
-            .join(sessions, [key, "pane"], "inner")
-            .select(*session, "_row", "_n_left", "_n_right", *(F.col(c).alias(n) for n, c in columns.items()))
-        )
-
-    return _join_cells(placed(left, left_columns), placed(right, right_columns), session)
+    def payload(columns: dict[str, str]) -> Column:
+        return F.struct(*(F.col(c).alias(n) for n, c in columns.items()))
+
+    def tagged(side: DataFrame, as_left: bool, as_right: bool) -> DataFrame:
+        nothing = F.lit(False)
+        return side.select(
+            F.col(key), pane_of(ts, gap).alias("pane"),
+            (payload(left_columns) if as_left else F.when(nothing, empty_left)).alias("_left"),
+            (payload(right_columns) if as_right else F.when(nothing, empty_right)).alias("_right"))
+
+    def empty(side: DataFrame, columns: dict[str, str]) -> Column:
+        return F.struct(*(F.lit(None).cast(side.schema[c].dataType).alias(n) for n, c in columns.items()))
+
+    empty_left, empty_right = empty(left, left_columns), empty(right, right_columns)
+    rows = tagged(left, True, True) if left is right else tagged(left, True, False).unionByName(
+        tagged(right, False, True))
+    placed = rows.join(sessions, [key, "pane"]).drop("pane")
+    counts = ["_n_left", "_n_right"]
+
+    def pairs_of(cells: DataFrame, group: list[str]) -> DataFrame:
+        lists = cells.groupBy(*session, *group).agg(
+            F.collect_list("_left").alias("_lefts"), F.collect_list("_right").alias("_rights"))
+        return lists.withColumn("_l", F.explode("_lefts")).withColumn("_r", F.explode("_rights")).select(
+            *session, "_l.*", "_r.*")
+
+    small = pairs_of(placed.where("_n_left = 1 and _n_right = 1"), [])
+    lots = _lots(placed.where("_n_left > 1 or _n_right > 1"), [*session, *counts, "_left", "_right"], cell_rows)
+    by_row, by_column = F.pmod("_row", "_n_left"), F.pmod("_row", "_n_right")
+
+    def of_side(side: str, cell_row: Column, cell_column: Column) -> DataFrame:
+        return lots.where(F.col(side).isNotNull()).withColumn("_cell_row", cell_row).withColumn(
+            "_cell_column", cell_column)
+
+    across = F.explode(F.sequence(F.lit(0), F.col("_n_right") - 1))
+    down = F.explode(F.sequence(F.lit(0), F.col("_n_left") - 1))
+    copies = F.col("_copies")
+    grid = of_side("_left", by_row, across).select(
+        *session, "_cell_row", "_cell_column", F.struct("_left.*", copies.alias("_copies_left")).alias("_left"),
+        F.when(F.lit(False), F.struct("_right.*", copies.alias("_copies_right"))).alias("_right"),
+    ).unionByName(of_side("_right", down, by_column).select(
+        *session, "_cell_row", "_cell_column",
+        F.when(F.lit(False), F.struct("_left.*", copies.alias("_copies_left"))).alias("_left"),
+        F.struct("_right.*", copies.alias("_copies_right")).alias("_right")))
+    large = _copied(pairs_of(grid, ["_cell_row", "_cell_column"]), "_copies_left", "_copies_right")
+    return small.unionByName(large.select(*session, *names))
 
 
 def key_join_counts(left: DataFrame, right: DataFrame, key: str) -> DataFrame:

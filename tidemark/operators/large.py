@@ -1,23 +1,19 @@
-"""Looking up the few large groups of a table, so that only they pay for being cut up."""
+"""The few largest groups of a table, so that only they pay for being cut up."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Up to so many large groups are looked up in a broadcast table; beyond, in a shuffled one.
+# So many groups at most are cut up. Which ones decides where rows are joined, never which.
 LISTED_GROUPS = 10_000
 
 
-def lookup(large: DataFrame, listed: int = LISTED_GROUPS) -> DataFrame | None:
-    """The table of large groups, ready to be joined to; None if there are none.
+def largest(groups: DataFrame, by: Column, keys: list[str], listed: int = LISTED_GROUPS) -> DataFrame:
+    """The first ``listed`` of ``groups`` by ``by``, largest first, to be joined to as a broadcast table.
 
-    Runs the counting job. At most ``listed + 1`` rows come to the driver: a table within that bound is
-    broadcast, a bigger one is left to be shuffled.
+    It is part of the plan of the query that uses it: nothing runs before that. The limit bounds
+    what is broadcast, whatever the data; groups beyond it are left whole, and there are then so
+    many of them that they keep all tasks busy as they are.
     """
-    some = large.limit(listed + 1).collect()
-    if not some:
-        return None
-    if len(some) > listed:
-        return large
-    return F.broadcast(large.sparkSession.createDataFrame(some, large.schema))
+    return F.broadcast(groups.orderBy(by.desc(), *keys).limit(listed))

@@ -7,6 +7,7 @@ after 6 hours; hot items keep their default 60 / 5 minutes. Times come out zone-
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,8 +19,9 @@ from tidemark.operators.lateness import mark_late
 from tidemark.operators.windows import session_count, tumbling_count
 from tidemark.plans.conversion import converted_orders, rank_sales, sales_ranking, sales_report, sales_sums
 from tidemark.plans.hot_items import hot_items, hot_items_report, item_views, page_views, rank_items
-from tidemark.plans.sessions import user_self_join, user_session_counts, user_sessions
-from tidemark.session import configure, configure_state_store
+from tidemark.plans.sessions import joined_message, user_self_join, user_session_counts, user_sessions
+from tidemark.session import checkpoint_location, configure, configure_state_store
+from tidemark.sources.feeds import csv_records
 from tidemark.sources.schemas import BEHAVIOR
 from tidemark.sources.tables import behavior_feed, event_stream, events, orders_feed, rate_feed
 from tidemark.streaming import conversion as streaming_conversion
@@ -27,7 +29,7 @@ from tidemark.streaming import hot_items as streaming_hot_items
 from tidemark.streaming.ranking import ranked
 from tidemark.streaming.sinks import batch_files, catch_up, to_files
 from tidemark.streaming.watermarks import ascending
-from tidemark.streaming.windows import session_counts
+from tidemark.streaming.windows import self_session_counts
 
 JOIN_WIDTH = "1 hour"
 SALES_SIZE = "3 hours"
@@ -133,9 +135,10 @@ def _(spark, sf_dir):
 @query("parse_behavior_csv", f"""WITH {_BEHAVIOR}
   SELECT user_id, item_id, category_id, behavior, "timestamp" FROM behavior_feed""")
 def _(spark, sf_dir):
-    lines = encode(behavior_feed(events(spark, sf_dir)), BEHAVIOR)
-    parsed = F.from_csv("value", BEHAVIOR.simpleString()[len("struct<"):-1].replace(":", " "), {"mode": "FAILFAST"})
-    return lines.select(parsed.alias("rec")).select("rec.*")
+    """Through the file reader: the feed is written as CSV to the shared folder and read back."""
+    path = checkpoint_location(spark, f"behavior-csv-{uuid.uuid4().hex}")
+    encode(behavior_feed(events(spark, sf_dir)), BEHAVIOR).write.text(path)
+    return csv_records(spark, path)
 
 
 # --- event time ------------------------------------------------------------------------------
@@ -254,24 +257,24 @@ def _(spark, sf_dir):
     return converted_orders(orders_feed(ev), rate_feed(ev), JOIN_WIDTH).drop("ts")
 
 
-@query("session_window_join", f"""WITH {_BEHAVIOR}, tagged AS (
-  SELECT event_id, user_id, item_id, ts, behavior FROM behavior_feed WHERE behavior IN ('cart', 'buy')),
-marked AS (
-  SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) <= INTERVAL 6 HOUR
-                 THEN 0 ELSE 1 END AS opens FROM tagged),
+_SELF_SESSIONS = f"""{_BEHAVIOR}, marked AS (
+  SELECT event_id, user_id, item_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id)
+    <= INTERVAL 6 HOUR THEN 0 ELSE 1 END AS opens FROM behavior_feed WHERE user_id IS NOT NULL),
 numbered AS (
   SELECT *, sum(opens) OVER (PARTITION BY user_id ORDER BY ts, event_id
                              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sid FROM marked),
 sessions AS (
-  SELECT user_id, sid, min(ts) AS session_start, max(ts) + INTERVAL 6 HOUR AS session_end
-  FROM numbered GROUP BY user_id, sid)
+  SELECT user_id, sid, min(ts) AS session_start, max(ts) + INTERVAL 6 HOUR AS session_end, count(*) AS n
+  FROM numbered GROUP BY user_id, sid)"""
+
+
+@query("session_window_join", f"""WITH {_SELF_SESSIONS}
   SELECT user_id, session_start, session_end, l.item_id AS left_item, l.ts AS left_ts,
          r.item_id AS right_item, r.ts AS right_ts, user_id || ' joined ' || user_id AS msg
-  FROM numbered l JOIN numbered r USING (user_id, sid) JOIN sessions USING (user_id, sid)
-  WHERE l.behavior = 'cart' AND r.behavior = 'buy'""")
+  FROM numbered l JOIN numbered r USING (user_id, sid) JOIN sessions USING (user_id, sid)""")
 def _(spark, sf_dir):
-    ev = events(spark, sf_dir)
-    return user_sessions(behavior_feed(ev, "cart"), behavior_feed(ev, "buy"), SESSION_GAP)
+    behavior = behavior_feed(events(spark, sf_dir))
+    return user_sessions(behavior, behavior, SESSION_GAP)
 
 
 @query("session_self_join", f"""WITH {_BEHAVIOR}
@@ -281,15 +284,12 @@ def _(spark, sf_dir):
     return user_self_join(behavior_feed(events(spark, sf_dir)))
 
 
-@query("session_join_counts", f"""WITH {_BEHAVIOR}, marked AS (
-  SELECT event_id, user_id, ts, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id)
-    <= INTERVAL 6 HOUR THEN 0 ELSE 1 END AS opens FROM behavior_feed WHERE user_id IS NOT NULL),
-numbered AS (
-  SELECT *, sum(opens) OVER (PARTITION BY user_id ORDER BY ts, event_id
-                             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sid FROM marked)
-  SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 6 HOUR AS session_end,
-         count(*) AS n_left, count(*) AS n_right, user_id || ' joined ' || user_id AS msg
-  FROM numbered GROUP BY user_id, sid""")
+_SESSION_COUNTS = f"""WITH {_SELF_SESSIONS}
+  SELECT user_id, session_start, session_end, n AS n_left, n AS n_right,
+         user_id || ' joined ' || user_id AS msg FROM sessions"""
+
+
+@query("session_join_counts", _SESSION_COUNTS)
 def _(spark, sf_dir):
     return user_session_counts(behavior_feed(events(spark, sf_dir)), SESSION_GAP)
 
@@ -331,73 +331,71 @@ def _(spark, sf_dir):
 
 # --- the same as streams ----------------------------------------------------------------------
 #
-# Each reads the whole table as a stream up to its end. Nothing later comes, so what is still open
-# at the last watermark does not come out: the SQL says so. A watermark is in whole milliseconds.
+# Each reads the whole table as a stream up to its end, which closes what is still open then: the
+# results are those of the tables.
 
 
-def _watermark(feed: str, delay: str = "0 seconds") -> str:
-    return f"(SELECT date_trunc('milliseconds', max(ts)) - INTERVAL '{delay}' FROM {feed})"
+@query("stream_hot_items", f"WITH {_HOT} SELECT item_id, window_end, view_count, rk FROM hot")
+def _(spark, sf_dir):
+    behavior = behavior_feed(event_stream(configure_state_store(spark), sf_dir))
+    result = catch_up(spark, "stream_hot_items", lambda run, path, until_end: ranked(
+        streaming_hot_items.item_views(until_end(behavior)), run, rank_items, batch_files(path)))
+    return result.select("item_id", naive("window_end").alias("window_end"), "view_count", "rk")
 
 
-_CLOCK = f"least({_watermark('orders_feed')}, {_watermark('rate_feed', '1 second')})"
+@query("stream_hot_items_timers", f"WITH {_HOT} SELECT item_id, window_end, view_count, rk FROM hot")
+def _(spark, sf_dir):
+    behavior = behavior_feed(event_stream(configure_state_store(spark), sf_dir))
+    result = catch_up(spark, "stream_hot_items_timers", lambda run, path, until_end: to_files(
+        streaming_hot_items.hot_items_by_timer(until_end(behavior)), run, path))
+    return result.select("item_id", naive("window_end").alias("window_end"), "view_count", "rk")
 
 
-@query("stream_hot_items", f"""WITH {_HOT}
-  SELECT item_id, window_end, view_count, rk FROM hot WHERE window_end <= {_watermark('events')}""")
+@query("stream_hot_items_report", f"WITH {_HOT} {_report('hot', 'view_count', '浏览量', '(rk - 1)')}")
 def _(spark, sf_dir):
-    views = streaming_hot_items.item_views(behavior_feed(event_stream(configure_state_store(spark), sf_dir)))
-    result = catch_up(spark, "stream_hot_items", lambda run, path: ranked(
-        views, run, rank_items, batch_files(path)))
-    return result.select("item_id", naive("window_end").alias("window_end"), "view_count", "rk")
+    behavior = behavior_feed(event_stream(configure_state_store(spark), sf_dir))
+    result = catch_up(spark, "stream_hot_items_report", lambda run, path, until_end: ranked(
+        streaming_hot_items.item_views(until_end(behavior)), run,
+        lambda views: hot_items_report(rank_items(views)), batch_files(path)))
+    return result.select(naive("window_end").alias("window_end"), "report")
+
 
+def _streamed_sales(spark, sf_dir, name, rank):
+    ev = event_stream(configure_state_store(spark), sf_dir)
+    return catch_up(spark, name, lambda run, path, until_end: ranked(
+        streaming_conversion.sales_sums(
+            until_end(orders_feed(ev)), until_end(rate_feed(ev)), JOIN_WIDTH, SALES_SIZE, SALES_SLIDE),
+        run, rank, batch_files(path)))
 
-@query("stream_order_topn", f"""WITH {_ranked_sales('DESC')}
-  SELECT item_id, window_end, allsum, rk FROM ranked WHERE window_end <= {_CLOCK}""")
+
+@query("stream_order_topn", f"WITH {_ranked_sales('DESC')} SELECT item_id, window_end, allsum, rk FROM ranked")
 def _(spark, sf_dir):
-    configure_state_store(spark)
-    sums = streaming_conversion.sales_sums(
-        orders_feed(event_stream(spark, sf_dir)), rate_feed(event_stream(spark, sf_dir)),
-        JOIN_WIDTH, SALES_SIZE, SALES_SLIDE,
-    )
-    result = catch_up(spark, "stream_order_topn", lambda run, path: ranked(
-        sums, run, rank_sales, batch_files(path)))
+    result = _streamed_sales(spark, sf_dir, "stream_order_topn", rank_sales)
     return result.select("item_id", naive("window_end").alias("window_end"), "allsum", "rk")
 
 
+@query("stream_order_report", f"WITH {_ranked_sales('ASC')} {_report('ranked', 'allsum', '销售额', 'rk')}")
+def _(spark, sf_dir):
+    result = _streamed_sales(spark, sf_dir, "stream_order_report",
+                             lambda sums: sales_report(rank_sales(sums, ascending=True)))
+    return result.select(naive("window_end").alias("window_end"), "report")
+
+
 @query("stream_tumbling_join", f"""WITH {_PAIRS}
   SELECT ts_ms, category, subcat, currency, amount, rate_ts_ms, rate_currency, rate, res FROM pairs""")
 def _(spark, sf_dir):
-    configure_state_store(spark)
-    pairs = streaming_conversion.converted_orders(
-        orders_feed(event_stream(spark, sf_dir)), rate_feed(event_stream(spark, sf_dir)), JOIN_WIDTH
-    ).drop("w", "ts")
-    return catch_up(spark, "stream_tumbling_join", lambda run, path: to_files(pairs, run, path))
+    ev = event_stream(configure_state_store(spark), sf_dir)
+    return catch_up(spark, "stream_tumbling_join", lambda run, path, until_end: to_files(
+        streaming_conversion.converted_orders(until_end(orders_feed(ev)), until_end(rate_feed(ev)), JOIN_WIDTH)
+        .drop("w", "ts"), run, path))
 
 
-@query("stream_session_counts", f"""WITH {_BEHAVIOR}, tagged AS (
-  SELECT event_id, user_id, ts, behavior FROM behavior_feed WHERE behavior IN ('cart', 'buy')),
-marked AS (
-  SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) <= INTERVAL 6 HOUR
-                 THEN 0 ELSE 1 END AS opens FROM tagged),
-numbered AS (
-  SELECT *, sum(opens) OVER (PARTITION BY user_id ORDER BY ts, event_id
-                             ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sid FROM marked),
-sessions AS (
-  SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 6 HOUR AS session_end,
-         count(*) FILTER (WHERE behavior = 'cart') AS n_left, count(*) FILTER (WHERE behavior = 'buy') AS n_right
-  FROM numbered GROUP BY user_id, sid)
-  SELECT * FROM sessions WHERE n_left > 0 AND n_right > 0 AND session_end <= least(
-    {_watermark("(SELECT ts FROM tagged WHERE behavior = 'cart')")},
-    {_watermark("(SELECT ts FROM tagged WHERE behavior = 'buy')")})""")
-def _(spark, sf_dir):
-    configure_state_store(spark)
-    counts = session_counts(
-        ascending(behavior_feed(event_stream(spark, sf_dir), "cart"), "ts"),
-        ascending(behavior_feed(event_stream(spark, sf_dir), "buy"), "ts"),
-        "user_id", "ts", SESSION_GAP,
-    )
-    result = catch_up(spark, "stream_session_counts", lambda run, path: to_files(counts, run, path))
+@query("stream_session_counts", _SESSION_COUNTS)
+def _(spark, sf_dir):
+    behavior = behavior_feed(event_stream(configure_state_store(spark), sf_dir))
+    result = catch_up(spark, "stream_session_counts", lambda run, path, until_end: to_files(
+        self_session_counts(ascending(until_end(behavior), "ts"), "user_id", "ts", SESSION_GAP), run, path))
     return result.select(
         "user_id", naive("session_start").alias("session_start"), naive("session_end").alias("session_end"),
-        "n_left", "n_right",
+        "n_left", "n_right", joined_message("user_id", "user_id").alias("msg"),
     )

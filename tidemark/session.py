@@ -41,22 +41,19 @@ def configure(spark: SparkSession) -> SparkSession:
 
 
 def configure_state_store(spark: SparkSession) -> SparkSession:
-    """State on disk instead of the executors' heap: what a cluster needs. A local run keeps Spark's
-    default, which is quicker for many small stores."""
-    if not spark.sparkContext.master.startswith("local"):
-        for key, value in STATE_STORE_SETTINGS.items():
-            spark.conf.set(key, value)
+    """State on disk instead of the executors' heap."""
+    for key, value in STATE_STORE_SETTINGS.items():
+        spark.conf.set(key, value)
     return spark
 
 
 @contextmanager
 def state_partitions(spark: SparkSession) -> Iterator[None]:
-    """A new stream keeps for life the number of state partitions it starts with. On a cluster that is
-    the session's number of shuffle partitions; a local run needs no more than one per core."""
+    """A new stream keeps for life the number of state partitions it starts with: the session's number of
+    shuffle partitions, but no more than one per core, since each is a store of its own."""
     name = "spark.sql.shuffle.partitions"
     before = spark.conf.get(name)
-    if spark.sparkContext.master.startswith("local"):
-        spark.conf.set(name, str(min(int(before), spark.sparkContext.defaultParallelism)))
+    spark.conf.set(name, str(min(int(before), spark.sparkContext.defaultParallelism)))
     try:
         yield
     finally:

@@ -66,7 +66,8 @@ def csv_records(
     return (
         text_lines(spark, path, streaming, max_files_per_trigger)
         .where("trim(value) <> ''")
-        .select("value", rec.alias("rec"))
+        # A generator of one row: the line is parsed once, however many of its fields are used.
+        .select("value", F.explode_outer(F.array(rec)).alias("rec"))
         .where(F.when(F.col(f"rec.{corrupt}").isNull(), True).otherwise(
             F.raise_error(complaint).cast("boolean")))
         .select(*(F.col(f"rec.{name}").alias(name) for name in schema.names))

@@ -37,6 +37,3 @@ EVENT = T.StructType([
 # Domains of the feeds.
 CURRENCIES = ["BEF", "CNY", "DEM", "EUR", "HKD", "USD", "ITL"]
 CATEGORIES = ["A", "B", "C", "D", "E"]
-BEHAVIORS = ["pv", "buy", "cart", "fav"]
-ORDER_TOPIC = "order"
-RATE_TOPIC = "rate"

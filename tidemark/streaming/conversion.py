@@ -7,37 +7,42 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.durations import Duration, positive_micros, text
 from tidemark.plans.conversion import CONVERTED, JOIN_WINDOW, SALES_SIZE, SALES_SLIDE, item_id
-from tidemark.streaming.watermarks import ASCENDING_DELAY, RATE_DELAY, plain_time, with_delay
+from tidemark.streaming.watermarks import ASCENDING_DELAY, RATE_DELAY, keeping_the_clock, plain_time, with_delay
 from tidemark.streaming.windows import window_agg, window_end
 
 
 def converted_orders(
     orders: DataFrame, rates: DataFrame, width: Duration = JOIN_WINDOW,
     order_delay: Duration = ASCENDING_DELAY, rate_delay: Duration = RATE_DELAY, ts: str = "ts",
-    cells: int = 8,
+    cells: tuple[int, int] = (4, 4),
 ) -> DataFrame:
     """``w, ts`` and the converted fields, one row per (order, rate) pair of a currency's window.
 
     The window, not the row's own time, is the event time of the join. So a row is late only once
     its window has closed, and both sides' rows leave the state with their window. A currency may
-    hold any share of the orders: they are dealt out to ``cells`` per currency and window, each of
-    which gets a copy of the rates. What is only to be summed needs no pairs: see ``sales_sums``.
+    hold any share of the orders and of the rates: its window is a grid of ``cells`` (rows, columns). An order is
+    in one row of it, a rate in one column, so each cell joins a part of the orders with a part of the rates. Where a
+    row goes follows from its fields alone, whichever task it is read in and however often. What is only to be
+    summed needs no pairs: see ``sales_sums``.
     """
+    down, across = cells
     lhs = (
         with_delay(orders, ts, order_delay)
         .withColumn("w", F.window(ts, text(width)))
-        .select("w", plain_time(ts).alias(ts), "ts_ms", "category", "subcat", "currency", "amount",
-                F.floor(F.rand(0) * cells).cast("int").alias("cell"))
+        .select("w", plain_time(ts).alias(ts), "ts_ms", "category", "subcat", "currency", "amount")
+        .withColumn("cell_row", F.pmod(F.xxhash64(ts, "ts_ms", "category", "subcat", "amount"), F.lit(down)).cast("int"))
+        .withColumn("cell_column", F.explode(F.sequence(F.lit(0), F.lit(across - 1))))
     )
     rhs = (
         with_delay(rates, ts, rate_delay)
         .withColumn("w", F.window(ts, text(width)))
         .select("w", F.col("ts_ms").alias("rate_ts_ms"), "currency",
-                F.col("currency").alias("rate_currency"), "rate",
-                F.explode(F.sequence(F.lit(0), F.lit(cells - 1))).alias("cell"))
+                F.col("currency").alias("rate_currency"), "rate")
+        .withColumn("cell_column", F.pmod(F.xxhash64("rate_ts_ms", "rate"), F.lit(across)).cast("int"))
+        .withColumn("cell_row", F.explode(F.sequence(F.lit(0), F.lit(down - 1))))
     )
     res = F.col("rate").cast("bigint") * F.col("amount")
-    return lhs.join(rhs, ["w", "currency", "cell"], "inner").withColumn("res", res).select("w", ts, *CONVERTED)
+    return lhs.join(rhs, ["w", "currency", "cell_row", "cell_column"], "inner").withColumn("res", res).select("w", ts, *CONVERTED)
 
 
 def sales_sums(
@@ -54,11 +59,11 @@ def sales_sums(
     if positive_micros(slide) % positive_micros(width) or positive_micros(size) % positive_micros(width):
         raise ValueError("size and slide must be multiples of the join window")
     amounts = window_agg(
-        with_delay(orders, ts, order_delay).where(F.col("currency").isNotNull()),
+        with_delay(orders, ts, order_delay).where(keeping_the_clock(F.col("currency").isNotNull())),
         ["currency", "category", "subcat"], ts, width, width, F.sum("amount").alias("amounts"),
     )
     rate_sums = window_agg(
-        with_delay(rates, ts, rate_delay).where(F.col("currency").isNotNull()),
+        with_delay(rates, ts, rate_delay).where(keeping_the_clock(F.col("currency").isNotNull())),
         ["currency"], ts, width, width, F.sum("rate").alias("rates"),
     )
     totals = amounts.join(rate_sums, ["w", "currency"], "inner").select(

@@ -12,6 +12,9 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from tidemark.session import checkpoint_location, state_partitions
 
+# After any event time, and before the last time that a window could end.
+END_OF_TIME = "9999-01-01 00:00:00+00:00"
+
 # Writes one micro-batch. It may be called again for the same id after a failure.
 BatchWrite = Callable[[DataFrame, int], None]
 
@@ -45,17 +48,34 @@ def to_each_batch(df: DataFrame, name: str, write: BatchWrite) -> DataStreamWrit
     return _writer(df, name).foreachBatch(write)
 
 
-def catch_up(spark: SparkSession, name: str, start: Callable[[str, str], DataStreamWriter]) -> DataFrame:
-    """Run a query over everything its sources hold now, and read back what it wrote.
+# Gives a stream with the end of its input added: see ``catch_up``.
+UntilEnd = Callable[[DataFrame], DataFrame]
+
+
+def catch_up(spark: SparkSession, name: str, start: Callable[[str, str, UntilEnd], DataStreamWriter]) -> DataFrame:
+    """Run a query over everything its sources hold now, up to the end, and read back what it wrote.
 
-    ``start(run, path)`` gives the query, named ``run`` and writing Parquet to ``path``; each call is
-    a new run with a folder of its own under the shared checkpoint folder.
+    ``start(run, path, until_end)`` gives the query, named ``run`` and writing Parquet to ``path``; each call is
+    a new run with a folder of its own under the shared checkpoint folder. ``until_end`` is to be put around
+    each input before its watermark. It adds a second source, the clock, which holds nothing while the input is
+    read. Then the query is started once more on its checkpoint, with one row in the clock that is
+    null but for a time after all others: it closes every window and session that is still open, and its own
+    window stays open for good. So the input counts as ended, as a bounded one has.
     """
     run = f"{name}-{uuid.uuid4().hex}"
-    path = f"{checkpoint_location(spark, run)}-result"
+    path, clock = (f"{checkpoint_location(spark, run)}-{kind}" for kind in ("result", "clock"))
+
+    def tick(when: str) -> None:
+        spark.sql(f"SELECT timestamp'{END_OF_TIME}' AS ts WHERE {when}").write.mode("append").parquet(clock)
+
+    def until_end(df: DataFrame, ts: str = "ts") -> DataFrame:
+        ticks = spark.readStream.schema("ts timestamp").parquet(clock)
+        return df.unionByName(ticks.withColumnRenamed("ts", ts), allowMissingColumns=True)
+
     with state_partitions(spark):
-        query = start(run, path).trigger(availableNow=True).start()
-        query.awaitTermination()
+        for ended in ("false", "true"):
+            tick(ended)
+            start(run, path, until_end).trigger(availableNow=True).start().awaitTermination()
     return spark.read.parquet(path)
 
 

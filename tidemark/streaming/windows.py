@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.durations import Duration, text
+from tidemark.streaming.watermarks import keeping_the_clock
 
 
 def window_agg(
@@ -35,10 +36,22 @@ def session_counts(left: DataFrame, right: DataFrame, key: str, ts: str, gap: Du
         right.select(key, ts, F.lit(0).alias("l"), F.lit(1).alias("r"))
     )
     return (
-        both.where(F.col(key).isNotNull())
+        both.where(keeping_the_clock(F.col(key).isNotNull()))
         .groupBy(F.session_window(ts, text(gap)).alias("s"), key)
         .agg(F.sum("l").alias("n_left"), F.sum("r").alias("n_right"))
         .where("n_left > 0 and n_right > 0")
         .select(key, F.col("s.start").alias("session_start"), F.col("s.end").alias("session_end"),
                 "n_left", "n_right")
     )
+
+
+def self_session_counts(df: DataFrame, key: str, ts: str, gap: Duration) -> DataFrame:
+    """The same for a stream joined with itself: ``df`` is read once and is both sides, under one
+    watermark. Each session's rows meet each other, so both counts are its size."""
+    return (
+        df.where(keeping_the_clock(F.col(key).isNotNull()))
+        .groupBy(F.session_window(ts, text(gap)).alias("s"), key)
+        .agg(F.count(F.lit(1)).alias("n_left"))
+        .select(key, F.col("s.start").alias("session_start"), F.col("s.end").alias("session_end"),
+                "n_left", F.col("n_left").alias("n_right"))
+    )
