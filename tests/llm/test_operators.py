@@ -6,6 +6,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 from collections import defaultdict
 
@@ -225,6 +226,33 @@ def test_bpe_documents(docs, empty):
     assert bpe_documents.encode_documents(empty, RANKS).count() == 0
 
 
+@pytest.mark.parametrize("spaced", [False, True])
+@pytest.mark.parametrize("chunk", [1, 7, 64, 1000])
+def test_words_of_texts_cut_in_chunks(spaced, chunk):
+    """A text that is worked on in parts has the words of the whole, with the same hashes."""
+    texts = [t or "" for _, t in TEXTS] + ["it's 'll we'd", "don't ", "'s", "a  b\n\n c' d", "x" * 90, "", "l'll 're'd" * 9]
+    whole, cut = split_words(texts, spaced), split_words(texts, spaced, chunk)
+    for name in ("starts", "ends", "cuts", "hashes"):
+        assert getattr(whole, name).tolist() == getattr(cut, name).tolist()
+
+
+@pytest.mark.parametrize("width", [1, 2, 3, 5, 8])
+@pytest.mark.parametrize("words", range(9))
+def test_sets_of_a_block_of_few_words(width, words):
+    text = " ".join(f"w{i}" for i in range(words))
+    sets = ngram_join.ngram_sets([text, ""], width)
+    assert [len(s) for s in sets] == [max(words - width + 1, int(words > 0)), 0]
+    together = ngram_join.ngram_sets([text, BASE], width)
+    assert together[0].tolist() == sets[0].tolist()
+
+
+@pytest.mark.parametrize("chunk", [1, 50, 4000])
+def test_word_hashes_in_chunks(chunk):
+    values = [t or "" for _, t in TEXTS]
+    for a, b in zip(ngram_join.word_hashes(values), ngram_join.word_hashes(values, chunk), strict=True):
+        assert a.tolist() == b.tolist()
+
+
 def test_spaced_split():
     import regex
 
@@ -235,6 +263,63 @@ def test_spaced_split():
             public_tokenizers.PATTERN, text)
 
 
+def plain_likeness(a, b, in_place=False):
+    """By the places of the hashes that either text has once."""
+    if not a or not b:
+        return float(not a and not b)
+    places = [defaultdict(list), defaultdict(list)]
+    for held, found in zip(places, (a, b), strict=True):
+        for x in found:
+            held[x & 0xFFFFFFFF].append(x >> 32)
+    votes = defaultdict(int)
+    for h, (at, *more) in places[0].items():
+        if not more and len(places[1].get(h, ())) == 1:
+            votes[at - places[1][h][0]] += 1
+    best = 0 if in_place else min(votes, key=lambda d: (-votes[d], d), default=0)
+    matched = max(len(set(a) & {x + (d << 32) for x in b}) for d in (0, best))
+    return matched / (len(a) + len(b) - matched)
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_likeness_against_plain(spark, seed):
+    draw = random.Random(seed)
+    pairs = []
+    for _ in range(40):
+        a = sorted({draw.randrange(60) << 32 | draw.randrange(draw.choice([5, 40, 2 ** 32])) for _ in range(draw.randint(0, 30))})
+        b = sorted({(x >> 32) + 7 << 32 | x & 0xFFFFFFFF for x in a if draw.random() < 0.7}
+                   | {draw.randrange(90) << 32 | draw.randrange(2 ** 32) for _ in range(draw.randint(0, 9))})
+        pairs.append((a, b))
+    table = spark.createDataFrame(pairs, "a array<long>, b array<long>")
+    for r in table.select("a", "b", fingerprints.likeness(F.col("a"), F.col("b")).alias("x")).collect():
+        assert abs(r.x - plain_likeness(r.a, r.b)) < 1e-12
+
+
+def test_likeness_is_by_position(spark):
+    """A text moved as a whole is like itself; the same paragraphs in another order are not."""
+    paragraphs = [prose(100 + i, 60) for i in range(10)]
+    text, shuffled = "\n".join(paragraphs), "\n".join(paragraphs[::-1])
+    shifted, half = prose(7, 12) + "\n" + text, "\n".join(paragraphs[:5])
+    table = spark.createDataFrame([(text, text), (text, shifted), (text, shuffled), (text, half), (text, prose(8, 600))],
+                                  "a string, b string")
+    same, moved, mixed, part, other = (r[0] for r in table.select(fingerprints.likeness(
+        fingerprints.anchors(F.col("a")), fingerprints.anchors(F.col("b")))).collect())
+    assert same == 1 and moved > 0.9 and mixed < 0.3 and 0.4 < part < 0.6 and other < 0.05
+
+
+def test_long_texts_take_time_in_proportion(spark):
+    """Half a million characters beside short ones: no step looks at the whole text once per anchor."""
+    long = prose(3, 90_000)
+    rows = [(1, long), (2, "short"), (3, long[100:]), (4, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    begin = time.monotonic()
+    by = {r.doc_id: r for r in fingerprints.fingerprint_documents(docs).collect()}
+    assert time.monotonic() - begin < 60
+    assert by[1].n_chars == len(long) and by[1].n_anchors > 90_000 and 0.45 < by[1].near_edited < 0.55
+    lead = spark.createDataFrame([(long, long[100:])], "a string, b string").select(fingerprints.likeness(
+        fingerprints.anchors(F.col("a")), fingerprints.anchors(F.col("b")))).first()[0]
+    assert lead > 0.99
+
+
 def test_fingerprints(spark, docs, empty, monkeypatch):
     monkeypatch.setattr(fingerprints, "PIECE", 500)
     rows = fingerprints.fingerprint_documents(docs).collect()
@@ -252,8 +337,17 @@ def test_fingerprints(spark, docs, empty, monkeypatch):
     edited = {i: t[:len(t) - len(t) // 2] + ordered[(at + 1) % len(ordered)][1][:len(t) // 2]
               for at, (i, t) in enumerate(ordered)}
     again = spark.createDataFrame(list(edited.items()), "i long, t string").select(
-        "i", fingerprints.printed(fingerprints.sketch(F.col("t"))).alias("f")).collect()
+        "i", fingerprints.or_whole(fingerprints.anchors(F.col("t")), F.col("t")).alias("a")).select(
+        "i", "a", fingerprints.printed(F.col("a")).alias("f")).collect()
     assert {r.i: r.f for r in again} == {i: r.edited_fingerprint for i, r in by.items()}
+    theirs = {r.i: r.a for r in again}
+    table = spark.createDataFrame(ordered, "i long, t string")
+    own = {(r.i, r.t): r.a for r in table.select("i", "t", fingerprints.or_whole(
+        fingerprints.anchors(F.col("t")), F.col("t")).alias("a")).collect()}
+    for at, (i, t) in enumerate(ordered):
+        following = ordered[(at + 1) % len(ordered)]
+        assert abs(by[i].near_edited - plain_likeness(own[i, t], theirs[i], in_place=True)) < 1e-12
+        assert abs(by[i].near_next - plain_likeness(own[i, t], own[following])) < 1e-12 or i == 12
     assert fingerprints.fingerprint_documents(empty).count() == 0
 
 

@@ -96,22 +96,31 @@ def known_words(own: DataFrame, merges: Merges, most_words: int) -> Known:
     if least is None:
         empty = np.zeros(0, np.int64)
         return Known(np.zeros(0, np.uint64), empty, empty, np.zeros(0, np.int32))
+    # Hashes and ids come to the driver, 30 bytes a word or so, but no word.
     table = short.where(F.col("level") >= least).select(
-        "word", F.get(merges.encode_words(F.array("word")), F.lit(0)).alias("ids")).toArrow()
-    ids = table.column("ids").combine_chunks()
-    lengths = pc.list_value_length(ids).to_numpy().astype(np.int64)
-    hashes = np.concatenate([np.zeros(0, np.uint64), *(
-        split_one_by_one(table.column("word").slice(a, 100_000).to_pylist())
-        for a in range(0, len(table), 100_000))])
+        "word", F.get(merges.encode_words(F.array("word")), F.lit(0)).alias("ids")
+    ).mapInArrow(hash_words, "hash binary, ids binary, lengths binary").toArrow()
+    held = [[np.frombuffer(v.as_buffer(), kind) for v in table.column(name)] or [np.zeros(0, kind)]
+            for name, kind in (("hash", np.uint64), ("ids", np.int32), ("lengths", np.int32))]
+    del table
+    hashes, pool, lengths = (np.concatenate(parts) for parts in held)
+    del held
     order = np.argsort(hashes)
-    begins = lengths.cumsum() - lengths
-    return Known(hashes[order], begins[order].astype(np.int32), lengths[order].astype(np.int32),
-                 ids.flatten().to_numpy())
+    begins = (np.cumsum(lengths) - lengths).astype(np.int32)
+    return Known(hashes[order], begins[order], lengths[order], pool)
 
 
-def split_one_by_one(words: list[str]) -> np.ndarray:
-    """Each word's hash. Split on its own, a word stays whole."""
-    return split_words(words, spaced=True).hashes
+def hash_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per batch: each word's hash, all ids one after the other, and how many each word has."""
+    for batch in batches:
+        # Split on its own, a word stays whole.
+        hashes = split_words(batch.column("word").to_pylist(), spaced=True).hashes
+        ids = batch.column("ids")
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([x.tobytes()]) for x in (
+                hashes, ids.flatten().to_numpy(zero_copy_only=False).astype(np.int32),
+                pc.list_value_length(ids).to_numpy(zero_copy_only=False).astype(np.int32))],
+            names=["hash", "ids", "lengths"])
 
 
 def to_blocks(batches: Iterator[pa.RecordBatch], hashes: np.ndarray) -> Iterator[pa.RecordBatch]:

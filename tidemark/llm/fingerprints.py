@@ -19,8 +19,8 @@ from tidemark.llm.common import texts
 K, S = 12, 4
 # A text is worked through in pieces of so many characters: bounded memory for very long ones.
 PIECE = 8192
-# Hashes in a fingerprint: the least ones of a text's anchors, all of them for short texts.
-SKETCH = 128
+# Anchors that one part of a printed fingerprint stands for.
+RUN = 64
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -28,6 +28,10 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def _let2(a: Column, b: Column, body: Callable[[Column, Column], Column]) -> Column:
+    return _let(F.struct(a.alias("a"), b.alias("b")), lambda s: body(s["a"], s["b"]))
+
+
 def _piece_anchors(text: Column, shift: Column) -> Column:
     last = K - S
 
@@ -69,36 +73,77 @@ def place_of(anchor: Column) -> Column:
     return F.shiftright(anchor, 32)
 
 
-def _sketch(hashes: Column) -> Column:
-    return F.slice(F.sort_array(F.array_distinct(hashes)), 1, SKETCH)
+def hash_of(anchor: Column) -> Column:
+    return anchor.bitwiseAND(F.lit((1 << 32) - 1))
+
+
+def moved(found: Column, by: Column) -> Column:
+    """The same anchors, so many places further on."""
+    return F.transform(found, lambda a: a + by.cast("bigint") * F.lit(1 << 32))
+
+
+def or_whole(found: Column, text: Column) -> Column:
+    """The anchors, or for a text without any, if it isn't empty, one made of the whole of it at place 0."""
+    return F.when(F.size(found) > 0, found).when(F.length(text) > 0, F.array(
+        F.hash(text).cast("bigint") + F.lit(1 << 31))).otherwise(no_anchors())
+
+
+def no_anchors() -> Column:
+    return F.array().cast("array<bigint>")
+
 
+def common_shift(a: Column, b: Column) -> Column:
+    """By how many places anchors of b stand before their equals in a: the distance that most of the hashes
+    give that both texts have once; of several the least. 0 if there is no such hash."""
+    def tagged(found: Column, tag: int) -> Column:
+        return F.transform(found, lambda x: F.shiftleft(hash_of(x), 32) + place_of(x) * 2 + tag)
 
-def _short(text: Column) -> Column:
-    """What stands in for the anchors of a text without any: its own hash, if it isn't empty."""
-    return F.when(F.length(text) > 0, F.array(F.hash(text).cast("bigint") + F.lit(1 << 31))).otherwise(
-        F.array().cast("array<bigint>"))
+    def distances(both: Column) -> Column:
+        def distance(v: Column, i: Column) -> Column:
+            following = F.get(both, i + 1)
+            h = F.shiftright(v, 32)
+            once = (F.shiftright(following, 32) == h) & (v.bitwiseXOR(following).bitwiseAND(F.lit(1)) == 1)
+            alone = (F.coalesce(F.shiftright(F.get(both, i + 2), 32) != h, F.lit(True))
+                     & F.when(i == 0, True).otherwise(F.shiftright(F.get(both, i - 1), 32) != h))
+            apart = F.shiftright(hash_of(following), 1) - F.shiftright(hash_of(v), 1)
+            return F.when(once & alone, F.when(v.bitwiseAND(F.lit(1)) == 1, apart).otherwise(-apart))
 
+        return F.sort_array(F.array_compact(F.transform(both, distance)))
 
-def _hashes(found: Column) -> Column:
-    return F.transform(found, lambda a: a.bitwiseAND(F.lit((1 << 32) - 1)))
+    def count(state: Column, d: Column) -> Column:
+        run = F.when(d == state["last"], state["run"] + 1).otherwise(F.lit(1))
+        return F.struct(d.alias("last"), run.alias("run"), F.greatest(run, state["most"]).alias("most"),
+                        F.when(run > state["most"], d).otherwise(state["best"]).alias("best"))
 
+    nothing = F.lit(0).cast("bigint")
+    start = F.struct(nothing.alias("last"), F.lit(0).alias("run"), F.lit(0).alias("most"), nothing.alias("best"))
+    both = F.sort_array(F.concat(tagged(a, 0), tagged(b, 1)))
+    return _let(both, lambda x: F.aggregate(distances(x), start, count, lambda state: state["best"]))
 
-def sketch(text: Column) -> Column:
-    """The fingerprint of a text, as array<bigint> of 32-bit hashes."""
-    return _let(anchors(text), lambda a: F.when(F.size(a) > 0, _sketch(_hashes(a))).otherwise(_short(text)))
 
+def likeness(a: Column, b: Column, in_place: bool = False) -> Column:
+    """How alike two texts are by their anchors, from 0 to 1: the anchors that match in hash and, shifted by one
+    distance for all of them, in place, over all anchors of either. The distance is the common one, or none if
+    that matches more; always none if ``in_place``. Two texts without anchors are alike."""
+    def matched(shift: Column) -> Column:
+        still = F.size(F.array_intersect(a, b))
+        return F.when(shift == 0, still).otherwise(F.greatest(still, F.size(F.array_intersect(a, moved(b, shift)))))
 
-def likeness(a: Column, b: Column) -> Column:
-    """Jaccard likeness of two fingerprints, from 0 to 1: among the least hashes of both together, the
-    share that both have. Two empty ones are alike."""
-    union = F.slice(F.sort_array(F.array_union(a, b)), 1, SKETCH)
-    return _let(union, lambda u: F.when(F.size(u) == 0, 1.0).otherwise(
-        F.size(F.array_intersect(F.array_intersect(u, a), b)) / F.size(u)))
+    if in_place:
+        found = F.size(F.array_intersect(a, b))
+    else:
+        shared = F.arrays_overlap(F.transform(a, hash_of), F.transform(b, hash_of))
+        found = F.when(shared, _let(common_shift(a, b), matched)).otherwise(F.lit(0))
+    share = _let(found, lambda m: m / (F.size(a) + F.size(b) - m))
+    return F.when((F.size(a) == 0) | (F.size(b) == 0), (F.size(a) == F.size(b)).cast("double")).otherwise(share)
 
 
-def printed(hashes: Column) -> Column:
-    return F.array_join(F.transform(hashes, lambda h: F.lpad(
-        F.lower(F.hex(h)), 8, "0")), "")
+def printed(found: Column) -> Column:
+    """All anchors as text: 16 hexadecimal digits for every RUN of them, so texts that begin alike have prints that
+    begin alike."""
+    starts = F.sequence(F.lit(1), F.greatest(F.size(found), F.lit(1)), F.lit(RUN))
+    return F.when(F.size(found) == 0, "").otherwise(F.array_join(F.transform(starts, lambda at: F.lpad(
+        F.lower(F.hex(F.xxhash64(F.slice(found, at, F.lit(RUN))))), 16, "0")), ""))
 
 
 def with_next(docs: DataFrame, parts: int) -> DataFrame:
@@ -131,43 +176,46 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
 
     The edited text is the text with its last half replaced by as much of the next document's
     beginning, or all of it, next by doc_id, and by text among equal ids; the last is followed by
-    the first. Its anchors are put together from those of both parts and of the seam. A fingerprint
-    is up to SKETCH hashes of 8 hexadecimal digits. Null texts are empty; an empty text has an
-    empty fingerprint, one without anchors its own hash. Null ids come first. Other columns are
+    the first. As many characters are replaced by as many at most, so what the edit leaves is compared in its
+    place, while the next document is compared by the distance that they share. The edited text's anchors are put together from those of both parts and of the seam. A fingerprint
+    stands for all anchors of a text with their places. Null texts are empty; an empty text has an
+    empty fingerprint, one without anchors that of the whole text. Null ids come first. Very long texts are
+    worked through in pieces, and every step is in proportion to a text's length. Other columns are
     ignored; an empty table gives an empty result.
     """
     parts = 4 * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    own = texts(docs).withColumn("text", F.coalesce("text", F.lit("")))
+    text = F.coalesce("text", F.lit(""))
+    own = texts(docs).withColumn("text", text)
     order = W.partitionBy("run").orderBy("late", "doc_id", "text")
-    rows = with_next(own, parts).withColumn("own", anchors(F.col("text")))
-    # The next text's anchors come with it: a text's are computed once.
+    # Only texts are shuffled: anchors are made where the runs are, once per text.
+    rows = with_next(own, parts).repartition("run").select(
+        "*", F.length("text").alias("n"), anchors(F.col("text")).alias("own"))
+    # The window stands between the lengths and their use, so that they are numbers there and not computed again
+    # for every anchor.
     rows = rows.select(
-        "run", "late", "doc_id", "text", "own", F.coalesce(F.lead("text").over(order), F.lit("")).alias("next"),
-        F.lead("own").over(order).alias("next_own"))
-    n = F.length("text")
-    half = F.floor(n / 2).cast("int")
-    cut = rows.select(
-        "run", "late", "doc_id", "text", "own", n.cast("bigint").alias("n_chars"),
-        F.left("text", n - half).alias("head"), F.left("next", half).alias("tail"),
-        F.coalesce("next_own", F.array().cast("array<bigint>")).alias("next_own"))
-    edited = F.concat("head", "tail")
-    seam = anchors(F.concat(F.right("head", F.lit(K - 1)), F.left("tail", F.lit(K - 1))))
+        "run", "late", "doc_id", "text", "n", "own",
+        F.coalesce(F.lead("text").over(order), F.lit("")).alias("next"),
+        F.coalesce(F.lead("n").over(order), F.lit(0)).alias("next_n"),
+        F.coalesce(F.lead("own").over(order), no_anchors()).alias("next_own")).where("late = 0")
+    half = F.floor(F.col("n") / 2).cast("int")
+    head_n, tail_n = F.col("n") - half, F.least(half, F.col("next_n"))
+    edited = F.concat(F.left("text", head_n), F.left("next", tail_n))
+    # Of the seam as much as an anchor across it can hold.
+    before, after = F.least(head_n, F.lit(K - 1)), F.least(tail_n, F.lit(K - 1))
+    seam = anchors(F.concat(F.substring("text", head_n - before + 1, before), F.left("next", after)))
 
     def up_to(column: str, end: Column) -> Column:
         return F.filter(column, lambda a: place_of(a) + K <= end)
 
-    together = F.concat(_hashes(up_to("own", F.length("head"))), _hashes(up_to("next_own", F.length("tail"))),
-                        _hashes(seam))
-    printed_rows = cut.select(
-        "run", "late", "doc_id", "text", "n_chars",
-        F.sha2(F.encode(edited, "UTF-8"), 256).alias("edited_sha256"),
-        F.size("own").alias("n_anchors"),
-        F.when(F.size("own") > 0, _sketch(_hashes(F.col("own")))).otherwise(_short(F.col("text"))).alias("mine"),
-        _let(together, lambda t: F.when(F.size(t) > 0, _sketch(t)).otherwise(_short(edited))).alias("theirs"))
-    return printed_rows.withColumn("following", F.lead("mine").over(order)).where("late = 0").select(
-        "doc_id", "n_chars", "edited_sha256",
-        printed(F.col("mine")).alias("fingerprint"),
-        printed(F.col("theirs")).alias("edited_fingerprint"),
-        likeness(F.col("mine"), F.col("theirs")).alias("near_edited"),
-        likeness(F.col("mine"), F.col("following")).alias("near_next"),
-        F.col("n_anchors").cast("bigint").alias("n_anchors"))
+    together = F.concat(up_to("own", head_n), moved(seam, head_n - before), moved(up_to("next_own", tail_n), head_n))
+    mine, following = or_whole(F.col("own"), F.col("text")), or_whole(F.col("next_own"), F.col("next"))
+    return rows.withColumns({"edited": edited, "mine": mine, "following": following, "together": together}).select(
+        "doc_id", "n", "edited", "mine", "following", "own", or_whole(F.col("together"), F.col("edited")).alias("theirs")
+    ).select(
+        "doc_id", F.col("n").cast("bigint").alias("n_chars"),
+        F.sha2(F.encode("edited", "UTF-8"), 256).alias("edited_sha256"),
+        _let(F.col("mine"), printed).alias("fingerprint"),
+        _let(F.col("theirs"), printed).alias("edited_fingerprint"),
+        _let2(F.col("mine"), F.col("theirs"), lambda a, b: likeness(a, b, in_place=True)).alias("near_edited"),
+        _let2(F.col("mine"), F.col("following"), likeness).alias("near_next"),
+        F.size("own").cast("bigint").alias("n_anchors"))

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import texts, written
 from tidemark.llm.components import components
 from tidemark.llm.trie import linked
-from tidemark.llm.words import blocks, power_tables
+from tidemark.llm.words import CHUNK, blocks, power_tables
 
 SETS = "doc_id bigint, n bigint, set_id binary, eligible int, tokens array<bigint>"
 # Sets in one task's tree; larger groups are dealt out to several.
@@ -35,17 +35,24 @@ def _mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def word_hashes(values: list[str]) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(values: list[str], chunk: int = CHUNK) -> tuple[np.ndarray, np.ndarray]:
     """64 bits of every word of the texts, A-Z in lower case, and where each text's words begin."""
     raw = np.frombuffer(("\n".join(values) + "\n").encode("utf-8"), np.uint8).copy()
     raw[(raw >= 65) & (raw <= 90)] += 32
     space = (raw == 32) | ((raw >= 9) & (raw <= 13))
     edge = np.flatnonzero(np.diff(np.concatenate([[True], space, [True]]).astype(np.int8)))
     starts, ends = edge[0::2], edge[1::2]
-    powers, inverses = power_tables(1 << max(16, len(raw).bit_length()))
-    sums = np.zeros(len(raw) + 1, np.uint64)
-    np.cumsum(_mix(raw.astype(np.uint64) + np.uint64(0x632BE59BD9B4E019)) * powers[:len(raw)], out=sums[1:])
-    hashes = _mix((sums[ends] - sums[starts]) * inverses[starts] + (ends - starts).astype(np.uint64))
+    hashes, done = np.zeros(len(starts), np.uint64), 0
+    while done < len(starts):
+        # As many words as lie in a chunk, or one.
+        first, upto = starts[done], max(done + 1, int(np.searchsorted(ends, starts[done] + chunk)))
+        own = raw[first:ends[upto - 1]]
+        powers, inverses = power_tables(1 << max(16, len(own).bit_length()))
+        sums = np.zeros(len(own) + 1, np.uint64)
+        np.cumsum(_mix(own.astype(np.uint64) + np.uint64(0x632BE59BD9B4E019)) * powers[:len(own)], out=sums[1:])
+        a, b = starts[done:upto] - first, ends[done:upto] - first
+        hashes[done:upto] = _mix((sums[b] - sums[a]) * inverses[a] + (b - a).astype(np.uint64))
+        done = upto
     texts_end = np.cumsum(np.fromiter((len(v.encode("utf-8")) + 1 for v in values), np.int64, len(values)))
     return hashes, np.concatenate([[0], np.searchsorted(starts, texts_end)])
 
@@ -57,7 +64,8 @@ def ngram_sets(values: list[str], width: int) -> list[np.ndarray]:
         words, cuts = word_hashes(values[a:b])
         grams = np.zeros(len(words), np.uint64)
         for k in range(width):
-            grams[:len(words) - k] = _mix(grams[:len(words) - k] * np.uint64(3) + words[k:])
+            whole = max(0, len(words) - k)
+            grams[:whole] = _mix(grams[:whole] * np.uint64(3) + words[k:])
         for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
             if hi - lo >= width:
                 out.append(np.unique(grams[lo:hi - width + 1]))

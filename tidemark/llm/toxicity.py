@@ -81,15 +81,18 @@ def fit_chain(x: Sparse, targets: np.ndarray, folds: int = 4, least_rows: int =
 
 def _training_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        values = [t or "" for t in batch.column("text").to_pylist()]
-        x = word_presence(values, BITS)
-        yield pa.RecordBatch.from_arrays([
-            batch.column("doc_id"),
-            pa.array([x.index[a:b].astype(np.int32) for a, b in zip(x.cuts[:-1], x.cuts[1:], strict=True)],
-                     pa.list_(pa.int32())),
-            pa.array([category_targets(t, y) for t, y in
-                      zip(values, batch.column("toxic").to_pylist(), strict=True)], pa.list_(pa.int32())),
-        ], names=["doc_id", "features", "targets"])
+        whole = [t or "" for t in batch.column("text").to_pylist()]
+        toxic = batch.column("toxic").to_pylist()
+        for lo, hi in blocks(whole):
+            values = whole[lo:hi]
+            x = word_presence(values, BITS)
+            yield pa.RecordBatch.from_arrays([
+                batch.column("doc_id").slice(lo, hi - lo),
+                pa.array([x.index[a:b].astype(np.int32) for a, b in zip(x.cuts[:-1], x.cuts[1:], strict=True)],
+                         pa.list_(pa.int32())),
+                pa.array([category_targets(t, y) for t, y in zip(values, toxic[lo:hi], strict=True)],
+                         pa.list_(pa.int32())),
+            ], names=["doc_id", "features", "targets"])
 
 
 def train(docs: DataFrame, labels: DataFrame, most_rows: int = 20_000) -> Chain:
@@ -125,15 +128,15 @@ def score(batches: Iterator[pa.RecordBatch], chain: Chain) -> Iterator[pa.Record
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.5,
-                   most_rows: int = 20_000) -> DataFrame:
-    """Every row of docs: doc_id, the probability of each category, and toxic (of the last one, at
+                   most_rows: int = 20_000, rows: DataFrame | None = None) -> DataFrame:
+    """Every row of docs (of ``rows`` if given, which may have other ids; docs then only train): doc_id, the probability of each category, and toxic (of the last one, at
     least ``threshold``).
 
     Null and empty texts have no words and get the intercept's probability. Repeated rows are scored
     each; columns other than doc_id and text are ignored; an empty table gives an empty result.
     """
     chain = train(docs, labels, most_rows)
-    return texts(docs).mapInArrow(
+    return texts(docs if rows is None else rows).mapInArrow(
         lambda batches: score(batches, chain),
         "doc_id bigint, " + ", ".join(f"p_{c} double" for c in CATEGORIES),
     ).withColumn("toxic", F.col(f"p_{CATEGORIES[-1]}") >= threshold)

@@ -8,6 +8,7 @@ a space before it, and runs of white space).
 from __future__ import annotations
 
 import functools
+import re
 import unicodedata
 from dataclasses import dataclass
 
@@ -38,8 +39,23 @@ def _powers(factor: int, n: int) -> np.ndarray:
     return np.multiply.accumulate(out)
 
 
-@functools.cache
+# Characters that are worked on at once; only a single word may be longer.
+CHUNK = 1 << 20
+# Where a text may be cut: white space that begins here belongs to what follows.
+_CUT = re.compile(r"[!-~] ")
+
+
 def power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Kept between calls, but for sizes that only very long words need."""
+    return _kept_tables(n) if n <= 2 * CHUNK else _power_tables(n)
+
+
+@functools.cache
+def _kept_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
+    return _power_tables(n)
+
+
+def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers(_FACTOR, n), _powers(pow(_FACTOR, -1, 1 << 64), n)
 
 
@@ -68,11 +84,37 @@ def _contractions(codes: np.ndarray, quotes: np.ndarray) -> np.ndarray:
     return length
 
 
-def split_words(texts: list[str], spaced: bool) -> Words:
+def _chunks(text: str, edges: np.ndarray, size: int) -> list[int]:
+    """Where to cut the texts, so that each part has about ``size`` characters and splits like the whole."""
+    bounds = [0]
+    while bounds[-1] + size < len(text):
+        aim = bounds[-1] + size
+        edge = int(edges[np.searchsorted(edges, aim)]) + 1
+        found = _CUT.search(text, aim, edge)
+        bounds.append(found.start() + 1 if found else edge)
+    if bounds[-1] < len(text):
+        bounds.append(len(text))
+    return bounds
+
+
+def split_words(texts: list[str], spaced: bool, chunk: int = CHUNK) -> Words:
+    """Takes memory for the words and, of ``chunk`` characters at a time, for each character."""
     text = "\n".join(texts) + "\n"
+    edges = np.cumsum(np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts))) - 1
+    bounds = _chunks(text, edges, chunk)
+    parts = []
+    for a, b in zip(bounds[:-1], bounds[1:], strict=True):
+        inside = edges[np.searchsorted(edges, a):np.searchsorted(edges, b)] - a
+        starts, ends, hashes = _split(text[a:b], inside, spaced)
+        parts.append((starts + a, ends + a, hashes))
+    starts, ends, hashes = (np.concatenate(p) for p in zip(*parts, strict=True))
+    cuts = np.append(0, np.searchsorted(starts, edges))
+    return Words(text, starts, ends, cuts, hashes)
+
+
+def _split(text: str, edges: np.ndarray, spaced: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
     kinds = character_classes()[codes]
-    edges = np.cumsum(np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts))) - 1
     kinds[edges] = EDGE
     n = len(codes)
     fresh = np.ones(n, bool)
@@ -86,7 +128,8 @@ def split_words(texts: list[str], spaced: bool) -> Words:
     extra = _contractions(codes, quotes)
     quotes, extra = quotes[extra > 0], extra[extra > 0]
     fresh[quotes + 1] = False
-    fresh[quotes + extra + 1] = True
+    behind = quotes + extra + 1
+    fresh[behind[behind < n]] = True
     if spaced:
         # Of white space before a word, the last character stands alone or, a space, with the word.
         last = np.flatnonzero((kinds[:-1] == SPACE) & (kinds[1:] != SPACE) & (kinds[1:] != EDGE))
@@ -98,8 +141,7 @@ def split_words(texts: list[str], spaced: bool) -> Words:
     if not spaced:
         words = kinds[starts] != SPACE
         starts, ends = starts[words], ends[words]
-    cuts = np.append(0, np.searchsorted(starts, edges))
-    return Words(text, starts, ends, cuts, _hashes(codes, starts, ends))
+    return starts, ends, _hashes(codes, starts, ends)
 
 
 def _hashes(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
