@@ -16,11 +16,16 @@ from tidemark.session import checkpoint_root
 
 
 _shipped: set[str] = set()
+# Rows of texts that a Python worker is handed at once; a worker holds a batch several times over.
+BATCH_ROWS = 2000
+_BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def ship_code(spark: SparkSession) -> None:
     """Sends this package to the Python workers, once per application: they import it by name, and the
-    driver may have it on a path that they lack."""
+    driver may have it on a path that they lack. Sees to it that they get rows in batches of bounded size."""
+    if int(spark.conf.get(_BATCH_SETTING, "10000")) > BATCH_ROWS:
+        spark.conf.set(_BATCH_SETTING, str(BATCH_ROWS))
     context = spark.sparkContext
     if context.applicationId not in _shipped:
         root = Path(__file__).resolve().parents[2]

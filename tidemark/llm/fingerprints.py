@@ -176,9 +176,10 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
 
     The edited text is the text with its last half replaced by as much of the next document's
     beginning, or all of it, next by doc_id, and by text among equal ids; the last is followed by
-    the first. As many characters are replaced by as many at most, so what the edit leaves is compared in its
-    place, while the next document is compared by the distance that they share. The edited text's anchors are put together from those of both parts and of the seam. A fingerprint
-    stands for all anchors of a text with their places. Null texts are empty; an empty text has an
+    the first. Characters give way to as many at most, so what the edit leaves is compared in its place, while
+    the next document is compared by the distance that both share. The edited text's anchors are put
+    together from those of both parts and of the seam. A fingerprint stands for all anchors of a text with
+    their places. Null texts are empty; an empty text has an
     empty fingerprint, one without anchors that of the whole text. Null ids come first. Very long texts are
     worked through in pieces, and every step is in proportion to a text's length. Other columns are
     ignored; an empty table gives an empty result.

@@ -40,7 +40,7 @@ def _powers(factor: int, n: int) -> np.ndarray:
 
 
 # Characters that are worked on at once; only a single word may be longer.
-CHUNK = 1 << 20
+CHUNK = 1 << 19
 # Where a text may be cut: white space that begins here belongs to what follows.
 _CUT = re.compile(r"[!-~] ")
 
@@ -162,7 +162,7 @@ def _hashes(codes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarr
     return found
 
 
-def blocks(texts: list[str], most_characters: int = 1_000_000):
+def blocks(texts: list[str], most_characters: int = 500_000):
     """Runs of consecutive texts of together about so many characters."""
     begin = held = 0
     for i, text in enumerate(texts):
