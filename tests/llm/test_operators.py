@@ -8,7 +8,7 @@ import random
 import re
 import time
 import zlib
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
@@ -378,6 +378,105 @@ def test_licenses(spark, docs, empty):
     assert not re.search("Python|Pandas|Arrow", plan)
 
 
+WRAPPED = {
+    "mit": """// Permission is hereby granted, free of charge, to any
+// person obtaining a copy of this software and associated
+// documentation files (the "Software"), to deal in the
+// Software without restriction, including without limitation""",
+    "gpl": """ * This program is free software: you can redistribute it and/or
+ * modify it under the terms of the GNU General Public License as
+ * published by the Free Software Foundation, either version 3 of
+ * the License, or (at your option) any later version.""",
+    "apache-2.0": """# Licensed under the Apache License, Version 2.0 (the "License");
+# you may not use this file except in compliance with the
+# License. You may obtain a copy of the License at
+#
+#     http://www.apache.org/licenses/LICENSE-2.0""",
+}
+
+
+def plain_passages(text):
+    """(paragraph, whole, passage, words) of a text, by loops."""
+    lines = [line if re.search(r"[^\W_]", line) else "" for line in (text or "").split("\n")]
+    for k, par in enumerate(re.split(r"\n\n+", "\n".join(lines))):
+        words = licenses.words_of(par)
+        for i, line in enumerate(par.split("\n")):
+            yield k, False, i, licenses.words_of(line)
+        if "\n" in par or len(words) > licenses.WINDOW:
+            for i, at in enumerate(range(0, max(1, len(words) - licenses.WINDOW // 2), licenses.WINDOW // 2)):
+                yield k, True, i, words[at:at + licenses.WINDOW]
+
+
+def plain_findings(text, model):
+    known = {g for own in model.weights.values() for g in own}
+    templates = {f: [licenses.grams_of(licenses.words_of(t)) for t in ts] for f, ts in licenses.TEMPLATES.items()}
+    known = known.union(*(t for ts in templates.values() for t in ts))
+    found = {}
+    for k, whole, _, words in plain_passages(text):
+        grams = licenses.grams_of(words)
+        if grams & known:
+            family = max(sorted(model.weights, reverse=True), key=lambda f: (model.margin(words, f), f))
+            p = licenses._sigmoid(model.scale[0] * model.margin(words, family) + model.scale[1])
+            share = max(len(grams & t) / len(t) for t in templates[family])
+            found.setdefault(k, []).append((whole, family, p, p >= 0.5 and share >= 0.7))
+    families, n_confirmed, n_unknown = set(), 0, 0
+    for rows in found.values():
+        own = {f for whole, f, _, ok in rows if ok and not whole}
+        wrapped = {f for whole, f, _, ok in rows if ok and whole} - own
+        families |= own | wrapped
+        n_confirmed += sum(ok and not whole for whole, _, _, ok in rows) + len(wrapped)
+        n_unknown += 0 if wrapped else sum(not ok and not whole for whole, _, _, ok in rows)
+    best = max((p for rows in found.values() for _, _, p, _ in rows), default=None)
+    return ",".join(sorted(families)), n_confirmed, n_unknown, best
+
+
+def license_rows():
+    long = " ".join(prose(40, 30_000).split("\n"))
+    notice = WRAPPED["gpl"].replace("\n", " ")
+    texts = [(k, w) for k, w in enumerate(WRAPPED.values())]
+    texts += [(10, prose(2, 40) + "\n\n" + WRAPPED["mit"] + "\n//\n" + prose(3, 40)),
+              (11, prose(2, 40) + "\r\n\r\n" + WRAPPED["gpl"].replace("\n", "\r\n")),
+              (12, long + " " + notice + " " + long), (13, "\n".join([WRAPPED["mit"], prose(5, 300), "Licensed under CC BY 4.0."])),
+              (14, "Released under the MIT License.\nLicensed under CC BY-SA 4.0."),
+              (None, "Released under the MIT License."), (None, prose(6, 30)), (None, None),
+              (15, "Licensed under CC BY 4.0."), (15, prose(7, 20)), (15, "Licensed under CC BY 4.0."),
+              (16, "the license of software is distributed\nsoftware foundation\n" * 3), (17, "\n" * 50_000), (18, "")]
+    texts += [(100 + i, prose(i, 60) + f"\nsoftware {prose(i, 3)} commons {i} was permitted in the restriction {i}")
+              for i in range(60)]
+    return texts
+
+
+def test_licenses_equal_a_plain_version(spark):
+    texts = license_rows()
+    docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(5)
+    paragraphs = licenses.speaking_paragraphs(docs)
+    model = licenses.fit(licenses.ordinary_paragraphs(docs, paragraphs, 400))
+    got = Counter((r.doc_id, r.families, r.n_confirmed, r.n_unknown, r.best_probability and round(r.best_probability, 9))
+                  for r in licenses.scan_licenses(docs).collect())
+    want = Counter()
+    for doc_id, text in texts:
+        *rest, best = plain_findings(text, model)
+        want[(doc_id, *rest, best and round(best, 9))] += 1
+    assert got == want
+    families = {}
+    for (doc_id, found, *_), n in got.items():
+        families.setdefault(doc_id, []).extend([found] * n)
+    assert [families[k] for k in range(3)] == [[f] for f in WRAPPED]
+    assert (families[10], families[11], families[12]) == (["mit"], ["gpl"], ["gpl"])
+    assert families[13] == ["cc-by,mit"] and families[14] == ["cc-by-sa,mit"]
+    assert sorted(families[None]) == ["", "", "mit"] and sorted(families[15]) == ["", "cc-by", "cc-by"]
+    assert not any(f for k in [16, 17, 18, *range(100, 160)] for f in families[k])
+
+
+def test_license_windows_hold_every_template_and_the_sample_is_bounded(spark):
+    assert all(2 * len(licenses.words_of(t)) <= licenses.WINDOW for ts in licenses.TEMPLATES.values() for t in ts)
+    rows = [(i, f"software {prose(i, 200)}\nother {prose(i, 4)} license") for i in range(400)] + [(7, "software")] * 300
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(16)
+    found = licenses.ordinary_paragraphs(docs, licenses.speaking_paragraphs(docs), 20)
+    assert 20 < len(found) <= 40 and all(len(words) <= licenses.WINDOW for words in found)
+    assert any("license" in words for words in found)
+
+
 def labelled(spark):
     rows, labels = [], []
     for i in range(1500):

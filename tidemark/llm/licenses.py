@@ -1,21 +1,24 @@
 """Licence notices in text: a trained paragraph classifier, in Spark's own expressions.
 
-Paragraphs are described by the word n-grams that occur in licence texts; one logistic regression per
-family, trained on template passages against ordinary paragraphs, weighs them. A family's
-probability is calibrated on held-out passages; where none is likely enough the paragraph is
-unknown. A prediction counts only if the paragraph also holds enough of one of the family's
-templates.
+A text's passages are its lines and, for notices that were wrapped, its paragraphs, their lines joined, up to
+a line without letters or digits (so one with comment marks alone ends a paragraph, and marks before words fall
+away); long paragraphs are read in windows that overlap by half. Passages are described by the word n-grams that
+occur in licence texts; one logistic regression per family, trained on template passages against ordinary text
+and against lines that use licences' words otherwise, weighs them. A family's probability is calibrated on
+held-out passages; where none is likely enough the passage is unknown. A prediction counts only if the passage
+also holds enough of one of the family's templates.
 """
 
 from __future__ import annotations
 
 import math
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import texts
+from tidemark.llm.common import texts, written
 
 # Fixed wording of the licences' own notices, per family.
 TEMPLATES = {
@@ -78,6 +81,10 @@ UNKNOWN = "unknown"
 _WORD = re.compile(r"[a-z0-9]+")
 # Sentences of n-grams up to this width.
 WIDTH = 3
+# Words of one window of a paragraph. Windows overlap by half: a notice of up to half as many words is whole in one.
+WINDOW = 128
+# Letters kept of a word that is only trained against.
+WORD_CHARS = 40
 # Words before and after a notice in its paragraph, in training: a paragraph may hold more than it.
 _FILLER = ("this", "file", "see", "the", "project", "page", "and", "for", "more", "details", "of", "all")
 
@@ -171,14 +178,75 @@ def fit(negatives: list[list[str]]) -> Classifier:
     return Classifier(*train(passages), (a, b))
 
 
-def ordinary_paragraphs(docs: DataFrame, most: int) -> list[list[str]]:
-    """The words of one paragraph each of at most ``most`` documents that don't speak of licences, those
-    with the lowest hashes; 60 words at most are used for training."""
-    line = F.get(F.split(F.coalesce("text", F.lit("")), "\n"), F.lit(0))
-    chosen = texts(docs).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most).select(
-        F.slice(F.split(F.lower(line), " "), 1, 60).alias("words"))
-    speaks = re.compile(r"licen[sc]e|copyright|spdx|permission")
-    return [_WORD.findall(" ".join(r[0])) for r in chosen.collect() if not speaks.search(" ".join(r[0]))]
+def _words(text: Column) -> Column:
+    return F.filter(F.split(F.lower(text), "[^a-z0-9]+"), lambda w: w != "")
+
+
+def _has_key(words: Column) -> Column:
+    return F.arrays_overlap(words, F.array(*map(F.lit, KEYS)))
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def speaking_paragraphs(docs: DataFrame) -> DataFrame:
+    """The paragraphs with a key word of all texts: doc_id, digest (a hash of the text), paragraph (from 0), text."""
+    text = F.coalesce("text", F.lit(""))
+    # Most documents are told by a search for the key words' letters, without being cut up.
+    speaks = _let(F.lower(text), lambda low: F.exists(F.array(*map(F.lit, KEYS)), lambda key: F.contains(low, key)))
+    blank = F.regexp_replace(text, r"(?md)^[^\p{L}\p{N}\n]++$", "")
+    return texts(docs).where(speaks).select(
+        "doc_id", F.xxhash64(text).alias("digest"), F.posexplode(F.split(blank, r"\n\n+"))
+    ).toDF("doc_id", "digest", "paragraph", "text").where(_has_key(_words(F.col("text"))))
+
+
+def passages(paragraphs: DataFrame) -> DataFrame:
+    """Lines, and windows of paragraphs that have several lines or are long, with a key word: doc_id, digest,
+    paragraph, whole (a window, not a line), passage (from 0 among either), text, words."""
+    lines = F.transform(F.split("text", "\n"), lambda line, i: F.struct(
+        F.lit(False).alias("whole"), i.alias("passage"), line.alias("text"), _words(line).alias("words")))
+
+    def windows(words: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(words) - WINDOW // 2), F.lit(WINDOW // 2))
+        return F.transform(starts, lambda at, i: _let(F.slice(words, at, F.lit(WINDOW)), lambda own: F.struct(
+            F.lit(True).alias("whole"), i.alias("passage"), F.array_join(own, " ").alias("text"), own.alias("words"))))
+
+    joined = _let(_words(F.col("text")), lambda words: F.when(
+        F.contains("text", F.lit("\n")) | (F.size(words) > WINDOW), windows(words)))
+    return paragraphs.select("doc_id", "digest", "paragraph", F.explode(
+        F.when(joined.isNull(), lines).otherwise(F.concat(lines, joined))).alias("p")
+    ).select("doc_id", "digest", "paragraph", "p.*").where(_has_key(F.col("words")))
+
+
+def _lowest(df: DataFrame, mark: str, rows: int, most: int) -> list[list[str]]:
+    """The words of the ``most`` rows with the lowest marks, of about ``rows`` distinct ones. Rows are cut by a bound on
+    the mark first, so about twice as many reach the driver however many tasks send theirs."""
+    share = min(1.0, 2 * most / max(1, rows))
+    return [r["words"] for r in df.where((F.col(mark) / 2.0 ** 64 + 0.5) <= share).dropDuplicates([mark]).orderBy(
+        mark).limit(most).select("words").collect()]
+
+
+def ordinary_paragraphs(docs: DataFrame, paragraphs: DataFrame, most: int) -> list[list[str]]:
+    """The words of passages to train against, those with the lowest hashes: of at most ``most`` documents a
+    window anywhere in the text, and at most ``most`` different lines with a key word. Those that resemble a
+    template are left out."""
+    text = F.coalesce("text", F.lit(""))
+    marked = texts(docs).select(F.xxhash64("doc_id", text).alias("mark"), text.alias("text"))
+    short = lambda words: F.transform(words, lambda w: F.left(w, F.lit(WORD_CHARS)))
+    anywhere = marked.withColumn("words", _let(_words(F.col("text")), lambda words: short(F.slice(
+        words, F.pmod("mark", F.greatest(F.size(words) - WINDOW, F.lit(0)) + 1).cast("int") + 1, F.lit(WINDOW)))))
+    lines = passages(paragraphs).where("not whole").select(
+        F.xxhash64("words").alias("mark"), short(F.slice("words", 1, WINDOW)).alias("words"))
+    distinct = lines.agg(F.approx_count_distinct("mark")).first()[0]
+    templates = [grams_of(words_of(t)) for ts in TEMPLATES.values() for t in ts]
+
+    def resembles(words: list[str]) -> bool:
+        own = grams_of(words)
+        return any(2 * len(own & t) >= min(len(own), 0.7 * len(t)) for t in templates) if own else False
+
+    found = _lowest(anywhere, "mark", docs.count(), most) + _lowest(lines, "mark", distinct, most)
+    return [words for words in found if not resembles(words)]
 
 
 def _gram_columns(words: Column) -> Column:
@@ -194,21 +262,15 @@ def _gram_columns(words: Column) -> Column:
     return F.array_distinct(F.concat(*(run(w) for w in range(2, WIDTH + 1))))
 
 
-def classify_paragraphs(docs: DataFrame, classifier: Classifier, least_probability: float = 0.5,
-                        least_template: float = 0.7) -> DataFrame:
-    """The paragraphs (lines) that have an n-gram the model knows: doc_id, line (from 0), paragraph,
-    family, probability, template share, and confirmed."""
-    known = sorted({g for own in classifier.weights.values() for g in own})
-    text = F.coalesce("text", F.lit(""))
-    # Documents and paragraphs without a key word have no known n-gram: the intercepts' probability,
-    # that of the unknown class.
-    speaks = lambda c: F.get(F.transform(F.array(F.lower(c)), lambda low: F.exists(
-        F.array(*map(F.lit, KEYS)), lambda key: F.contains(low, key))), F.lit(0))
-    lines = texts(docs).where(speaks(text)).select("doc_id", F.posexplode(F.split(text, "\n"))).toDF(
-        "doc_id", "line", "paragraph")
-    words = F.filter(F.split(F.lower("paragraph"), "[^a-z0-9]+"), lambda w: w != "")
-    candidates = lines.where(speaks(F.col("paragraph"))).withColumn(
-        "grams", F.array_intersect(_gram_columns(words), F.array(*map(F.lit, known)))).where(F.size("grams") > 0)
+def classify_passages(paragraphs: DataFrame, classifier: Classifier, least_probability: float = 0.5,
+                      least_template: float = 0.7) -> DataFrame:
+    """The passages of ``speaking_paragraphs`` that have an n-gram the model or a template knows: doc_id, digest,
+    paragraph, whole, passage, text, family, probability, template share, and confirmed."""
+    known = sorted({g for own in classifier.weights.values() for g in own}.union(
+        *(grams_of(words_of(t)) for ts in TEMPLATES.values() for t in ts)))
+    # Passages without a known n-gram have the intercepts' probability, that of the unknown class.
+    candidates = passages(paragraphs).withColumn("grams", F.array_intersect(
+        _gram_columns(F.col("words")), F.array(*map(F.lit, known)))).where(F.size("grams") > 0)
     families = list(classifier.weights)
 
     def mapping(own: dict[str, float]) -> Column:
@@ -226,31 +288,50 @@ def classify_paragraphs(docs: DataFrame, classifier: Classifier, least_probabili
     a, b = classifier.scale
     best = candidates.withColumn("best", F.array_max(margins)).withColumn("shares", shares)
     probability = 1 / (1 + F.exp(-(F.col("best.margin") * a + b)))
+    place = ["doc_id", "digest", "paragraph", "whole", "passage", "text"]
     scored = best.select(
-        "doc_id", "line", "paragraph", F.col("best.family").alias("likeliest"), probability.alias("probability"),
+        *place, F.col("best.family").alias("likeliest"), probability.alias("probability"),
         F.try_element_at("shares", F.col("best.family")).alias("template_share"))
     confirmed = (F.col("probability") >= least_probability) & (F.col("template_share") >= least_template)
     return scored.select(
-        "doc_id", "line", "paragraph",
-        F.when(F.col("probability") >= least_probability, F.col("likeliest")).otherwise(UNKNOWN).alias("family"),
+        *place, F.when(F.col("probability") >= least_probability, F.col("likeliest")).otherwise(UNKNOWN).alias("family"),
         "probability", "template_share", confirmed.alias("confirmed"))
 
 
-def scan_licenses(docs: DataFrame, most_rows: int = 400) -> DataFrame:
-    """Every row of docs: doc_id, families (confirmed ones, in order, comma-joined), n_confirmed and
-    n_unknown (paragraphs that hold licence n-grams but no confirmed family), best_probability.
+def per_document(found: DataFrame) -> DataFrame:
+    """The findings per doc_id and digest. Passages are a set per paragraph: copies of a row count once."""
+    passage = F.struct("whole", "passage", "family", "probability", "confirmed")
+    families = lambda of: F.array_distinct(F.transform(F.filter("found", of), lambda p: p["family"]))
+    by_paragraph = found.groupBy("doc_id", "digest", "paragraph").agg(F.collect_set(passage).alias("found")).select(
+        "doc_id", "digest", "found", families(lambda p: ~p["whole"] & p["confirmed"]).alias("own"),
+        families(lambda p: p["whole"] & p["confirmed"]).alias("joined"),
+        F.size(F.filter("found", lambda p: ~p["whole"] & p["confirmed"])).alias("n_own"),
+        F.size(F.filter("found", lambda p: ~p["whole"] & ~p["confirmed"])).alias("n_rest"),
+    ).withColumn("wrapped", F.array_except("joined", "own"))
+    return by_paragraph.groupBy("doc_id", "digest").agg(
+        F.array_join(F.array_sort(F.array_distinct(F.flatten(F.collect_set(
+            F.concat("own", "wrapped"))))), ",").alias("families"),
+        F.sum(F.col("n_own") + F.size("wrapped")).alias("n_confirmed"),
+        F.sum(F.when(F.size("wrapped") == 0, F.col("n_rest")).otherwise(0)).alias("n_unknown"),
+        F.max(F.array_max(F.transform("found", lambda p: p["probability"]))).alias("best_probability"))
+
 
-    The ordinary paragraphs to train against are those of at most ``most_rows`` documents. Null and
-    empty texts have no paragraphs. Rows that share an id share their findings. Other columns are
-    ignored; an empty table gives an empty result.
+def scan_licenses(docs: DataFrame, most_rows: int = 400) -> DataFrame:
+    """Every row of docs: doc_id, families (confirmed ones, in order, comma-joined), n_confirmed (lines, and
+    families that only a paragraph's joined lines show), n_unknown (other lines that hold licence n-grams, in
+    paragraphs without such a family), best_probability.
+
+    Trained against windows of at most ``most_rows`` documents and at most as many different lines with licences'
+    words. Null and empty texts have no paragraphs. Rows are known by id and text: of a null or repeated id each has
+    its own findings, and copies have equal ones. Very long lines and paragraphs are read in windows too. Other
+    columns are ignored; an empty table gives an empty result.
     """
-    found = classify_paragraphs(docs, fit(ordinary_paragraphs(docs, most_rows)))
-    per_document = found.groupBy("doc_id").agg(
-        F.array_join(F.array_sort(F.collect_set(F.when(F.col("confirmed"), F.col("family")))), ",").alias("families"),
-        F.count(F.when(F.col("confirmed"), 1)).alias("n_confirmed"),
-        F.count(F.when(~F.col("confirmed"), 1)).alias("n_unknown"),
-        F.max("probability").alias("best_probability"))
-    return texts(docs).select("doc_id").join(per_document, "doc_id", "left").select(
+    paragraphs = written(speaking_paragraphs(docs), "licence-paragraphs")
+    found = classify_passages(paragraphs, fit(ordinary_paragraphs(docs, paragraphs, most_rows)))
+    findings = per_document(found).withColumnsRenamed({"doc_id": "found_id", "digest": "found_digest"})
+    own = texts(docs).select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("digest"))
+    return own.join(findings, (own["digest"] == findings["found_digest"]) & own["doc_id"].eqNullSafe(
+        findings["found_id"]), "left").select(
         "doc_id", F.coalesce("families", F.lit("")).alias("families"),
         F.coalesce("n_confirmed", F.lit(0)).cast("bigint").alias("n_confirmed"),
         F.coalesce("n_unknown", F.lit(0)).cast("bigint").alias("n_unknown"), "best_probability")
