@@ -449,8 +449,9 @@ def license_rows():
 def test_licenses_equal_a_plain_version(spark):
     texts = license_rows()
     docs = spark.createDataFrame(texts, "doc_id long, text string").repartition(5)
-    paragraphs = licenses.speaking_paragraphs(docs)
-    model = licenses.fit(licenses.ordinary_paragraphs(docs, paragraphs, 400))
+    passages = licenses.speaking_passages(docs).cache()
+    model = licenses.fit(licenses.ordinary_paragraphs(docs, passages, 400))
+    assert all(set(r.grams) == licenses.grams_of(r.words) for r in passages.collect())
     got = Counter((r.doc_id, r.families, r.n_confirmed, r.n_unknown, r.best_probability and round(r.best_probability, 9))
                   for r in licenses.scan_licenses(docs).collect())
     want = Counter()
@@ -472,7 +473,7 @@ def test_license_windows_hold_every_template_and_the_sample_is_bounded(spark):
     assert all(2 * len(licenses.words_of(t)) <= licenses.WINDOW for ts in licenses.TEMPLATES.values() for t in ts)
     rows = [(i, f"software {prose(i, 200)}\nother {prose(i, 4)} license") for i in range(400)] + [(7, "software")] * 300
     docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(16)
-    found = licenses.ordinary_paragraphs(docs, licenses.speaking_paragraphs(docs), 20)
+    found = licenses.ordinary_paragraphs(docs, licenses.speaking_passages(docs), 20)
     assert 20 < len(found) <= 40 and all(len(words) <= licenses.WINDOW for words in found)
     assert any("license" in words for words in found)
 

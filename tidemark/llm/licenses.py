@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -83,6 +84,8 @@ _WORD = re.compile(r"[a-z0-9]+")
 WIDTH = 3
 # Words of one window of a paragraph. Windows overlap by half: a notice of up to half as many words is whole in one.
 WINDOW = 128
+# Parts that the weights are dealt into.
+BUCKETS = 256
 # Letters kept of a word that is only trained against.
 WORD_CHARS = 40
 # Words before and after a notice in its paragraph, in training: a paragraph may hold more than it.
@@ -190,33 +193,48 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def speaking_paragraphs(docs: DataFrame) -> DataFrame:
-    """The paragraphs with a key word of all texts: doc_id, digest (a hash of the text), paragraph (from 0), text."""
+def _grams(words: Column) -> Column:
+    """As ``grams_of``: only the n-grams around key words are put together."""
+    n = F.size(words)
+    spans = [(back, width) for width in range(2, WIDTH + 1) for back in range(width)]
+
+    def around(i: Column) -> Column:
+        return F.array_compact(F.array(*(
+            F.when((i >= back) & (i - back + width <= n), F.concat_ws(" ", *(F.get(words, i - back + k) for k in range(width))))
+            for back, width in spans)))
+
+    places = F.array_compact(F.transform(words, lambda w, i: F.when(w.isin(*KEYS), i)))
+    return F.array_distinct(F.flatten(F.transform(places, around)))
+
+
+def speaking_passages(docs: DataFrame) -> DataFrame:
+    """Lines, and windows of paragraphs that have several lines or are long, with a key word: doc_id, digest (a hash
+    of the document's text), paragraph (from 0), whole (a window, not a line), passage (from 0 among either), text,
+    words, grams."""
     text = F.coalesce("text", F.lit(""))
     # Most documents are told by a search for the key words' letters, without being cut up.
     speaks = _let(F.lower(text), lambda low: F.exists(F.array(*map(F.lit, KEYS)), lambda key: F.contains(low, key)))
     blank = F.regexp_replace(text, r"(?md)^[^\p{L}\p{N}\n]++$", "")
-    return texts(docs).where(speaks).select(
+    paragraphs = texts(docs).where(speaks).select(
         "doc_id", F.xxhash64(text).alias("digest"), F.posexplode(F.split(blank, r"\n\n+"))
-    ).toDF("doc_id", "digest", "paragraph", "text").where(_has_key(_words(F.col("text"))))
+    ).toDF("doc_id", "digest", "paragraph", "text")
 
-
-def passages(paragraphs: DataFrame) -> DataFrame:
-    """Lines, and windows of paragraphs that have several lines or are long, with a key word: doc_id, digest,
-    paragraph, whole (a window, not a line), passage (from 0 among either), text, words."""
-    lines = F.transform(F.split("text", "\n"), lambda line, i: F.struct(
-        F.lit(False).alias("whole"), i.alias("passage"), line.alias("text"), _words(line).alias("words")))
+    def told(whole: bool, place: Column, own: Column, words: Column) -> Column:
+        return F.struct(F.lit(whole).alias("whole"), place.alias("passage"), own.alias("text"), words.alias("words"))
 
     def windows(words: Column) -> Column:
         starts = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size(words) - WINDOW // 2), F.lit(WINDOW // 2))
-        return F.transform(starts, lambda at, i: _let(F.slice(words, at, F.lit(WINDOW)), lambda own: F.struct(
-            F.lit(True).alias("whole"), i.alias("passage"), F.array_join(own, " ").alias("text"), own.alias("words"))))
+        return F.transform(starts, lambda at, i: _let(
+            F.slice(words, at, F.lit(WINDOW)), lambda own: told(True, i, F.array_join(own, " "), own)))
+
+    def of(words: Column) -> Column:
+        lines = F.transform(F.split("text", "\n"), lambda line, i: told(False, i, line, _words(line)))
+        joined = F.when(F.contains("text", F.lit("\n")) | (F.size(words) > WINDOW), windows(words))
+        both = F.concat(lines, F.coalesce(joined, F.filter(lines, lambda p: F.lit(False))))
+        return F.when(_has_key(words), F.filter(both, lambda p: _has_key(p["words"])))
 
-    joined = _let(_words(F.col("text")), lambda words: F.when(
-        F.contains("text", F.lit("\n")) | (F.size(words) > WINDOW), windows(words)))
-    return paragraphs.select("doc_id", "digest", "paragraph", F.explode(
-        F.when(joined.isNull(), lines).otherwise(F.concat(lines, joined))).alias("p")
-    ).select("doc_id", "digest", "paragraph", "p.*").where(_has_key(F.col("words")))
+    return paragraphs.select("doc_id", "digest", "paragraph", F.explode(_let(_words(F.col("text")), of)).alias("p")).select(
+        "doc_id", "digest", "paragraph", "p.*", _grams(F.col("p.words")).alias("grams"))
 
 
 def _lowest(df: DataFrame, mark: str, rows: int, most: int) -> list[list[str]]:
@@ -227,7 +245,7 @@ def _lowest(df: DataFrame, mark: str, rows: int, most: int) -> list[list[str]]:
         mark).limit(most).select("words").collect()]
 
 
-def ordinary_paragraphs(docs: DataFrame, paragraphs: DataFrame, most: int) -> list[list[str]]:
+def ordinary_paragraphs(docs: DataFrame, passages: DataFrame, most: int) -> list[list[str]]:
     """The words of passages to train against, those with the lowest hashes: of at most ``most`` documents a
     window anywhere in the text, and at most ``most`` different lines with a key word. Those that resemble a
     template are left out."""
@@ -236,7 +254,7 @@ def ordinary_paragraphs(docs: DataFrame, paragraphs: DataFrame, most: int) -> li
     short = lambda words: F.transform(words, lambda w: F.left(w, F.lit(WORD_CHARS)))
     anywhere = marked.withColumn("words", _let(_words(F.col("text")), lambda words: short(F.slice(
         words, F.pmod("mark", F.greatest(F.size(words) - WINDOW, F.lit(0)) + 1).cast("int") + 1, F.lit(WINDOW)))))
-    lines = passages(paragraphs).where("not whole").select(
+    lines = passages.where("not whole").select(
         F.xxhash64("words").alias("mark"), short(F.slice("words", 1, WINDOW)).alias("words"))
     distinct = lines.agg(F.approx_count_distinct("mark")).first()[0]
     templates = [grams_of(words_of(t)) for ts in TEMPLATES.values() for t in ts]
@@ -249,49 +267,39 @@ def ordinary_paragraphs(docs: DataFrame, paragraphs: DataFrame, most: int) -> li
     return [words for words in found if not resembles(words)]
 
 
-def _gram_columns(words: Column) -> Column:
-    n = F.size(words)
-
-    def run(width: int) -> Column:
-        parts = [F.slice(words, F.lit(k + 1), F.greatest(n - width + 1, F.lit(0))) for k in range(width)]
-        joined = parts[0]
-        for part in parts[1:]:
-            joined = F.zip_with(joined, part, lambda a, b: F.concat(a, F.lit(" "), b))
-        return joined
-
-    return F.array_distinct(F.concat(*(run(w) for w in range(2, WIDTH + 1))))
-
-
-def classify_passages(paragraphs: DataFrame, classifier: Classifier, least_probability: float = 0.5,
+def classify_passages(passages: DataFrame, classifier: Classifier, least_probability: float = 0.5,
                       least_template: float = 0.7) -> DataFrame:
-    """The passages of ``speaking_paragraphs`` that have an n-gram the model or a template knows: doc_id, digest,
+    """Those of ``speaking_passages`` that have an n-gram the model or a template knows: doc_id, digest,
     paragraph, whole, passage, text, family, probability, template share, and confirmed."""
     known = sorted({g for own in classifier.weights.values() for g in own}.union(
         *(grams_of(words_of(t)) for ts in TEMPLATES.values() for t in ts)))
-    # Passages without a known n-gram have the intercepts' probability, that of the unknown class.
-    candidates = passages(paragraphs).withColumn("grams", F.array_intersect(
-        _gram_columns(F.col("words")), F.array(*map(F.lit, known)))).where(F.size("grams") > 0)
     families = list(classifier.weights)
-
-    def mapping(own: dict[str, float]) -> Column:
-        return F.map_from_arrays(F.array(*map(F.lit, own)), F.array(*(F.lit(float(w)) for w in own.values())))
-
-    def margin(family: str) -> Column:
-        own = mapping(classifier.weights[family])
-        return F.aggregate("grams", F.lit(float(classifier.intercepts[family])), lambda total, g: total + F.coalesce(
-            F.try_element_at(own, g), F.lit(0.0)))
-
-    margins = F.array(*(F.struct(margin(f).alias("margin"), F.lit(f).alias("family")) for f in families))
-    shares = F.create_map(*(x for f in families for x in (F.lit(f), F.greatest(F.lit(0.0), *(
-        F.size(F.array_intersect("grams", F.array(*map(F.lit, sorted(grams_of(words_of(t))))))) / len(
-            grams_of(words_of(t))) for t in TEMPLATES[f])))))
+    # Passages without a known n-gram have the intercepts' probability, that of the unknown class.
+    # N-grams are letters, digits and spaces. As SQL text, thousands of literals are one call to the JVM.
+    candidates = passages.withColumn("grams", F.expr(
+        f"filter(grams, g -> g IN ({', '.join(map(repr, known))}))")).where(F.size("grams") > 0)
+    # Maps are searched from end to end: the n-grams' weights are dealt into many small ones by checksum.
+    dealt: list[list[str]] = [[] for _ in range(BUCKETS)]
+    for g in known:
+        own = ", ".join(f"{float(classifier.weights[f].get(g, 0.0))!r}D" for f in families)
+        dealt[zlib.crc32(g.encode()) % BUCKETS].append(f"{g!r}, array({own})")
+    empty = "map('', cast(array() as array<double>))"
+    weights = F.expr(f"array({', '.join(f'map({", ".join(own)})' if own else empty for own in dealt)})")
+    hits = F.transform("grams", lambda g: F.try_element_at(F.get(weights, F.crc32(g) % BUCKETS), g))
+    margins = _let(hits, lambda found: F.array(*(F.struct(F.aggregate(
+        found, F.lit(float(classifier.intercepts[f])), lambda total, w: total + F.get(w, F.lit(k))
+    ).alias("margin"), F.lit(f).alias("family")) for k, f in enumerate(families))))
     a, b = classifier.scale
-    best = candidates.withColumn("best", F.array_max(margins)).withColumn("shares", shares)
+    best = candidates.withColumn("best", F.array_max(margins))
     probability = 1 / (1 + F.exp(-(F.col("best.margin") * a + b)))
+    # A template's share is sought for the likeliest family alone.
+    share = F.coalesce(*(F.when(F.col("best.family") == f, F.greatest(F.lit(0.0), *(
+        F.size(F.array_intersect("grams", F.array(*map(F.lit, sorted(grams_of(words_of(t))))))) / len(
+            grams_of(words_of(t))) for t in TEMPLATES[f]))) for f in families))
     place = ["doc_id", "digest", "paragraph", "whole", "passage", "text"]
     scored = best.select(
         *place, F.col("best.family").alias("likeliest"), probability.alias("probability"),
-        F.try_element_at("shares", F.col("best.family")).alias("template_share"))
+        share.alias("template_share"))
     confirmed = (F.col("probability") >= least_probability) & (F.col("template_share") >= least_template)
     return scored.select(
         *place, F.when(F.col("probability") >= least_probability, F.col("likeliest")).otherwise(UNKNOWN).alias("family"),
@@ -326,8 +334,8 @@ def scan_licenses(docs: DataFrame, most_rows: int = 400) -> DataFrame:
     its own findings, and copies have equal ones. Very long lines and paragraphs are read in windows too. Other
     columns are ignored; an empty table gives an empty result.
     """
-    paragraphs = written(speaking_paragraphs(docs), "licence-paragraphs")
-    found = classify_passages(paragraphs, fit(ordinary_paragraphs(docs, paragraphs, most_rows)))
+    passages = written(speaking_passages(docs), "licence-passages")
+    found = classify_passages(passages, fit(ordinary_paragraphs(docs, passages, most_rows)))
     findings = per_document(found).withColumnsRenamed({"doc_id": "found_id", "digest": "found_digest"})
     own = texts(docs).select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("digest"))
     return own.join(findings, (own["digest"] == findings["found_digest"]) & own["doc_id"].eqNullSafe(
