@@ -592,6 +592,50 @@ def test_search_goes_on_while_links_are_missing(spark):
     assert sum(got[i].component_id == component[i] for i in range(800)) >= 780
 
 
+def grouped_vectors(n, groups, size):
+    """n vectors of which the first ones form groups, with cosines of about 0.93 inside."""
+    draw = np.random.default_rng(7)
+    x = draw.standard_normal((n, 64))
+    for at in range(0, groups * size, size):
+        x[at:at + size] = draw.standard_normal(64) + 0.27 * draw.standard_normal((size, 64))
+    return x
+
+
+def test_links_come_from_the_search_and_the_audit_adds_none(spark):
+    x = grouped_vectors(1500, 60, 12)
+    n_links, component = plain_links(x)
+    rows = embedding_dedup.link_vectors(vector_table(spark, x), audited=50).collect()
+    got = {r.vec_id: r for r in rows}
+    assert all(got[i].n_links <= n_links[i] for i in range(1500))
+    assert sum(r.n_links for r in rows) >= 0.98 * sum(n_links) > 0 and rows[0].recall >= 0.98
+    assert sum(got[i].component_id == component[i] for i in range(1500)) >= 1490
+
+
+def test_nothing_is_linked_and_no_recall_claimed_if_the_search_finds_nothing(spark, monkeypatch):
+    def nothing(batches, reach):
+        for _ in batches:
+            yield embedding_dedup._edges([], [], [])
+
+    monkeypatch.setattr(embedding_dedup, "neighbours_in_order", nothing)
+    rows = embedding_dedup.link_vectors(vector_table(spark, grouped_vectors(80, 4, 12)), k=25).collect()
+    assert {(r.n_links, r.kept, r.recall) for r in rows} == {(0, True, 0.0)}
+
+
+def test_saturated_lists_grow(spark, monkeypatch):
+    """Groups larger than a list, but not than a grown one, need no blocks."""
+    def no_blocks(full, groups, units, threshold, k):
+        assert full.isEmpty()
+        return units.sparkSession.createDataFrame([], "id bigint, weight bigint, label bigint")
+
+    monkeypatch.setattr(embedding_dedup, "link_saturated", no_blocks)
+    x = grouped_vectors(400, 6, 30)
+    n_links, component = plain_links(x)
+    assert max(n_links) > 20
+    got = {r.vec_id: r for r in embedding_dedup.link_vectors(vector_table(spark, x)).collect()}
+    assert [got[i].n_links for i in range(400)] == n_links
+    assert [got[i].component_id for i in range(400)] == component
+
+
 def test_secrets_inside_runs(spark):
     draw = random.Random(18)
     some = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"

@@ -3,10 +3,12 @@
 Every vector keeps a short list of its nearest ones so far. Lists start from neighbours in the order
 of random sign codes; then, round after round, the members of each list and of the lists it stands in
 are compared with each other, and better neighbours replace worse ones, until few lists change. Links
-are kept apart from the lists: one that was met once stays. An audit compares some vectors with all
-others and has the search widened while too many links are missing. A list that holds nothing but
-links is saturated: what it lacks can lie outside its group, too. Saturated vectors are compared in
-blocks, each with all blocks that are near enough for a link.
+are kept apart from the lists: one that was met once stays. A list that holds nothing but links is
+saturated: it is made twice as long and the search goes on, until the list holds something else or has the
+length at which longer ones would cost more than they find. The vectors whose lists are full even then are
+members of large groups: their links to each other are counted in blocks, each with all blocks that are near
+enough for a link. An audit compares some vectors with all others. It adds nothing to the result; while
+too few links were found, all lists get longer and the search goes on.
 """
 
 from __future__ import annotations
@@ -27,6 +29,8 @@ from tidemark.llm.components import components
 SLACK = 0.01
 # Vectors in one block of the comparison within saturated groups.
 BLOCK = 1024
+# Hashes are taken modulo this to choose the vectors of the audit.
+AUDIT_STEPS = 1 << 40
 
 
 def _rows(column: pa.Array, kind: type) -> np.ndarray:
@@ -100,15 +104,15 @@ def _edges(u, v, sims) -> pa.RecordBatch:
 EDGES = "u bigint, v bigint, sim float"
 
 
-def compare_lists(rows: pa.Table, near: float) -> pa.Table:
+def compare_lists(rows: pa.Table) -> pa.Table:
     """For the lists of several vectors w: pairs of members, at least one of them new in the list, that
-    are better than the worst that a member has, or at least ``near``."""
+    are above the bar of one of them."""
     w = rows.column("w").to_numpy()
     order = np.argsort(w, kind="stable")
     cuts = np.flatnonzero(np.diff(w[order], prepend=w[order[0]] - 1)) if len(w) else np.zeros(0, int)
     members = rows.column("m").to_numpy()
     new = rows.column("fresh").to_numpy(zero_copy_only=False)
-    worst = rows.column("worst").to_numpy()
+    bar = rows.column("bar").to_numpy()
     halves = rows.column("half").to_pylist()
     out_u, out_v, out_s = [], [], []
     for a, b in zip(cuts, [*cuts[1:], len(w)], strict=True):
@@ -118,7 +122,7 @@ def compare_lists(rows: pa.Table, near: float) -> pa.Table:
         x = np.stack([np.frombuffer(halves[i], np.float16) for i in own]).astype(np.float32)
         sims = x @ x.T
         ok = (new[own][:, None] | new[own][None, :]) & (members[own][:, None] != members[own][None, :])
-        i, j = np.nonzero(ok & (sims > np.minimum(worst[own], near)[:, None]))
+        i, j = np.nonzero(ok & (sims > bar[own][:, None]))
         out_u.append(members[own[i]])
         out_v.append(members[own[j]])
         out_s.append(sims[i, j])
@@ -127,36 +131,50 @@ def compare_lists(rows: pa.Table, near: float) -> pa.Table:
     return pa.Table.from_batches([_edges(*map(np.concatenate, (out_u, out_v, out_s)))])
 
 
-def _best(edges: DataFrame, k: int) -> DataFrame:
-    """The k best of each list. An old edge that is found again stays old."""
+def _best(edges: DataFrame, caps: DataFrame, k: int) -> DataFrame:
+    """The best of each list, as many as it may hold. An old edge that is found again stays old."""
     once = edges.groupBy("u", "v").agg(F.max("sim").alias("sim"), F.min("fresh").alias("fresh"))
     place = W.partitionBy("u").orderBy(F.desc("sim"), "v")
-    return once.withColumn("place", F.row_number().over(place)).where(F.col("place") <= k)
+    return _cap(once.withColumn("place", F.row_number().over(place)), "u", caps, k).where("place <= cap").drop("cap")
 
 
-def descend(graph: DataFrame, halves: DataFrame, k: int, near: float) -> DataFrame:
-    """One round over the lists (u, v, sim, fresh, place): the pairs that it meets."""
+def _cap(lists: DataFrame, node: str, caps: DataFrame, k: int) -> DataFrame:
+    """Adds how long the list of ``node`` may be: as ``caps`` (id, cap) has it, else ``k``."""
+    return lists.join(caps.select(F.col("id").alias(node), F.col("cap").alias("own_cap")), node, "left").withColumn(
+        "cap", F.coalesce("own_cap", F.lit(k))).drop("own_cap")
+
+
+def _states(graph: DataFrame, caps: DataFrame, k: int, near: float) -> DataFrame:
+    """Per list u: its cap, the worst similarity in it, and whether it holds nothing but links (``saturated``)."""
+    return _cap(graph.groupBy("u").agg(F.count("*").alias("held"), F.min("sim").alias("worst")), "u", caps, k).withColumn(
+        "saturated", (F.col("held") >= F.col("cap")) & (F.col("worst") >= near))
+
+
+def descend(graph: DataFrame, halves: DataFrame, caps: DataFrame, k: int, longest: int, near: float) -> DataFrame:
+    """One round over the lists (u, v, sim, fresh, place): the pairs that it meets. They are better than the
+    worst that a list holds, or may be links, but for lists that hold only links at their greatest length."""
     buckets = 4 * int(graph.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     back = W.partitionBy("v").orderBy(F.desc("sim"), "u")
-    # Of the lists that a vector stands in, the k nearest are its own list's other half.
-    reverse = graph.withColumn("r", F.row_number().over(back)).where(F.col("r") <= k)
+    # Of the lists that a vector stands in, the nearest are its own list's other half.
+    reverse = _cap(graph.withColumn("r", F.row_number().over(back)), "v", caps, k).where("r <= cap")
     both = graph.select(F.col("u").alias("w"), F.col("v").alias("m"), "fresh").union(
         reverse.select(F.col("v").alias("w"), F.col("u").alias("m"), "fresh"))
     lists = both.groupBy("w", "m").agg(F.max("fresh").alias("fresh"))
-    worst = graph.groupBy("u").agg(
-        F.when(F.count("*") >= k, F.min("sim")).otherwise(F.lit(-2.0)).cast("float").alias("worst"))
-    vectors = halves.join(worst, halves["id"] == worst["u"], "left").select(
-        F.col("id").alias("m"), "half", F.coalesce("worst", F.lit(-2.0).cast("float")).alias("worst"))
+    bars = _states(graph, caps, k, near).select("u", F.when(
+        F.col("saturated") & (F.col("cap") >= longest), F.col("worst")).when(
+        F.col("held") >= F.col("cap"), F.least("worst", F.lit(near))).otherwise(F.lit(-2.0)).cast("float").alias("bar"))
+    vectors = halves.join(bars, halves["id"] == bars["u"], "left").select(
+        F.col("id").alias("m"), "half", F.coalesce("bar", F.lit(-2.0).cast("float")).alias("bar"))
     return lists.join(vectors, "m").withColumn("bucket", F.pmod(F.xxhash64("w"), F.lit(buckets))).groupBy(
-        "bucket").applyInArrow(lambda rows: compare_lists(rows, near), EDGES)
+        "bucket").applyInArrow(compare_lists, EDGES)
 
 
-def _merged(graph: DataFrame | None, found: DataFrame, k: int) -> DataFrame:
+def _merged(graph: DataFrame | None, found: DataFrame, caps: DataFrame, k: int) -> DataFrame:
     """The lists with the found pairs."""
     edges = found.select("u", "v", "sim", F.lit(True).alias("fresh"))
     if graph is not None:
-        edges = graph.select("u", "v", "sim", F.lit(False).alias("fresh")).union(edges)
-    return written(_best(edges, k), "neighbour-lists")
+        edges = graph.select("u", "v", "sim", "fresh").union(edges)
+    return written(_best(edges, caps, k), "neighbour-lists")
 
 
 def exact_cosines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -181,41 +199,41 @@ def _links(close: DataFrame, units: DataFrame, threshold: float) -> DataFrame:
         exact_cosines, "a bigint, b bigint, cosine double").where(F.col("cosine") >= threshold).select("a", "b").distinct()
 
 
-def audit(units: DataFrame, links: DataFrame, full: DataFrame, threshold: float,
-          most: int) -> tuple[float, DataFrame | None]:
-    """The share of the links of at most ``most`` vectors, those with the lowest hashes, that are among
-    ``links`` or lie between two saturated vectors (``full``), and the missing ones, if any. The links
-    come from comparing them with all vectors."""
-    chosen = units.orderBy(F.xxhash64("id"), "id").limit(most).select("id", "unit").toArrow()
+def audit(units: DataFrame, counted: DataFrame, threshold: float, about: int) -> float:
+    """The share of the links of about ``about`` vectors that ``counted`` (id, others) holds.
+
+    Which ones follows from their content. Their true links come from comparing them with all vectors;
+    counts are never too high, as every counted link was decided in double precision. Vectors that share an id
+    with others are left out.
+    """
+    distinct = units.count()
+    limit = int(AUDIT_STEPS * min(1.0, about / max(1, distinct)))
+    chosen = units.join(units.groupBy("id").count().where("count = 1"), "id").where(
+        F.pmod(F.xxhash64("unit"), F.lit(AUDIT_STEPS)) < limit).select("id", "unit").toArrow()
     if not len(chosen):
-        return 1.0, None
+        return 1.0
     ids = chosen.column("id").to_numpy()
     raw = chosen.column("unit").to_pylist()
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             own_ids, own = batch.column("id").to_numpy(), batch.column("unit").to_pylist()
-            q, v = [], []
+            copies, sums = batch.column("copies").to_numpy(), np.zeros(len(raw), np.int64)
             for size in {len(r) for r in raw}:
-                asked = [i for i, r in enumerate(raw) if len(r) == size]
-                there = [i for i, r in enumerate(own) if len(r) == size]
-                if there:
+                asked = np.array([i for i, r in enumerate(raw) if len(r) == size])
+                there = np.array([i for i, r in enumerate(own) if len(r) == size], int)
+                if len(there):
                     x = np.stack([np.frombuffer(raw[i], np.float64) for i in asked])
                     y = np.stack([np.frombuffer(own[i], np.float64) for i in there])
-                    i, j = np.nonzero(x @ y.T >= threshold)
-                    q += ids[np.array(asked)[i]].tolist()
-                    v += own_ids[np.array(there)[j]].tolist()
-            yield pa.RecordBatch.from_arrays([pa.array(q, pa.int64()), pa.array(v, pa.int64())], names=["q", "v"])
-
-    true = units.select("id", "unit").mapInArrow(compare, "q bigint, v bigint").where("q <> v")
-    both = links.union(links.select("b", "a")).toDF("q", "v").withColumn("listed", F.lit(True))
-    judged = true.join(full.select(F.col("id").alias("q"), F.lit(True).alias("fq")), "q", "left").join(
-        full.select(F.col("id").alias("v"), F.lit(True).alias("fv")), "v", "left").join(
-        both, ["q", "v"], "left").withColumn("hit", F.coalesce(F.col("listed"), F.col("fq") & F.col("fv"), F.lit(False)))
-    n, hit = judged.agg(F.count("*"), F.count(F.when(F.col("hit"), 1))).first()
-    missing = None if hit == n else written(judged.where(~F.col("hit")).select(
-        F.least("q", "v").alias("a"), F.greatest("q", "v").alias("b")).distinct(), "missing-links")
-    return hit / n if n else 1.0, missing
+                    link = (x @ y.T >= threshold) & (ids[asked][:, None] != own_ids[there][None, :])
+                    sums[asked] += link @ copies[there]
+            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(sums)], names=["id", "true"])
+
+    true = units.select("id", "unit", "copies").mapInArrow(compare, "id bigint, true bigint").groupBy("id").agg(
+        F.sum("true").alias("true"))
+    n, hit = true.join(counted, "id", "left").agg(
+        F.sum("true"), F.sum(F.least("true", F.coalesce("others", F.lit(0))))).first()
+    return hit / n if n else 1.0
 
 
 def block_ball(rows: pa.Table) -> pa.Table:
@@ -308,17 +326,31 @@ def link_saturated(full: DataFrame, groups: DataFrame, units: DataFrame, thresho
         lambda rows: count_between(rows, threshold), "id bigint, weight bigint, label bigint"), "block-links")
 
 
+def _counts(links: DataFrame, full: DataFrame, within: DataFrame, copies: DataFrame) -> DataFrame:
+    """id and others: how many rows of other ids it links to. Links between two vectors of ``full`` are counted
+    in ``within``, all others in ``links``."""
+    both = links.union(links.select("b", "a")).toDF("id", "other")
+    flag = lambda node: full.select(F.col("id").alias(node), F.lit(True).alias(f"{node}_full"))
+    listed = both.join(flag("id"), "id", "left").join(flag("other"), "other", "left").where(
+        "id_full is null or other_full is null").join(
+        copies.toDF("other", "weight"), "other").select("id", "weight")
+    return listed.union(within.select("id", "weight")).groupBy("id").agg(F.sum("weight").alias("others"))
+
+
 def link_vectors(vectors: DataFrame, threshold: float = 0.9, k: int = 10, tables: int = 6, rounds: int = 8,
-                 settled: float = 0.02, audited: int = 1000, least_recall: float = 0.98) -> DataFrame:
+                 settled: float = 0.02, growth: int = 4, audited: int = 1000, least_recall: float = 0.98) -> DataFrame:
     """Every row of vectors: vec_id, n_links, component_id, kept and recall (the audit's).
 
-    Rounds pause once less than a share ``settled`` of the lists' places change, or after ``rounds``.
-    While the audit then finds less than ``least_recall`` of the links, lists twice as long and fresh
-    sign codes widen the search; when that no longer helps, all vectors are compared in blocks. Rows
-    with the same direction are one vector in the search and count one by one in n_links. Vectors
-    that are null, empty, zero, or hold null or non-finite components, and rows without an id, link
-    with nothing; so do vectors of different lengths. Different vectors under one id count as one
-    with all their links. Other columns are ignored; an empty table gives an empty result.
+    Rounds pause once less than a share ``settled`` of the lists' places change, or after ``rounds``. Then
+    saturated lists become twice as long, up to ``growth`` times the length of the others, and rounds go on;
+    vectors that are saturated at that length are compared in blocks of large groups. Where the audit of about
+    ``audited`` vectors then finds less than ``least_recall`` of their links, lists twice as long and fresh sign
+    codes widen the search, again and again if need be, until a list could hold every vector; ``recall`` says
+    how it ended. The audit's vectors are compared with all, in blocks, and gain no link by it. Rows with the same
+    direction are one vector in the search and count one by one in n_links. Vectors that are null, empty, zero, or
+    hold null or non-finite components, and rows without an id, link with nothing; so do vectors of
+    different lengths. Different vectors under one id count as one with all their links. Other columns are
+    ignored; an empty table gives an empty result.
     """
     ship_code(vectors.sparkSession)
     own = written(vectors.select(vectors["vec_id"].cast("bigint").alias("vec_id"), "embedding").mapInArrow(
@@ -327,7 +359,9 @@ def link_vectors(vectors: DataFrame, threshold: float = 0.9, k: int = 10, tables
         F.min("vec_id").alias("id"), F.count("*").alias("copies"), F.first("half").alias("half")),
         "distinct-vectors")
     halves = units.select("id", "half")
-    n = int(own.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    copies = units.groupBy("id").agg(F.sum("copies").alias("copies"))
+    spark = own.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     def in_code_order(some: range, reach: int) -> DataFrame:
         start = halves.mapInArrow(lambda b: sign_codes(b, some), "t int, code binary, id bigint, half binary")
@@ -335,49 +369,54 @@ def link_vectors(vectors: DataFrame, threshold: float = 0.9, k: int = 10, tables
         return written(ordered.mapInArrow(lambda b: neighbours_in_order(b, reach), EDGES).where("u <> v"),
                        "neighbour-pairs")
 
-    near, used, before = threshold - SLACK, tables, -1.0
+    near, used, longest, vectors_in_all = threshold - SLACK, tables, growth * k, units.count()
+    # Lists that may be longer than k.
+    caps = spark.createDataFrame([], "id bigint, cap int")
     found = in_code_order(range(tables), k // 2)
-    graph, met = _merged(None, found, k), written(_near_pairs(found, threshold), "near-pairs")
+    graph, met = _merged(None, found, caps, k), written(_near_pairs(found, threshold), "near-pairs")
     done = 0
     while True:
         changed, places = graph.agg(F.count(F.when(F.col("fresh"), 1)), F.count("*")).first()
         if not (done and changed <= settled * places or not places or done == rounds):
-            found = written(descend(graph, halves, k, near), "neighbour-pairs")
+            found = written(descend(graph, halves, caps, k, longest, near), "neighbour-pairs")
+            graph = graph.withColumn("fresh", F.lit(False))
             done += 1
         else:
-            links = written(_links(met, units, threshold), "vector-links")
-            full = written(graph.where(F.col("sim") >= near).groupBy("u").count().where(
-                F.col("count") >= k).select(F.col("u").alias("id")), "saturated-ids")
-            recall, missing = audit(units, links, full, threshold, audited)
-            if missing is not None:
-                links = links.union(missing)
-            if recall >= least_recall:
-                break
-            if recall - before < (1 - before) / 4:
-                full, recall = units.select("id").distinct(), 1.0
-                break
-            # A gain of less than a quarter of what was missing ends this.
-            before, k, done = recall, 2 * k, 0
-            met = met.union(missing)
-            found = in_code_order(range(used, used + tables), k // 2)
-            used += tables
-        graph = _merged(graph, found, k)
+            states = _states(graph, caps, k, near)
+            grown = states.where(F.col("saturated") & (F.col("cap") < longest)).select(
+                F.col("u").alias("id"), F.least(F.col("cap") * 2, F.lit(longest)).cast("int").alias("cap"))
+            grown = written(grown, "grown-lists")
+            if rounds and not grown.isEmpty():
+                # Once more through the lists of these: what they had no place for is met again.
+                caps = written(caps.join(grown, "id", "left_anti").union(grown), "list-lengths")
+                graph = graph.drop("fresh").join(
+                    grown.select(F.col("id").alias("u"), F.lit(True).alias("fresh")), "u", "left").withColumn(
+                    "fresh", F.coalesce("fresh", F.lit(False)))
+                graph = written(graph, "neighbour-lists")
+                found = written(descend(graph, halves, caps, k, longest, near), "neighbour-pairs")
+                graph, done = graph.withColumn("fresh", F.lit(False)), 1
+            else:
+                links = written(_links(met, units, threshold), "vector-links")
+                full = written(states.where("saturated").select(F.col("u").alias("id")), "saturated-ids")
+                groups = written(components(links, "vector-groups"), "vector-groups")
+                within = link_saturated(full, groups, units, threshold, k)
+                counted = written(_counts(links, full, within, copies), "link-counts")
+                recall = audit(units, counted, threshold, audited)
+                if recall >= least_recall or k >= vectors_in_all:
+                    break
+                k, longest, done = 2 * k, 2 * longest, 0
+                found = in_code_order(range(used, used + tables), k // 2)
+                used += tables
+                caps = caps.where(F.col("cap") > k)
+                graph = graph.withColumn("fresh", F.lit(False))
+        graph = _merged(graph, found, caps, k)
         met = met.union(written(_near_pairs(found, threshold), "near-pairs"))
-    groups = written(components(links, "vector-groups"), "vector-groups")
-    within = link_saturated(full, groups, units, threshold, k)
     # Groups that saturated vectors join.
     of = lambda node: groups.select(F.col("node").alias(node), F.col("component").alias(f"{node}_group"))
     joined = within.where("id <> label").select("id", "label").distinct().join(of("id"), "id", "left").join(
         of("label"), "label", "left").select(
         F.coalesce("id_group", "id").alias("a"), F.coalesce("label_group", "label").alias("b")).where("a <> b").distinct()
     larger = components(joined, "joined-groups").toDF("group", "joined")
-    copies = units.groupBy("id").agg(F.sum("copies").alias("copies"))
-    both = links.union(links.select("b", "a")).toDF("id", "other")
-    flag = lambda node: full.select(F.col("id").alias(node), F.lit(True).alias(f"{node}_full"))
-    listed = both.join(flag("id"), "id", "left").join(flag("other"), "other", "left").where(
-        "id_full is null or other_full is null").join(
-        copies.toDF("other", "weight"), "other").select("id", "weight")
-    counted = listed.union(within.select("id", "weight")).groupBy("id").agg(F.sum("weight").alias("others"))
     nodes = copies.join(counted, "id", "left").join(groups.toDF("id", "component"), "id", "left").withColumn(
         "group", F.coalesce("component", "id")).join(larger, "group", "left").select(
         "id", (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
