@@ -52,7 +52,7 @@ def mark_late(
     closed = (
         per_window.withColumn("within", F.min("first").over(own))
         .join(later_blocks.withColumnsRenamed({n: f"_b{n}" for n in names} | {"block": "_block"}),
-              _same(names, [f"_b{n}" for n in names]) & (F.col("block") == F.col("_block")))
+              _same(names, [f"_b{n}" for n in names]) & (F.col("block") == F.col("_block")), "left")
         # Null where no row closes the window; least() passes over nulls.
         .select(*names, F.col("end").alias("_closed_end"), F.least("within", "beyond").alias("_closed_by"))
     )
