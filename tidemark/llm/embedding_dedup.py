@@ -131,26 +131,28 @@ def compare_lists(rows: pa.Table) -> pa.Table:
     return pa.Table.from_batches([_edges(*map(np.concatenate, (out_u, out_v, out_s)))])
 
 
-def _best(edges: DataFrame, caps: DataFrame, k: int) -> DataFrame:
+def _best(edges: DataFrame, caps: DataFrame | None, k: int) -> DataFrame:
     """The best of each list, as many as it may hold. An old edge that is found again stays old."""
     once = edges.groupBy("u", "v").agg(F.max("sim").alias("sim"), F.min("fresh").alias("fresh"))
     place = W.partitionBy("u").orderBy(F.desc("sim"), "v")
     return _cap(once.withColumn("place", F.row_number().over(place)), "u", caps, k).where("place <= cap").drop("cap")
 
 
-def _cap(lists: DataFrame, node: str, caps: DataFrame, k: int) -> DataFrame:
-    """Adds how long the list of ``node`` may be: as ``caps`` (id, cap) has it, else ``k``."""
+def _cap(lists: DataFrame, node: str, caps: DataFrame | None, k: int) -> DataFrame:
+    """Adds how long the list of ``node`` may be: as ``caps`` (id, cap) has it, if any, else ``k``."""
+    if caps is None:
+        return lists.withColumn("cap", F.lit(k))
     return lists.join(caps.select(F.col("id").alias(node), F.col("cap").alias("own_cap")), node, "left").withColumn(
         "cap", F.coalesce("own_cap", F.lit(k))).drop("own_cap")
 
 
-def _states(graph: DataFrame, caps: DataFrame, k: int, near: float) -> DataFrame:
+def _states(graph: DataFrame, caps: DataFrame | None, k: int, near: float) -> DataFrame:
     """Per list u: its cap, the worst similarity in it, and whether it holds nothing but links (``saturated``)."""
     return _cap(graph.groupBy("u").agg(F.count("*").alias("held"), F.min("sim").alias("worst")), "u", caps, k).withColumn(
         "saturated", (F.col("held") >= F.col("cap")) & (F.col("worst") >= near))
 
 
-def descend(graph: DataFrame, halves: DataFrame, caps: DataFrame, k: int, longest: int, near: float) -> DataFrame:
+def descend(graph: DataFrame, halves: DataFrame, caps: DataFrame | None, k: int, longest: int, near: float) -> DataFrame:
     """One round over the lists (u, v, sim, fresh, place): the pairs that it meets. They are better than the
     worst that a list holds, or may be links, but for lists that hold only links at their greatest length."""
     buckets = 4 * int(graph.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -169,7 +171,7 @@ def descend(graph: DataFrame, halves: DataFrame, caps: DataFrame, k: int, longes
         "bucket").applyInArrow(compare_lists, EDGES)
 
 
-def _merged(graph: DataFrame | None, found: DataFrame, caps: DataFrame, k: int) -> DataFrame:
+def _merged(graph: DataFrame | None, found: DataFrame, caps: DataFrame | None, k: int) -> DataFrame:
     """The lists with the found pairs."""
     edges = found.select("u", "v", "sim", F.lit(True).alias("fresh"))
     if graph is not None:
@@ -360,8 +362,7 @@ def link_vectors(vectors: DataFrame, threshold: float = 0.9, k: int = 10, tables
         "distinct-vectors")
     halves = units.select("id", "half")
     copies = units.groupBy("id").agg(F.sum("copies").alias("copies"))
-    spark = own.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = int(own.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def in_code_order(some: range, reach: int) -> DataFrame:
         start = halves.mapInArrow(lambda b: sign_codes(b, some), "t int, code binary, id bigint, half binary")
@@ -371,7 +372,7 @@ def link_vectors(vectors: DataFrame, threshold: float = 0.9, k: int = 10, tables
 
     near, used, longest, vectors_in_all = threshold - SLACK, tables, growth * k, units.count()
     # Lists that may be longer than k.
-    caps = spark.createDataFrame([], "id bigint, cap int")
+    caps = None
     found = in_code_order(range(tables), k // 2)
     graph, met = _merged(None, found, caps, k), written(_near_pairs(found, threshold), "near-pairs")
     done = 0
@@ -388,7 +389,8 @@ def link_vectors(vectors: DataFrame, threshold: float = 0.9, k: int = 10, tables
             grown = written(grown, "grown-lists")
             if rounds and not grown.isEmpty():
                 # Once more through the lists of these: what they had no place for is met again.
-                caps = written(caps.join(grown, "id", "left_anti").union(grown), "list-lengths")
+                caps = grown if caps is None else written(
+                    caps.join(grown, "id", "left_anti").union(grown), "list-lengths")
                 graph = graph.drop("fresh").join(
                     grown.select(F.col("id").alias("u"), F.lit(True).alias("fresh")), "u", "left").withColumn(
                     "fresh", F.coalesce("fresh", F.lit(False)))
@@ -407,7 +409,7 @@ def link_vectors(vectors: DataFrame, threshold: float = 0.9, k: int = 10, tables
                 k, longest, done = 2 * k, 2 * longest, 0
                 found = in_code_order(range(used, used + tables), k // 2)
                 used += tables
-                caps = caps.where(F.col("cap") > k)
+                caps = None if caps is None else caps.where(F.col("cap") > k)
                 graph = graph.withColumn("fresh", F.lit(False))
         graph = _merged(graph, found, caps, k)
         met = met.union(written(_near_pairs(found, threshold), "near-pairs"))
