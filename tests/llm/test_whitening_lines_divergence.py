@@ -38,6 +38,22 @@ def test_leading_eigenpairs(spectrum):
     assert len(passes) < 60
 
 
+def test_one_value_far_above_an_even_spectrum():
+    """Copies of one vector make one value large; the filter then must not bury the others under its rounding."""
+    spectrum = np.concatenate([[1_000_000, 34_000, 17_600], np.linspace(16_900, 12_200, 61)])
+    turn = np.linalg.qr(np.random.default_rng(4).standard_normal((64, 64)))[0]
+    v, passes = (turn * spectrum) @ turn.T, []
+
+    def product(q):
+        passes.append(1)
+        assert len(passes) <= 120
+        return v @ q
+
+    found = whitening.leading(product, 64, 8)
+    assert (found.residuals[:8] <= 1e-14 * spectrum[0]).all()
+    assert np.allclose(found.values[:8], spectrum[:8], rtol=1e-12)
+
+
 def vectors(n=300, d=12, seed=0):
     draw = np.random.default_rng(seed)
     turn = np.linalg.qr(draw.standard_normal((d, d)))[0]

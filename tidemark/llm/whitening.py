@@ -24,6 +24,9 @@ PACKED = 4096
 # Columns beyond those asked for: they carry the spectrum's next part, so that the wanted part stands out.
 GUARD = 16
 MOST_DEGREE = 24
+# How much more the filter may lift the largest pair than the last wanted one. Rounding leaves some of the largest in
+# every column; lifted by 1 / EPSILON it would hide the wanted ones.
+MOST_LIFT = 1e12
 EPSILON = float(np.finfo(np.float64).eps)
 BLOCKS = "vec_ids binary, missing binary, x binary"
 
@@ -93,7 +96,8 @@ def leading(product: Callable[[np.ndarray], np.ndarray], dimension: int, wanted:
 
     Certified: each residual is at most ``tolerance`` times the largest eigenvalue, or rounding keeps it from getting
     any smaller over three rounds. The filter's degree follows the gap between the wanted values and the
-    block's last one; if the gap asks for too many passes, the block is widened instead.
+    block's last one; if the gap asks for too many passes, the block is widened instead. A largest value far above the
+    wanted ones bounds the degree, as QR can't part columns that are all but copies of its vector.
     """
     columns, draw = min(dimension, wanted + GUARD), np.random.default_rng(seed)
     q = np.linalg.qr(draw.standard_normal((dimension, columns)))[0]
@@ -114,7 +118,9 @@ def leading(product: Callable[[np.ndarray], np.ndarray], dimension: int, wanted:
         cut = max(float(pairs.values[-1]), EPSILON * top)
         spread = 2 * max(float(pairs.values[wanted - 1]), cut * (1 + 1e-9)) / cut - 1
         need = math.acosh(1e6) / math.acosh(max(spread, 1 + 1e-12))
-        degree = int(min(MOST_DEGREE, max(2, math.ceil(need))))
+        lift = math.acosh(max(2 * top / cut - 1, 1)) - math.acosh(max(spread, 1))
+        stable = math.log(MOST_LIFT) / max(lift, 1e-12)
+        degree = int(min(MOST_DEGREE, max(2, min(math.ceil(need), stable))))
         if need > MOST_DEGREE and columns < dimension:
             columns = min(dimension, 2 * columns)
             y = np.hstack([pairs.vectors, draw.standard_normal((dimension, columns - pairs.vectors.shape[1]))])
