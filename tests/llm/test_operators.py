@@ -7,6 +7,7 @@ import math
 import random
 import re
 import time
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -491,6 +492,20 @@ def labelled(spark):
         labels, "doc_id long, quality int, toxic int")
 
 
+def test_toxicity_training_keeps_its_sample_as_arrays(spark):
+    """The driver holds some 30 bytes for each word of a sample's texts, no Python object."""
+    texts = spark.range(2000).select(F.col("id").alias("doc_id"), F.concat_ws(" ", F.transform(
+        F.sequence(F.lit(1), F.lit(1000)), lambda k: F.translate(F.xxhash64("id", k).cast("string"), "0123456789-", "abcdefghijk"))).alias("text"))
+    labels = spark.range(2000).select(F.col("id").alias("doc_id"), (F.col("id") % 2).cast("int").alias("toxic"))
+    toxicity.train(texts.limit(5), labels)
+    tracemalloc.start()
+    try:
+        toxicity.train(texts, labels)
+        assert tracemalloc.get_traced_memory()[1] < 30 * 2000 * 1000
+    finally:
+        tracemalloc.stop()
+
+
 def test_toxicity(spark, docs, empty):
     texts, labels = labelled(spark)
     # Trained on the even ids, held against the odd ones.

@@ -2,13 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from tidemark.llm.words import Words, split_words
 
 
+# Entries of a sample that are worked on at once.
+RUN = 1 << 19
+
+
 @dataclass(frozen=True)
 class Sparse:
     """Rows of features: row r has index[cuts[r]:cuts[r + 1]] with the values beside them."""
@@ -24,6 +31,14 @@ class Sparse:
     def owners(self) -> np.ndarray:
         return np.repeat(np.arange(self.rows), np.diff(self.cuts))
 
+    def runs(self, entries: int = RUN) -> Iterator[tuple[int, int]]:
+        """Runs of consecutive rows of together about so many entries."""
+        begin = 0
+        while begin < self.rows:
+            end = int(np.searchsorted(self.cuts, self.cuts[begin] + entries, side="right")) - 1
+            yield begin, (end := min(max(end, begin + 1), self.rows))
+            begin = end
+
     def dot(self, weights: np.ndarray) -> np.ndarray:
         """Each row times weights, which has a row per feature and may have several columns."""
         parts = weights[self.index] * (self.value if weights.ndim == 1 else self.value[:, None])
@@ -34,16 +49,25 @@ class Sparse:
     def take(self, rows: np.ndarray) -> Sparse:
         lengths = np.diff(self.cuts)[rows]
         cuts = np.concatenate([[0], lengths.cumsum()])
+        if (np.diff(rows) > 0).all():
+            keep = np.zeros(self.rows, bool)
+            keep[rows] = True
+            keep = np.repeat(keep, np.diff(self.cuts))
+            return Sparse(cuts, self.index[keep], self.value[keep])
         at = np.arange(cuts[-1]) + np.repeat(self.cuts[rows] - cuts[:-1], lengths)
         return Sparse(cuts, self.index[at], self.value[at])
 
 
-def stack(parts: list[Sparse]) -> Sparse:
-    cuts = [np.zeros(1, np.int64)]
-    for p in parts:
-        cuts.append(p.cuts[1:] + cuts[-1][-1])
-    return Sparse(np.concatenate(cuts), np.concatenate([p.index for p in parts]),
-                  np.concatenate([p.value for p in parts]))
+def from_lists(index: pa.ChunkedArray, value: pa.ChunkedArray | None = None) -> Sparse:
+    """One row per list of features; without values, each feature counts as 1. No entry becomes a Python object."""
+    def flat(lists: pa.ChunkedArray) -> np.ndarray:
+        parts = [chunk.flatten().to_numpy(zero_copy_only=False) for chunk in lists.chunks]
+        return np.concatenate(parts) if len(parts) > 1 else parts[0]
+
+    lengths = pc.list_value_length(index).to_numpy()
+    own = flat(index)
+    return Sparse(np.concatenate([[0], lengths.astype(np.int64).cumsum()]), own,
+                  np.ones(len(own), np.int8) if value is None else flat(value))
 
 
 def counted(owner: np.ndarray, feature: np.ndarray, rows: int, bits: int) -> tuple[Sparse, np.ndarray]:
@@ -102,15 +126,22 @@ def without_copies(x: Sparse, bands: int = 6, width: int = 4) -> np.ndarray:
     keep = np.ones(x.rows, bool)
     if not len(filled):
         return np.flatnonzero(keep)
-    starts = x.cuts[filled]
-    for band in range(bands):
-        signature = np.zeros(len(filled), np.uint64)
-        for k in range(width):
-            seed = np.uint64(0x9E3779B97F4A7C15 * (band * width + k + 1) & (1 << 64) - 1)
-            mixed = (x.index.astype(np.uint64) + np.uint64(1)) * np.uint64(0xBF58476D1CE4E5B9) ^ seed
-            mixed *= np.uint64(0x94D049BB133111EB)
-            mixed ^= mixed >> np.uint64(31)
-            signature = signature * np.uint64(0x100000001B3) ^ np.minimum.reduceat(mixed, starts)
+    signatures = np.zeros((bands, x.rows), np.uint64)
+    for a, b in x.runs():
+        own = np.flatnonzero(np.diff(x.cuts[a:b + 1])) + a
+        if not len(own):
+            continue
+        index, starts = x.index[x.cuts[a]:x.cuts[b]].astype(np.uint64), x.cuts[own] - x.cuts[a]
+        for band in range(bands):
+            signature = np.zeros(len(own), np.uint64)
+            for k in range(width):
+                seed = np.uint64(0x9E3779B97F4A7C15 * (band * width + k + 1) & (1 << 64) - 1)
+                mixed = (index + np.uint64(1)) * np.uint64(0xBF58476D1CE4E5B9) ^ seed
+                mixed *= np.uint64(0x94D049BB133111EB)
+                mixed ^= mixed >> np.uint64(31)
+                signature = signature * np.uint64(0x100000001B3) ^ np.minimum.reduceat(mixed, starts)
+            signatures[band, own] = signature
+    for signature in signatures[:, filled]:
         _, first, same = np.unique(signature, return_index=True, return_inverse=True)
         keep[filled[first[same] != np.arange(len(filled))]] = False
     return np.flatnonzero(keep)
@@ -123,13 +154,16 @@ def telling(x: Sparse, targets: np.ndarray, least_rows: int, least_z: float,
     ``least_share`` have the target: labels are noisy, and such features would only learn by heart
     which labels are wrong."""
     size = int(x.index.max(initial=0)) + 1
-    rows = np.bincount(x.index, minlength=size)
-    owners, best = x.owners(), np.zeros(size)
-    for column in targets.T:
+    rows, having = np.zeros(size, np.int64), np.zeros((targets.shape[1], size))
+    for a, b in x.runs():
+        index, lengths = x.index[x.cuts[a]:x.cuts[b]], np.diff(x.cuts[a:b + 1])
+        rows += np.bincount(index, minlength=size)
+        for have, column in zip(having, targets.T, strict=True):
+            have += np.bincount(index, np.repeat(column[a:b], lengths), minlength=size)
+    best = np.zeros(size)
+    for have, column in zip(having, targets.T, strict=True):
         prior = (column.sum() + 0.5) / (len(column) + 1)
-        have = np.bincount(x.index, column[owners], minlength=size)
         z = (have - rows * prior) / np.sqrt(np.maximum(rows, 1) * prior * (1 - prior))
         best = np.maximum(best, np.where(have >= least_share * rows, z, 0))
     keep = ((rows >= least_rows) & (best >= least_z))[x.index]
-    lost = np.concatenate([[0], np.cumsum(~keep)])
-    return Sparse(x.cuts - lost[x.cuts], x.index[keep], x.value[keep])
+    return Sparse(np.searchsorted(np.flatnonzero(keep), x.cuts), x.index[keep], x.value[keep])

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import texts
-from tidemark.llm.linear import Sparse, counted, fit, owners_of, sigmoid, stack
+from tidemark.llm.linear import Sparse, counted, fit, from_lists, owners_of, sigmoid
 from tidemark.llm.words import LETTER, NUMBER, OTHER, SPACE, Words, blocks, character_classes, split_words
 
 BITS = 16
@@ -208,9 +208,7 @@ def train(docs: DataFrame, most_rows: int = 6000) -> Scorer:
     rows = rows.slice(0, most_rows)
     if not len(rows):
         return Scorer(labels, np.zeros(FEATURES, np.float32), 4.0)
-    x = stack([Sparse(np.array([0, len(i)]), np.array(i, np.int64), np.array(v))
-               for i, v in zip(rows.column("index").to_pylist(), rows.column("value").to_pylist(),
-                               strict=True)])
+    x = from_lists(rows.column("index"), rows.column("value"))
     target = labels.posterior(_patterns(rows.column("pattern").to_numpy()))
     weights, _, intercept = fit(x, target, FEATURES, penalty=1e-6, rate=0.5)
     return Scorer(labels, weights.astype(np.float32), float(intercept))

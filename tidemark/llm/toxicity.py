@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import texts
-from tidemark.llm.linear import Sparse, fit, sigmoid, stack, telling, without_copies, word_presence
+from tidemark.llm.linear import Sparse, fit, from_lists, sigmoid, telling, without_copies, word_presence
 from tidemark.llm.words import blocks
 
 BITS = 18
@@ -112,9 +112,7 @@ def train(docs: DataFrame, labels: DataFrame, most_rows: int = 20_000) -> Chain:
     if not len(rows):
         return Chain(np.zeros((1 << BITS, len(CATEGORIES)), np.float32),
                      [np.zeros(c) for c in range(len(CATEGORIES))], np.full(len(CATEGORIES), -4.0))
-    parts = [np.array(f, np.int64) for f in rows.column("features").to_pylist()]
-    x = stack([Sparse(np.array([0, len(p)]), p, np.ones(len(p))) for p in parts])
-    return fit_chain(x, np.array(rows.column("targets").to_pylist(), float))
+    return fit_chain(from_lists(rows.column("features")), np.array(rows.column("targets").to_pylist(), float))
 
 
 def score(batches: Iterator[pa.RecordBatch], chain: Chain) -> Iterator[pa.RecordBatch]:
