@@ -13,6 +13,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
@@ -227,6 +228,32 @@ def test_bpe_documents(docs, empty):
     assert bpe_documents.encode_documents(empty, RANKS).count() == 0
 
 
+def test_bpe_blocks_come_to_workers_a_few_at_a_time(spark):
+    """A task's blocks of texts are not all in one batch, and what a worker knows is not copied for each block."""
+    docs = spark.range(0, 60, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("some words of it "), 30_000).alias("text"))
+    bpe_documents.encode_documents(docs, RANKS, 1000)
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], ["n"])
+
+    rows = docs.select(F.col("text").cast("binary").alias("codes")).mapInArrow(sizes, "n long").collect()
+    assert sum(r.n for r in rows) > 30e6 and max(r.n for r in rows) < 12e6
+    pool = np.arange(2_000_000, dtype=np.uint16)
+    known = bpe_documents.Known(np.arange(2_000_000, dtype=np.int32), np.ones(2_000_000, np.uint8), pool)
+    block = pa.RecordBatch.from_arrays([
+        pa.array([[7, 8]], pa.list_(pa.int64())), pa.array([np.array([0, 2, 3]).tobytes()]),
+        pa.array([np.array([5, -1, 70_000], np.int32).tobytes()]), pa.array([[[3, 4]]], pa.list_(pa.list_(pa.int32())))],
+        names=["doc_ids", "cuts", "codes", "rare_ids"])
+    tracemalloc.start()
+    try:
+        out = list(bpe_documents.to_ids(iter([block]), known))
+        assert tracemalloc.get_traced_memory()[1] < 1e6
+    finally:
+        tracemalloc.stop()
+    assert out[0].column("ids").to_pylist() == [[5, 3, 4], [70_000 % 65_536]]
+
+
 @pytest.mark.parametrize("spaced", [False, True])
 @pytest.mark.parametrize("chunk", [1, 7, 64, 1000])
 def test_words_of_texts_cut_in_chunks(spaced, chunk):

@@ -10,6 +10,7 @@ maps, addressed by the pair's checksum, because Spark searches a map from end to
 from __future__ import annotations
 
 import base64
+import functools
 import json
 import zlib
 from collections.abc import Callable
@@ -49,6 +50,11 @@ class Merges:
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
+        self._bytes = F.array(*(F.lit(ranks[bytes([b])]) for b in range(256)))
+
+    @functools.cached_property
+    def _table(self) -> Column:
+        ranks = self.ranks
         table: list[dict[str, str]] = [{} for _ in range(BUCKETS)]
 
         def put(key: str, merged: str) -> None:
@@ -62,13 +68,18 @@ class Merges:
                     a, b = token[:i], token[i:]
                     if a in ranks and b in ranks:
                         put(_char(a, ranks[a]) + _char(b, ranks[b]), _char(token, rank))
-        self._table = F.from_json(F.lit(json.dumps(table, ensure_ascii=False)), "array<map<string,string>>")
-        self._bytes = F.array(*(F.lit(ranks[bytes([b])]) for b in range(256)))
-        pieces = [""] * (max(ranks.values()) + 1)
-        for token, rank in ranks.items():
+        return F.from_json(F.lit(json.dumps(table, ensure_ascii=False)), "array<map<string,string>>")
+
+    @functools.cached_property
+    def _pieces(self) -> Column:
+        pieces = [""] * (max(self.ranks.values()) + 1)
+        for token, rank in self.ranks.items():
             pieces[rank] = token.hex()
-        self._pieces = F.split(F.lit(",".join(pieces)), ",")
-        self._early = [_char(t, ranks[t]) for t in sorted(early_parts(ranks))] or [""]
+        return F.split(F.lit(",".join(pieces)), ",")
+
+    @functools.cached_property
+    def _early(self) -> list[str]:
+        return [_char(t, self.ranks[t]) for t in sorted(early_parts(self.ranks))] or [""]
 
     def _merged(self, table: Column, a: Column, b: Column) -> Column:
         """The token that two neighbours make; else null."""

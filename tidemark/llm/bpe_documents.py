@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.bpe import Merges, read_ranks
-from tidemark.llm.common import texts, written
+from tidemark.llm.common import bound_bytes, texts, written
 from tidemark.llm.words import Words, blocks, gather, split_words
 
 # Words of up to so many bytes may be sent to every task.
@@ -71,15 +71,16 @@ def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 @dataclass(frozen=True)
 class Known:
-    """Ids of the words sent to every task, by hash in order."""
+    """Ids of the words sent to every task, in the order of their hashes: word w has lengths[w] ids of the pool
+    from begins[w]. Numbers are as narrow as they may be, since each worker holds them twice."""
 
-    hashes: np.ndarray
     begins: np.ndarray
     lengths: np.ndarray
     pool: np.ndarray
 
 
-def known_words(own: DataFrame, merges: Merges, most_words: int) -> Known:
+def known_words(own: DataFrame, merges: Merges, most_words: int) -> tuple[np.ndarray, Known]:
+    """The hashes of the words sent to every task, in order, and their ids."""
     counted = written(
         own.mapInArrow(count_words, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n")),
         "bpe-words")
@@ -94,23 +95,23 @@ def known_words(own: DataFrame, merges: Merges, most_words: int) -> Known:
             break
         least = level
     if least is None:
-        empty = np.zeros(0, np.int64)
-        return Known(np.zeros(0, np.uint64), empty, empty, np.zeros(0, np.int32))
-    # Hashes and ids come to the driver, 30 bytes a word or so, but no word.
+        return np.zeros(0, np.uint64), Known(np.zeros(0, np.int32), np.zeros(0, np.uint8), np.zeros(0, np.int32))
+    narrow = np.min_scalar_type(max(merges.ranks.values()))
+    # Hashes and ids come to the driver, 20 bytes a word or so, but no word.
     table = short.where(F.col("level") >= least).select(
         "word", F.get(merges.encode_words(F.array("word")), F.lit(0)).alias("ids")
-    ).mapInArrow(hash_words, "hash binary, ids binary, lengths binary").toArrow()
+    ).mapInArrow(lambda batches: hash_words(batches, narrow), "hash binary, ids binary, lengths binary").toArrow()
     held = [[np.frombuffer(v.as_buffer(), kind) for v in table.column(name)] or [np.zeros(0, kind)]
-            for name, kind in (("hash", np.uint64), ("ids", np.int32), ("lengths", np.int32))]
+            for name, kind in (("hash", np.uint64), ("ids", narrow), ("lengths", np.uint8))]
     del table
     hashes, pool, lengths = (np.concatenate(parts) for parts in held)
     del held
     order = np.argsort(hashes)
-    begins = (np.cumsum(lengths) - lengths).astype(np.int32)
-    return Known(hashes[order], begins[order], lengths[order], pool)
+    begins = np.cumsum(lengths, dtype=np.int32) - lengths
+    return hashes[order], Known(begins[order], lengths[order], pool)
 
 
-def hash_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def hash_words(batches: Iterator[pa.RecordBatch], narrow: np.dtype) -> Iterator[pa.RecordBatch]:
     """Per batch: each word's hash, all ids one after the other, and how many each word has."""
     for batch in batches:
         # Split on its own, a word stays whole.
@@ -118,8 +119,9 @@ def hash_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = batch.column("ids")
         yield pa.RecordBatch.from_arrays(
             [pa.array([x.tobytes()]) for x in (
-                hashes, ids.flatten().to_numpy(zero_copy_only=False).astype(np.int32),
-                pc.list_value_length(ids).to_numpy(zero_copy_only=False).astype(np.int32))],
+                hashes, ids.flatten().to_numpy(zero_copy_only=False).astype(narrow),
+                # No more ids than bytes, at most SENT_BYTES.
+                pc.list_value_length(ids).to_numpy(zero_copy_only=False).astype(np.uint8))],
             names=["hash", "ids", "lengths"])
 
 
@@ -157,11 +159,17 @@ def to_ids(batches: Iterator[pa.RecordBatch], known: Known) -> Iterator[pa.Recor
             rare = batch.column("rare_ids")[row].values
             sizes = pc.list_value_length(rare).to_numpy(zero_copy_only=False).astype(np.int64)
             flat = rare.flatten().to_numpy(zero_copy_only=False).astype(np.int32)
-            pool = np.concatenate([known.pool.astype(np.int32, copy=False), flat])
-            begins = np.concatenate([known.begins, len(known.pool) + sizes.cumsum() - sizes])
-            lengths = np.concatenate([known.lengths, sizes]).astype(np.int64)
-            at = np.where(place >= 0, place, len(known.begins) - 1 - place)
-            ids, ends = gather(pool, begins[at].astype(np.int64), lengths[at])
+            own, other = np.flatnonzero(place >= 0), np.flatnonzero(place < 0)
+            at, rare_at = place[own], -1 - place[other]
+            lengths = np.zeros(len(place), np.int64)
+            lengths[own], lengths[other] = known.lengths[at], sizes[rare_at]
+            ends = np.concatenate([[0], lengths.cumsum()])
+            ids = np.zeros(ends[-1], np.int32)
+            # Of what is known only the block's own words are touched, nothing is copied whole.
+            for which, pool, begins in ((own, known.pool, known.begins[at]),
+                                        (other, flat, (sizes.cumsum() - sizes)[rare_at])):
+                found, inner = gather(pool, begins.astype(np.int64), lengths[which])
+                ids[np.arange(len(found)) + np.repeat(ends[which] - inner[:-1], lengths[which])] = found
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_ids")[row].values,
                  pa.ListArray.from_arrays(pa.array(ends[cuts], pa.int32()), pa.array(ids, pa.int32()))],
@@ -177,8 +185,8 @@ def encode_documents(docs: DataFrame, ranks_path: str, most_words: int = 1_500_0
     """
     merges = Merges(read_ranks(ranks_path))
     own = texts(docs)
-    known = known_words(own, merges, most_words)
-    hashes = known.hashes
+    bound_bytes(docs.sparkSession)
+    hashes, known = known_words(own, merges, most_words)
     return (
         own.mapInArrow(lambda batches: to_blocks(batches, hashes), BLOCK)
         .select("doc_ids", "cuts", "codes", merges.encode_words(F.col("rare")).alias("rare_ids"))

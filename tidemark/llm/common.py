@@ -19,6 +19,9 @@ _shipped: set[str] = set()
 # Rows of texts that a Python worker is handed at once; a worker holds a batch several times over.
 BATCH_ROWS = 2000
 _BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+# The same in bytes, for rows that hold whole blocks of texts.
+BATCH_BYTES = 8 << 20
+_BYTES_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def ship_code(spark: SparkSession) -> None:
@@ -35,6 +38,11 @@ def ship_code(spark: SparkSession) -> None:
         _shipped.add(context.applicationId)
 
 
+def bound_bytes(spark: SparkSession) -> None:
+    """Sees to it that the Python workers get long rows in batches of bounded bytes, a row or more at a time."""
+    spark.conf.set(_BYTES_SETTING, str(BATCH_BYTES))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
