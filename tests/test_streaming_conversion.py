@@ -89,6 +89,20 @@ def test_a_hot_currency_spreads_whichever_side_it_is_on(spark, side):
             spark.conf.set(k, v)
 
 
+def test_sides_meet_as_lists_and_the_last_window_comes_out(spark, tmp_path):
+    """The join's state holds a few lists per cell however many rows there are; windows that only the end of the
+    input closes come out too, with every copy of a row."""
+    n = 1500
+    orders = [[(1 + i / n, "A", 3, "USD", i % 700) for i in range(n)], [(21, "B", 1, "CNY", 5)] * 2, CLOSING_ORDERS[0]]
+    rates = [[(2, "USD", 3), (3, "USD", 4)], [(22, "CNY", 2)] * 2, [(600, None, 0)]]
+    lhs, rhs = streams(spark, tmp_path, orders, [[(o, c or "", r) for o, c, r in b] for b in rates])
+    query = run(sinks.to_files(stream.converted_orders(lhs, rhs).drop("w"), tmp_path.name, str(tmp_path / "out")))
+    want = batch.converted_orders(order_table(spark, orders[:2]), rate_table(spark, rates[:2]))
+    assert rows(spark.read.parquet(str(tmp_path / "out")), *want.columns) == rows(want, *want.columns)
+    joined = [op.numRowsUpdated for p in query.recentProgress for op in p.stateOperators if "Join" in op.operatorName]
+    assert joined and max(joined) < 600
+
+
 def test_stream_ranking_equals_batch(spark, tmp_path):
     orders, rates = streams(spark, tmp_path, ORDERS + CLOSING_ORDERS, RATES + CLOSING_RATES)
     query = run(ranking.ranked(

@@ -14,7 +14,7 @@ from tidemark.streaming.windows import window_agg, window_end
 def converted_orders(
     orders: DataFrame, rates: DataFrame, width: Duration = JOIN_WINDOW,
     order_delay: Duration = ASCENDING_DELAY, rate_delay: Duration = RATE_DELAY, ts: str = "ts",
-    cells: tuple[int, int] = (4, 4),
+    cells: tuple[int, int] = (4, 4), lots: int = 16,
 ) -> DataFrame:
     """``w, ts`` and the converted fields, one row per (order, rate) pair of a currency's window.
 
@@ -22,27 +22,41 @@ def converted_orders(
     its window has closed, and both sides' rows leave the state with their window. A currency may
     hold any share of the orders and of the rates: its window is a grid of ``cells`` (rows, columns). An order is
     in one row of it, a rate in one column, so each cell joins a part of the orders with a part of the rates. Where a
-    row goes follows from its fields alone, whichever task it is read in and however often. What is only to be
+    row goes follows from its fields alone, whichever task it is read in and however often. Each side of a cell is
+    gathered in ``lots`` lists, dealt the same way, and the lists meet once the window has closed: so state is read
+    once per two lists and not once per pair, and pairs are made from lists in memory. What is only to be
     summed needs no pairs: see ``sales_sums``.
     """
     down, across = cells
     lhs = (
-        with_delay(orders, ts, order_delay)
+        with_delay(orders, ts, order_delay).where(keeping_the_clock(F.col("currency").isNotNull()))
         .withColumn("w", F.window(ts, text(width)))
         .select("w", plain_time(ts).alias(ts), "ts_ms", "category", "subcat", "currency", "amount")
         .withColumn("cell_row", F.pmod(F.xxhash64(ts, "ts_ms", "category", "subcat", "amount"), F.lit(down)).cast("int"))
         .withColumn("cell_column", F.explode(F.sequence(F.lit(0), F.lit(across - 1))))
     )
     rhs = (
-        with_delay(rates, ts, rate_delay)
+        with_delay(rates, ts, rate_delay).where(keeping_the_clock(F.col("currency").isNotNull()))
         .withColumn("w", F.window(ts, text(width)))
         .select("w", F.col("ts_ms").alias("rate_ts_ms"), "currency",
                 F.col("currency").alias("rate_currency"), "rate")
         .withColumn("cell_column", F.pmod(F.xxhash64("rate_ts_ms", "rate"), F.lit(across)).cast("int"))
         .withColumn("cell_row", F.explode(F.sequence(F.lit(0), F.lit(down - 1))))
     )
+    cell = ["w", "currency", "cell_row", "cell_column"]
+
+    def lists(side: DataFrame, name: str) -> DataFrame:
+        fields = [c for c in side.columns if c not in cell]
+        lot = F.pmod(F.xxhash64(F.lit(name), *fields), F.lit(lots)).cast("int").alias(f"{name}_lot")
+        return side.groupBy(*cell, lot).agg(F.collect_list(F.struct(*fields)).alias(name)).drop(f"{name}_lot")
+
+    pairs = (
+        lists(lhs, "orders").join(lists(rhs, "rates"), cell, "inner")
+        .withColumn("order", F.explode("orders")).withColumn("rated", F.explode("rates"))
+        .select("w", "currency", "order.*", "rated.*")
+    )
     res = F.col("rate").cast("bigint") * F.col("amount")
-    return lhs.join(rhs, ["w", "currency", "cell_row", "cell_column"], "inner").withColumn("res", res).select("w", ts, *CONVERTED)
+    return pairs.withColumn("res", res).select("w", ts, *CONVERTED)
 
 
 def sales_sums(
