@@ -254,6 +254,28 @@ def test_bpe_blocks_come_to_workers_a_few_at_a_time(spark):
     assert out[0].column("ids").to_pylist() == [[5, 3, 4], [70_000 % 65_536]]
 
 
+def test_bpe_digests_are_made_where_the_ids_are(spark, docs):
+    """Ids don't go through the JVM to be digested: the query's plan ends with the worker that made them."""
+    ranks = bpe.read_ranks(RANKS)
+    digests = bpe_documents.Digests(ranks)
+    spelled = {rank: token for token, rank in ranks.items()}
+    lists = [[5, 3, 50], [], None, [max(spelled)] * 3]
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([1, None, 3, 4], pa.int64()), pa.array(lists, pa.list_(pa.int32()))], names=["doc_id", "ids"])
+    sha = lambda b: hashlib.sha256(b).hexdigest()
+    want = [(i, None, None, None) if own is None else
+            (i, len(own), sha(",".join(map(str, own)).encode()), sha(b"".join(spelled[x] for x in own)))
+            for i, own in zip([1, None, 3, 4], lists, strict=True)]
+    for rows, expected in ((batch, want), (batch.slice(1, 3), want[1:]), (batch.slice(1, 1), want[1:2])):
+        got = pa.Table.from_batches(list(digests(iter([rows])))).to_pylist()
+        assert [tuple(r.values()) for r in got] == expected
+    fused = bpe_documents.encode_documents(docs, RANKS, 5, then=digests)
+    apart = bpe_documents.digest_encoding(bpe_documents.encode_documents(docs, RANKS, 5), RANKS)
+    assert sorted(map(tuple, fused.collect()), key=str) == sorted(map(tuple, apart.collect()), key=str)
+    plan = fused._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 2 and "sha2" not in plan
+
+
 @pytest.mark.parametrize("spaced", [False, True])
 @pytest.mark.parametrize("chunk", [1, 7, 64, 1000])
 def test_words_of_texts_cut_in_chunks(spaced, chunk):

@@ -70,13 +70,6 @@ class Merges:
                         put(_char(a, ranks[a]) + _char(b, ranks[b]), _char(token, rank))
         return F.from_json(F.lit(json.dumps(table, ensure_ascii=False)), "array<map<string,string>>")
 
-    @functools.cached_property
-    def _pieces(self) -> Column:
-        pieces = [""] * (max(self.ranks.values()) + 1)
-        for token, rank in self.ranks.items():
-            pieces[rank] = token.hex()
-        return F.split(F.lit(",".join(pieces)), ",")
-
     @functools.cached_property
     def _early(self) -> list[str]:
         return [_char(t, self.ranks[t]) for t in sorted(early_parts(self.ranks))] or [""]
@@ -169,10 +162,6 @@ class Merges:
 
         return _let(self._table, lambda table: F.transform(words, lambda word: of(table, word)))
 
-    def decode_hex(self, ids: Column) -> Column:
-        """The bytes of ids, as a string of hexadecimal digits."""
-        return F.array_join(F.transform(ids, lambda i: F.get(self._pieces, i)), "")
-
 
 def no_chars() -> Column:
     return F.array().cast("array<string>")

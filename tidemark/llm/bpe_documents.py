@@ -7,7 +7,8 @@ where it stands, by the same expressions, once per block of text.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import hashlib
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -17,12 +18,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.bpe import Merges, read_ranks
-from tidemark.llm.common import bound_bytes, texts, written
+from tidemark.llm.common import release_memory, releasing, texts, written
 from tidemark.llm.words import Words, blocks, gather, split_words
 
 # Words of up to so many bytes may be sent to every task.
 SENT_BYTES = 64
 HELD = 300_000
+IDS = "doc_id bigint, ids array<int>"
+DIGESTS = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
 BLOCK = "doc_ids array<bigint>, cuts binary, codes binary, rare array<string>"
 
 
@@ -57,11 +60,13 @@ def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             at = np.minimum(np.searchsorted(hashes, found), max(0, len(hashes) - 1))
             known = hashes[at] == found if len(hashes) else np.zeros(len(found), bool)
             counts[at[known]] += n[known]
-            fresh = np.array([words.word(w) for w in example[~known]], object)
-            hashes = np.concatenate([hashes, found[~known]])
-            order = np.argsort(hashes)
-            hashes, counts = hashes[order], np.concatenate([counts, n[~known]])[order]
-            held = np.concatenate([held, fresh])[order]
+            fresh = np.flatnonzero(~known)
+            fresh = fresh[np.argsort(found[fresh])]
+            # What is held stays in order: only the block's own words are sorted.
+            place = np.searchsorted(hashes, found[fresh])
+            spelled = np.array([words.word(w) for w in example[fresh]], object)
+            hashes, counts, held = (np.insert(old, place, new) for old, new in (
+                (hashes, found[fresh]), (counts, n[fresh]), (held, spelled)))
             if len(hashes) > HELD:
                 yield out()
                 hashes, counts, held = hashes[:0], counts[:0], held[:0]
@@ -82,7 +87,7 @@ class Known:
 def known_words(own: DataFrame, merges: Merges, most_words: int) -> tuple[np.ndarray, Known]:
     """The hashes of the words sent to every task, in order, and their ids."""
     counted = written(
-        own.mapInArrow(count_words, "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n")),
+        own.mapInArrow(lambda batches: releasing(count_words(batches)), "word string, n bigint").groupBy("word").agg(F.sum("n").alias("n")),
         "bpe-words")
     short = counted.where(F.octet_length("word") <= SENT_BYTES).withColumn(
         "level", F.floor(F.log2("n") * 8).cast("int"))
@@ -108,6 +113,7 @@ def known_words(own: DataFrame, merges: Merges, most_words: int) -> tuple[np.nda
     del held
     order = np.argsort(hashes)
     begins = np.cumsum(lengths, dtype=np.int32) - lengths
+    release_memory()
     return hashes[order], Known(begins[order], lengths[order], pool)
 
 
@@ -176,29 +182,65 @@ def to_ids(batches: Iterator[pa.RecordBatch], known: Known) -> Iterator[pa.Recor
                 names=["doc_id", "ids"])
 
 
-def encode_documents(docs: DataFrame, ranks_path: str, most_words: int = 1_500_000) -> DataFrame:
+class Digests:
+    """Of rows with ids: how many there are, and digests of the ids and of what they decode to. A row without
+    a list of ids has none of them."""
+
+    schema = DIGESTS
+
+    def __init__(self, ranks: dict[bytes, int]):
+        pieces = [b""] * (max(ranks.values()) + 1)
+        for token, rank in ranks.items():
+            pieces[rank] = token
+        self.pieces = pa.array(pieces, pa.large_binary())
+        self.numerals = pa.array([b"%d," % i for i in range(len(pieces))], pa.large_binary())
+
+    def __call__(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column("ids")
+            sizes = pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False)
+            flat, cuts = ids.flatten(), np.concatenate([[0], sizes.cumsum(dtype=np.int64)])
+            missing = ids.is_null().to_numpy(zero_copy_only=False)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(sizes, pa.int64(), mask=missing),
+                 # Without the comma behind the last id.
+                 pa.array(_sha256(self.numerals.take(flat), cuts, 1), pa.string(), mask=missing),
+                 pa.array(_sha256(self.pieces.take(flat), cuts, 0), pa.string(), mask=missing)],
+                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+
+def _sha256(parts: pa.Array, cuts: np.ndarray, less: int) -> np.ndarray:
+    """The digest of each run of parts, without its last ``less`` bytes."""
+    _, begins, data = parts.buffers()
+    at = np.frombuffer(begins, np.int64)[cuts] if len(parts) else np.zeros(len(cuts), np.int64)
+    data = memoryview(data or b"")
+    return np.array([hashlib.sha256(data[a:max(a, b - less)]).hexdigest()
+                     for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True)], object)
+
+
+def encode_documents(
+    docs: DataFrame, ranks_path: str, most_words: int = 1_500_000,
+    then: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]] | None = None,
+) -> DataFrame:
     """doc_id and ids (array<int>) of every row of docs.
 
     Null and empty texts have no ids. ``most_words``: words sent to every task, of up to 64 bytes
     each and their ids; all others are merged where they stand. Repeated rows are encoded each;
     columns other than doc_id and text are ignored; an empty table gives an empty result.
+    ``then`` gets the batches of doc_id and ids in the worker that made them, and what it makes of them
+    (by its ``schema``) is returned in their place: so long lists needn't go to the JVM and back.
     """
     merges = Merges(read_ranks(ranks_path))
     own = texts(docs)
-    bound_bytes(docs.sparkSession)
     hashes, known = known_words(own, merges, most_words)
+    finish = then or iter
     return (
-        own.mapInArrow(lambda batches: to_blocks(batches, hashes), BLOCK)
+        own.mapInArrow(lambda batches: releasing(to_blocks(batches, hashes)), BLOCK)
         .select("doc_ids", "cuts", "codes", merges.encode_words(F.col("rare")).alias("rare_ids"))
-        .mapInArrow(lambda batches: to_ids(batches, known), "doc_id bigint, ids array<int>")
+        .mapInArrow(lambda batches: releasing(finish(to_ids(batches, known))), then.schema if then else IDS)
     )
 
 
 def digest_encoding(encoded: DataFrame, ranks_path: str) -> DataFrame:
     """Digests of the ids and of what they decode to."""
-    merges = Merges(read_ranks(ranks_path))
-    return encoded.select(
-        "doc_id",
-        F.size("ids").cast("bigint").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary"), 256).alias("ids_sha256"),
-        F.sha2(F.unhex(merges.decode_hex(F.col("ids"))), 256).alias("decoded_sha256"))
+    return encoded.select("doc_id", "ids").mapInArrow(Digests(read_ranks(ranks_path)), DIGESTS)

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
 import shutil
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -27,6 +29,7 @@ _BYTES_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 def ship_code(spark: SparkSession) -> None:
     """Sends this package to the Python workers, once per application: they import it by name, and the
     driver may have it on a path that they lack. Sees to it that they get rows in batches of bounded size."""
+    bound_bytes(spark)
     if int(spark.conf.get(_BATCH_SETTING, "10000")) > BATCH_ROWS:
         spark.conf.set(_BATCH_SETTING, str(BATCH_ROWS))
     context = spark.sparkContext
@@ -43,6 +46,21 @@ def bound_bytes(spark: SparkSession) -> None:
     spark.conf.set(_BYTES_SETTING, str(BATCH_BYTES))
 
 
+def release_memory() -> None:
+    """Hands what this process has freed back to the system; the allocators would keep it."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def releasing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same batches, the worker's memory given back after the last: an idle worker waits beside other
+    tasks and holds what its largest batch took."""
+    yield from batches
+    release_memory()
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
