@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import written
 
 
+# Edges that a file may hold before there are more of them.
+FILE_ROWS = 100_000
+
+
 def _mark(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v") % 1_000_003)).first())
 
@@ -18,7 +22,8 @@ def components(links: DataFrame, name: str) -> DataFrame:
     Each round hangs every node's neighbours on its smallest one, first the larger ones, then the
     smaller ones; only minima per node are gathered, so a node with very many neighbours is one
     aggregate and a splittable join. Rounds are about the logarithm of the longest path. Edges are
-    written each round, which cuts the lineage.
+    written each round, which cuts the lineage; they only get fewer, so a round's files follow from the
+    number of edges before it and not from the shuffle's partitions.
     """
     edges = written(
         links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
@@ -31,7 +36,8 @@ def components(links: DataFrame, name: str) -> DataFrame:
             F.col("v").alias("u"), F.least("u", "m").alias("v"))
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = written(small.union(least.select("u", F.col("m").alias("v"))).distinct(), f"{name}-stars")
+        stars = small.union(least.select("u", F.col("m").alias("v"))).distinct()
+        edges = written(stars.coalesce(1 + mark[0] // FILE_ROWS), f"{name}-stars")
         before, mark = mark, _mark(edges)
         if mark == before:
             break

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import texts, written
+from tidemark.llm.common import releasing, texts, written
 from tidemark.llm.components import components
 from tidemark.llm.trie import linked
 from tidemark.llm.words import CHUNK, blocks, power_tables
@@ -212,7 +212,7 @@ def link_documents(docs: DataFrame, width: int = 5, percent: int = 80, few: int
     to the scan that makes their sets; beyond it both sides are shuffled.
     """
     summary = written(
-        texts(docs).mapInArrow(lambda batches: summarize(batches, width, percent), SETS), "ngram-sets")
+        texts(docs).mapInArrow(lambda batches: releasing(summarize(batches, width, percent)), SETS), "ngram-sets")
     known = written(summary.where("n > 0 and doc_id is not null").groupBy("set_id").agg(
         F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("eligible").alias("eligible")),
         "ngram-classes")
@@ -226,7 +226,7 @@ def link_documents(docs: DataFrame, width: int = 5, percent: int = 80, few: int
     if members.count() <= few:
         ids = F.broadcast(ids)
     grams = texts(docs).join(ids, "doc_id", "left_semi").mapInArrow(
-        lambda batches: _whole_sets(batches, width), "doc_id bigint, set_id binary, grams binary")
+        lambda batches: releasing(_whole_sets(batches, width)), "doc_id bigint, set_id binary, grams binary")
     # Copies have gone, but for rows repeated with their id.
     grams = grams.withColumnRenamed("doc_id", "rep").join(units, ["rep", "set_id"]).dropDuplicates(
         ["rep", "set_id", "group", "part"])

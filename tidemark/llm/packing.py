@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import texts, written
+from tidemark.llm.common import releasing, texts, written
 from tidemark.llm.wordbpe import WordEncoder
 
 PIECES = ("doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, part int")
@@ -146,7 +146,7 @@ def pack_documents(docs: DataFrame, tokenizer: str, capacity: int = 4096, end_id
     """
     pieces = written(
         texts(docs).mapInArrow(
-            lambda batches: cut_pieces(batches, tokenizer, capacity, end_id), PIECES),
+            lambda batches: releasing(cut_pieces(batches, tokenizer, capacity, end_id)), PIECES),
         "pack-pieces",
     )
     counts = pieces.groupBy("length", "part").agg(F.count("*").alias("n"))

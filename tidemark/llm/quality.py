@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import texts
+from tidemark.llm.common import releasing, texts
 from tidemark.llm.linear import Sparse, counted, fit, from_lists, owners_of, sigmoid
 from tidemark.llm.words import LETTER, NUMBER, OTHER, SPACE, Words, blocks, character_classes, split_words
 
@@ -195,7 +195,7 @@ class Scorer:
 def train(docs: DataFrame, most_rows: int = 6000) -> Scorer:
     """The label model from all documents' votes, the scorer from at most ``most_rows`` documents."""
     own = texts(docs)
-    patterns = own.mapInArrow(vote_patterns, "doc_id bigint, pattern bigint")
+    patterns = own.mapInArrow(lambda batches: releasing(vote_patterns(batches)), "doc_id bigint, pattern bigint")
     # At most 3 ** labellers rows, whatever the corpus.
     counted_patterns = patterns.groupBy("pattern").count().collect()
     codes = np.array([r[0] for r in counted_patterns], np.int64)
@@ -239,5 +239,5 @@ def score_quality(docs: DataFrame, threshold: float = 0.5, most_rows: int = 6000
     """
     scorer = train(docs, most_rows)
     return texts(docs).mapInArrow(
-        lambda batches: score(batches, scorer), "doc_id bigint, posterior double, score double",
+        lambda batches: releasing(score(batches, scorer)), "doc_id bigint, posterior double, score double",
     ).withColumn("kept", F.col("score") >= threshold)

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import texts, written
+from tidemark.llm.common import releasing, texts, written
 
 # Fixed patterns of the contract. ASCII letters only, in either case.
 ASSIGN = re.compile(
@@ -300,7 +300,7 @@ def scan_secrets(docs: DataFrame, rate: float = 0.01) -> DataFrame:
     """
     found = written(
         texts(docs)
-        .mapInArrow(find_spans, FOUND),
+        .mapInArrow(lambda batches: releasing(find_spans(batches)), FOUND),
         "secret-spans",
     )
     cuts = thresholds(found, rate)

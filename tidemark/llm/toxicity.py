@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import texts
+from tidemark.llm.common import releasing, texts
 from tidemark.llm.linear import Sparse, fit, from_lists, sigmoid, telling, without_copies, word_presence
 from tidemark.llm.words import blocks
 
@@ -135,6 +135,6 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, threshold: float = 0.5,
     """
     chain = train(docs, labels, most_rows)
     return texts(docs if rows is None else rows).mapInArrow(
-        lambda batches: score(batches, chain),
+        lambda batches: releasing(score(batches, chain)),
         "doc_id bigint, " + ", ".join(f"p_{c} double" for c in CATEGORIES),
     ).withColumn("toxic", F.col(f"p_{CATEGORIES[-1]}") >= threshold)

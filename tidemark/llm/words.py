@@ -40,7 +40,7 @@ def _powers(factor: int, n: int) -> np.ndarray:
 
 
 # Characters that are worked on at once; only a single word may be longer.
-CHUNK = 1 << 19
+CHUNK = 1 << 17
 # Where a text may be cut: white space that begins here belongs to what follows.
 _CUT = re.compile(r"[!-~] ")
 
