@@ -741,6 +741,36 @@ def test_saturated_lists_grow(spark, monkeypatch):
     assert [got[i].component_id for i in range(400)] == component
 
 
+def test_small_tables_take_few_files_whatever_the_shuffle(spark, monkeypatch):
+    """Each round's tables are dealt out by their rows: a file costs the executor a process that it starts."""
+    files = {}
+
+    def counted(df, name, plain=embedding_dedup.written):
+        table = plain(df, name)
+        files[name] = max(files.get(name, 0), len(table.inputFiles()))
+        return table
+
+    for module in (embedding_dedup, components_module):
+        monkeypatch.setattr(module, "written", counted)
+    settings = {"spark.sql.shuffle.partitions": "24", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in settings}
+    x = grouped_vectors(300, 6, 15)
+    n_links, component = plain_links(x)
+    try:
+        for name, value in settings.items():
+            spark.conf.set(name, value)
+        found = embedding_dedup.link_vectors(vector_table(spark, x))
+        got = {r.vec_id: r for r in found.collect()}
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert [got[i].n_links for i in range(300)] == n_links
+    assert [got[i].component_id for i in range(300)] == component
+    assert files["neighbour-lists"] == files["neighbour-pairs"] == files["distinct-vectors"] == 1
+    del files["unit-vectors"]
+    assert max(files.values()) <= 2, files
+
+
 def test_secrets_inside_runs(spark):
     draw = random.Random(18)
     some = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"

@@ -16,8 +16,9 @@ def _mark(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v") % 1_000_003)).first())
 
 
-def components(links: DataFrame, name: str) -> DataFrame:
-    """node and component (its smallest member) of every node that a link (a, b) touches.
+def components(links: DataFrame, name: str, rows: int | None = None) -> DataFrame:
+    """node and component (its smallest member) of every node that a link (a, b) touches. ``rows``: how many
+    links there are at most, if that is known; the first table then takes no more files than they need.
 
     Each round hangs every node's neighbours on its smallest one, first the larger ones, then the
     smaller ones; only minima per node are gathered, so a node with very many neighbours is one
@@ -25,9 +26,8 @@ def components(links: DataFrame, name: str) -> DataFrame:
     written each round, which cuts the lineage; they only get fewer, so a round's files follow from the
     number of edges before it and not from the shuffle's partitions.
     """
-    edges = written(
-        links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-        .distinct(), f"{name}-links")
+    edges = links.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
+    edges = written(edges if rows is None else edges.coalesce(1 + rows // FILE_ROWS), f"{name}-links")
     mark = _mark(edges)
     while mark[0]:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))

@@ -29,6 +29,8 @@ from tidemark.llm.components import components
 SLACK = 0.01
 # Vectors in one block of the comparison within saturated groups.
 BLOCK = 1024
+# Rows that a task takes before there are more tasks.
+TASK_ROWS = 20_000
 # Hashes are taken modulo this to choose the vectors of the audit.
 AUDIT_STEPS = 1 << 40
 
@@ -37,6 +39,12 @@ def _rows(column: pa.Array, kind: type) -> np.ndarray:
     return np.stack([np.frombuffer(v, kind) for v in column.to_pylist()])
 
 
+def in_tasks(df: DataFrame, rows: int) -> DataFrame:
+    """df in as many partitions as ``rows`` rows ask for, if the shuffle's are more: a round makes several tables,
+    and each partition of them costs a task and a file, which the executor makes by starting a process."""
+    return df.coalesce(1 + rows // TASK_ROWS)
+
+
 def unit_vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         units, halves = [], []
@@ -131,9 +139,9 @@ def compare_lists(rows: pa.Table) -> pa.Table:
     return pa.Table.from_batches([_edges(*map(np.concatenate, (out_u, out_v, out_s)))])
 
 
-def _best(edges: DataFrame, caps: DataFrame | None, k: int) -> DataFrame:
+def _best(edges: DataFrame, caps: DataFrame | None, k: int, rows: int) -> DataFrame:
     """The best of each list, as many as it may hold. An old edge that is found again stays old."""
-    once = edges.groupBy("u", "v").agg(F.max("sim").alias("sim"), F.min("fresh").alias("fresh"))
+    once = in_tasks(edges.groupBy("u", "v").agg(F.max("sim").alias("sim"), F.min("fresh").alias("fresh")), rows)
     place = W.partitionBy("u").orderBy(F.desc("sim"), "v")
     return _cap(once.withColumn("place", F.row_number().over(place)), "u", caps, k).where("place <= cap").drop("cap")
 
@@ -152,31 +160,34 @@ def _states(graph: DataFrame, caps: DataFrame | None, k: int, near: float) -> Da
         "saturated", (F.col("held") >= F.col("cap")) & (F.col("worst") >= near))
 
 
-def descend(graph: DataFrame, halves: DataFrame, caps: DataFrame | None, k: int, longest: int, near: float) -> DataFrame:
-    """One round over the lists (u, v, sim, fresh, place): the pairs that it meets. They are better than the
-    worst that a list holds, or may be links, but for lists that hold only links at their greatest length."""
-    buckets = 4 * int(graph.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+def descend(graph: DataFrame, halves: DataFrame, caps: DataFrame | None, k: int, longest: int, near: float,
+            rows: int) -> DataFrame:
+    """One round over the lists (u, v, sim, fresh, place), about ``rows`` in all: the pairs that it meets. They are
+    better than the worst that a list holds, or may be links, but for lists that hold only links at their greatest
+    length."""
+    # A worker is handed the lists of one bucket at once: its own lists' rows and about as many reverse ones.
+    buckets = 1 + 4 * rows // TASK_ROWS
     back = W.partitionBy("v").orderBy(F.desc("sim"), "u")
     # Of the lists that a vector stands in, the nearest are its own list's other half.
-    reverse = _cap(graph.withColumn("r", F.row_number().over(back)), "v", caps, k).where("r <= cap")
+    reverse = in_tasks(_cap(graph.withColumn("r", F.row_number().over(back)), "v", caps, k).where("r <= cap"), rows)
     both = graph.select(F.col("u").alias("w"), F.col("v").alias("m"), "fresh").union(
         reverse.select(F.col("v").alias("w"), F.col("u").alias("m"), "fresh"))
-    lists = both.groupBy("w", "m").agg(F.max("fresh").alias("fresh"))
+    lists = in_tasks(both.groupBy("w", "m").agg(F.max("fresh").alias("fresh")), rows)
     bars = _states(graph, caps, k, near).select("u", F.when(
         F.col("saturated") & (F.col("cap") >= longest), F.col("worst")).when(
         F.col("held") >= F.col("cap"), F.least("worst", F.lit(near))).otherwise(F.lit(-2.0)).cast("float").alias("bar"))
-    vectors = halves.join(bars, halves["id"] == bars["u"], "left").select(
-        F.col("id").alias("m"), "half", F.coalesce("bar", F.lit(-2.0).cast("float")).alias("bar"))
-    return lists.join(vectors, "m").withColumn("bucket", F.pmod(F.xxhash64("w"), F.lit(buckets))).groupBy(
-        "bucket").applyInArrow(compare_lists, EDGES)
+    vectors = in_tasks(halves.join(bars, halves["id"] == bars["u"], "left").select(
+        F.col("id").alias("m"), "half", F.coalesce("bar", F.lit(-2.0).cast("float")).alias("bar")), rows)
+    members = in_tasks(lists.join(vectors, "m"), rows).withColumn("bucket", F.pmod(F.xxhash64("w"), F.lit(buckets)))
+    return in_tasks(members.groupBy("bucket").applyInArrow(compare_lists, EDGES), rows)
 
 
-def _merged(graph: DataFrame | None, found: DataFrame, caps: DataFrame | None, k: int) -> DataFrame:
+def _merged(graph: DataFrame | None, found: DataFrame, caps: DataFrame | None, k: int, rows: int) -> DataFrame:
     """The lists with the found pairs."""
     edges = found.select("u", "v", "sim", F.lit(True).alias("fresh"))
     if graph is not None:
         edges = graph.select("u", "v", "sim", "fresh").union(edges)
-    return written(_best(edges, caps, k), "neighbour-lists")
+    return written(in_tasks(_best(edges, caps, k, rows), rows), "neighbour-lists")
 
 
 def exact_cosines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,17 +199,19 @@ def exact_cosines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def _near_pairs(found: DataFrame, threshold: float) -> DataFrame:
-    """The pairs that may be links, each once: a, b."""
+    """The pairs that may be links, each as often as it was found: a, b."""
     return found.where(F.col("sim") >= threshold - SLACK).select(
-        F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")).distinct()
+        F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b"))
 
 
 def _links(close: DataFrame, units: DataFrame, threshold: float) -> DataFrame:
-    """The pairs of at least the threshold, each once: a, b."""
+    """The pairs of at least the threshold, each once: a, b. ``close`` holds each pair once."""
+    rows = close.count()
     a = units.select(F.col("id").alias("a"), F.col("unit").alias("unit_a"))
     b = units.select(F.col("id").alias("b"), F.col("unit").alias("unit_b"))
-    return close.distinct().join(a, "a").join(b, "b").select("a", "b", "unit_a", "unit_b").mapInArrow(
-        exact_cosines, "a bigint, b bigint, cosine double").where(F.col("cosine") >= threshold).select("a", "b").distinct()
+    pairs = in_tasks(in_tasks(close.join(a, "a"), rows).join(b, "b"), rows).select("a", "b", "unit_a", "unit_b")
+    return in_tasks(pairs.mapInArrow(exact_cosines, "a bigint, b bigint, cosine double").where(
+        F.col("cosine") >= threshold).select("a", "b").distinct(), rows)
 
 
 def audit(units: DataFrame, counted: DataFrame, threshold: float, about: int) -> float:
@@ -299,6 +312,7 @@ def count_between(rows: pa.Table, threshold: float) -> pa.Table:
 def link_saturated(full: DataFrame, groups: DataFrame, units: DataFrame, threshold: float, k: int) -> DataFrame:
     """All links among the vectors of ``full``, counted without writing pairs: id, weight, label, in rows
     per vector and pair of blocks."""
+    rows = full.count()
     spark = units.sparkSession
     own = units.join(full, "id").join(groups.withColumnRenamed("node", "id"), "id", "left").select(
         "id", "unit", "copies", "component", F.length("unit").alias("length"))
@@ -309,10 +323,10 @@ def link_saturated(full: DataFrame, groups: DataFrame, units: DataFrame, thresho
     sizes = dealt.groupBy("of", "length").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("parts")).select(
         F.col("of").alias("s_of"), F.col("length").alias("s_length"), "parts")
     part = F.pmod(F.xxhash64("id", "unit"), F.col("parts"))
-    members = written(dealt.join(
+    members = written(in_tasks(dealt.join(
         sizes, dealt["of"].eqNullSafe(sizes["s_of"]) & (dealt["length"] == sizes["s_length"])).select(
         F.concat_ws("/", F.coalesce(F.col("of").cast("string"), F.lit("-")), "length", part.cast("string")).alias("block"),
-        "id", "unit", "copies"), "saturated-vectors")
+        "id", "unit", "copies"), rows * k), "saturated-vectors")
     balls = written(members.groupBy("block").applyInArrow(
         block_ball, "block string, middle binary, radius double"), "vector-blocks")
     chunks = max(1, math.ceil(balls.count() / BLOCK))
@@ -357,8 +371,8 @@ def link_vectors(vectors: DataFrame, threshold: float = 0.9, k: int = 10, tables
     ship_code(vectors.sparkSession)
     own = written(vectors.select(vectors["vec_id"].cast("bigint").alias("vec_id"), "embedding").mapInArrow(
         unit_vectors, "vec_id bigint, unit binary, half binary"), "unit-vectors")
-    units = written(own.where("unit is not null and vec_id is not null").groupBy("unit").agg(
-        F.min("vec_id").alias("id"), F.count("*").alias("copies"), F.first("half").alias("half")),
+    units = written(in_tasks(own.where("unit is not null and vec_id is not null").groupBy("unit").agg(
+        F.min("vec_id").alias("id"), F.count("*").alias("copies"), F.first("half").alias("half")), own.count() * k),
         "distinct-vectors")
     halves = units.select("id", "half")
     copies = units.groupBy("id").agg(F.sum("copies").alias("copies"))
@@ -367,42 +381,45 @@ def link_vectors(vectors: DataFrame, threshold: float = 0.9, k: int = 10, tables
     def in_code_order(some: range, reach: int) -> DataFrame:
         start = halves.mapInArrow(lambda b: sign_codes(b, some), "t int, code binary, id bigint, half binary")
         ordered = start.repartitionByRange(n, "t", "code", "id").sortWithinPartitions("t", "code", "id")
-        return written(ordered.mapInArrow(lambda b: neighbours_in_order(b, reach), EDGES).where("u <> v"),
-                       "neighbour-pairs")
+        return written(in_tasks(ordered, vectors_in_all * k).mapInArrow(
+            lambda b: neighbours_in_order(b, reach), EDGES).where("u <> v"), "neighbour-pairs")
 
     near, used, longest, vectors_in_all = threshold - SLACK, tables, growth * k, units.count()
     # Lists that may be longer than k.
     caps = None
     found = in_code_order(range(tables), k // 2)
-    graph, met = _merged(None, found, caps, k), written(_near_pairs(found, threshold), "near-pairs")
+    graph, met = _merged(None, found, caps, k, vectors_in_all * k), _near_pairs(found, threshold)
     done = 0
     while True:
         changed, places = graph.agg(F.count(F.when(F.col("fresh"), 1)), F.count("*")).first()
+        rows = max(places, vectors_in_all * k)
         if not (done and changed <= settled * places or not places or done == rounds):
-            found = written(descend(graph, halves, caps, k, longest, near), "neighbour-pairs")
+            found = written(descend(graph, halves, caps, k, longest, near, rows), "neighbour-pairs")
             graph = graph.withColumn("fresh", F.lit(False))
             done += 1
         else:
             states = _states(graph, caps, k, near)
             grown = states.where(F.col("saturated") & (F.col("cap") < longest)).select(
                 F.col("u").alias("id"), F.least(F.col("cap") * 2, F.lit(longest)).cast("int").alias("cap"))
-            grown = written(grown, "grown-lists")
+            grown = written(in_tasks(grown, rows), "grown-lists")
             if rounds and not grown.isEmpty():
                 # Once more through the lists of these: what they had no place for is met again.
                 caps = grown if caps is None else written(
-                    caps.join(grown, "id", "left_anti").union(grown), "list-lengths")
+                    in_tasks(caps.join(grown, "id", "left_anti"), rows).union(grown), "list-lengths")
                 graph = graph.drop("fresh").join(
                     grown.select(F.col("id").alias("u"), F.lit(True).alias("fresh")), "u", "left").withColumn(
                     "fresh", F.coalesce("fresh", F.lit(False)))
-                graph = written(graph, "neighbour-lists")
-                found = written(descend(graph, halves, caps, k, longest, near), "neighbour-pairs")
+                graph = written(in_tasks(graph, rows), "neighbour-lists")
+                found = written(descend(graph, halves, caps, k, longest, near, rows), "neighbour-pairs")
                 graph, done = graph.withColumn("fresh", F.lit(False)), 1
             else:
+                met = written(in_tasks(met.distinct(), rows), "near-pairs")
                 links = written(_links(met, units, threshold), "vector-links")
-                full = written(states.where("saturated").select(F.col("u").alias("id")), "saturated-ids")
-                groups = written(components(links, "vector-groups"), "vector-groups")
+                full = written(in_tasks(states.where("saturated").select(F.col("u").alias("id")), rows), "saturated-ids")
+                groups = written(in_tasks(
+                    components(links, "vector-groups", links.count()), vectors_in_all), "vector-groups")
                 within = link_saturated(full, groups, units, threshold, k)
-                counted = written(_counts(links, full, within, copies), "link-counts")
+                counted = written(in_tasks(_counts(links, full, within, copies), rows), "link-counts")
                 recall = audit(units, counted, threshold, audited)
                 if recall >= least_recall or k >= vectors_in_all:
                     break
@@ -411,23 +428,24 @@ def link_vectors(vectors: DataFrame, threshold: float = 0.9, k: int = 10, tables
                 used += tables
                 caps = None if caps is None else caps.where(F.col("cap") > k)
                 graph = graph.withColumn("fresh", F.lit(False))
-        graph = _merged(graph, found, caps, k)
-        met = met.union(written(_near_pairs(found, threshold), "near-pairs"))
+        graph = _merged(graph, found, caps, k, rows)
+        met = met.union(_near_pairs(found, threshold))
     # Groups that saturated vectors join.
     of = lambda node: groups.select(F.col("node").alias(node), F.col("component").alias(f"{node}_group"))
     joined = within.where("id <> label").select("id", "label").distinct().join(of("id"), "id", "left").join(
         of("label"), "label", "left").select(
         F.coalesce("id_group", "id").alias("a"), F.coalesce("label_group", "label").alias("b")).where("a <> b").distinct()
-    larger = components(joined, "joined-groups").toDF("group", "joined")
+    larger = components(joined, "joined-groups", within.count()).toDF("group", "joined")
     nodes = copies.join(counted, "id", "left").join(groups.toDF("id", "component"), "id", "left").withColumn(
         "group", F.coalesce("component", "id")).join(larger, "group", "left").select(
         "id", (F.coalesce("others", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
         F.coalesce("joined", "group").alias("component_id"))
     placed = units.select("unit", "id").join(nodes, "id").select("unit", "n_links", "component_id")
     component = F.coalesce("component_id", "vec_id")
-    return own.withColumn("unit", F.when(F.col("vec_id").isNotNull(), F.col("unit"))).join(
+    result = own.withColumn("unit", F.when(F.col("vec_id").isNotNull(), F.col("unit"))).join(
         placed, "unit", "left").select(
         "vec_id", F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"),
         component.alias("component_id"),
         F.coalesce(F.col("vec_id") == component, F.lit(True)).alias("kept"),
         F.lit(recall).alias("recall"))
+    return in_tasks(result, rows)
