@@ -17,6 +17,7 @@ import public_tokenizers
 import pyarrow as pa
 import pytest
 import tiktoken
+from pyspark.sql import GroupedData
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -159,6 +160,32 @@ def test_ngram_join_of_a_large_group(spark, monkeypatch):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == brute_links(texts, 3, 90)
 
 
+def test_ngram_join_sends_a_set_to_few_units(spark, monkeypatch):
+    """Sets that only a chain of candidates leads between aren't brought together: each is sent to few units."""
+    monkeypatch.setattr(ngram_join, "UNIT", 20)
+    sent, apply = [], GroupedData.applyInArrow
+    monkeypatch.setattr(GroupedData, "applyInArrow", lambda self, *a: sent.append(self._df.count()) or apply(self, *a))
+    halves = [prose(1000 + i, 50) for i in range(201)]
+    texts = [(i, f"{a} {b}") for i, (a, b) in enumerate(zip(halves[:-1], halves[1:], strict=True))]
+    rows = ngram_join.link_documents(spark.createDataFrame(texts, "doc_id long, text string"), 3, 90).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == brute_links(texts, 3, 90)
+    assert sent and 200 <= sent[0] <= 3 * 200
+
+
+@pytest.mark.parametrize(("unit", "percent"), [(400, 80), (3, 80), (3, 50)])
+def test_ngram_join_of_sizes_in_several_classes(spark, monkeypatch, unit, percent):
+    """Copies shortened step by step, and such that others lie between, in homes that are dealt out or not."""
+    monkeypatch.setattr(ngram_join, "UNIT", unit)
+    draw, texts = random.Random(7), []
+    for k in range(5):
+        words = prose(2000 + k, 70).split()
+        for cut in range(0, 40, 2):
+            texts.append((len(texts) * 7 % 1000, " ".join(
+                w if draw.random() > 0.01 else f"w{draw.random()}" for w in words[:70 - cut])))
+    rows = ngram_join.link_documents(spark.createDataFrame(texts, "doc_id long, text string"), 2, percent).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == brute_links(texts, 2, percent)
+
+
 @pytest.mark.parametrize("seed", range(6))
 def test_trie_search(seed):
     draw = random.Random(seed)

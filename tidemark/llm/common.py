@@ -24,6 +24,7 @@ _BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 # The same in bytes, for rows that hold whole blocks of texts.
 BATCH_BYTES = 8 << 20
 _BYTES_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+_CLEANUP_SETTING = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def ship_code(spark: SparkSession) -> None:
@@ -80,6 +81,21 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def written_alone(df: DataFrame, name: str) -> DataFrame:
+    """The same, and the shuffle files that it took go as soon as it is written: else they stay on the
+    executors' disks until the driver happens to collect its garbage."""
+    conf = df.sparkSession.conf
+    before = conf.get(_CLEANUP_SETTING, None)
+    conf.set(_CLEANUP_SETTING, "true")
+    try:
+        return written(df, name)
+    finally:
+        if before is None:
+            conf.unset(_CLEANUP_SETTING)
+        else:
+            conf.set(_CLEANUP_SETTING, before)
+
+
 def running_totals(
     df: DataFrame, order: Sequence[str], measures: dict[str, Column], part: str, name: str
 ) -> DataFrame:

@@ -1,9 +1,11 @@
 """Near-duplicate documents by a prefix-tree join of their word n-gram sets.
 
 Sets are ordered by one global order of n-grams, rare ones first, and two similar sets share one of
-their first ones: that brings together which sets could be similar. The sets of such a group go into
-a prefix tree, which is searched with each of them (``trie``). Groups too large for one task are
-dealt out by size and hash, and every two parts that could hold a pair are joined.
+their first ones: a cell is an n-gram's sets of two neighbouring classes of size. A set lives in one
+home, its cells' smallest set, and visits the homes of those it shares a cell with, and no others: what
+leads from cell to cell does not bring sets together. A home's sets go into a prefix tree, which is searched
+with each of them and each visitor (``trie``). Homes too large for one task are dealt out by hash, and
+every two parts that could hold a pair are joined.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import releasing, texts, written
+from tidemark.llm.common import releasing, texts, written_alone
 from tidemark.llm.components import components
 from tidemark.llm.trie import linked
 from tidemark.llm.words import CHUNK, blocks, power_tables
@@ -114,9 +116,11 @@ def summarize(batches: Iterator[pa.RecordBatch], width: int, percent: int) -> It
 
 
 def candidate_cells(summary: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
-    """rep and token: the first n-grams of each distinct set, in the order rare before frequent, that
-    another set may be similar by. N-grams above the cut aren't counted and come last.
+    """rep, size_class, token and band: the first n-grams of each distinct set, in the order rare before
+    frequent, that another set may be similar by. N-grams above the cut aren't counted and come last.
 
+    Similar sets have sizes in one class or two neighbouring ones. A band is a class with the class below
+    it, so each set is in two bands, and two similar sets meet in the band of the larger one.
     If two sets' first common n-gram has i and j others before it, i + j are not common; so a set
     leaves an n-gram's cell if its place and the cell's earliest make up more than it may lack.
     """
@@ -135,51 +139,67 @@ def candidate_cells(summary: DataFrame, reps: DataFrame, percent: int) -> DataFr
             s["token"].alias("token"), (F.greatest(alone, F.lit(0)) + i).alias("place"))),
         F.transform(F.array_sort("rest"), lambda t, i: F.struct(
             t.alias("token"), (F.col("eligible") + i).alias("place"))))
-    cells = written(per_document.withColumnRenamed("doc_id", "rep").join(reps, "rep").select(
-        "rep", (F.col("n") * (100 - percent) / percent).alias("spare"), F.explode(placed).alias("p"))
-        .select("rep", "spare", "p.token", "p.place"), "ngram-cells")
-    earliest = cells.groupBy("token").agg(F.min("place").alias("earliest"))
-    return cells.join(earliest, "token").where("place + earliest <= spare + 0.000001").select("rep", "token")
+    cells = written_alone(per_document.withColumnRenamed("doc_id", "rep").join(reps, "rep").select(
+        "rep", _size_class(percent).alias("size_class"), (F.col("n") * (100 - percent) / percent).alias("spare"),
+        F.explode(placed).alias("p")).select("rep", "size_class", "spare", "p.token", "p.place"), "ngram-cells")
+    cells = cells.withColumn("band", F.explode(F.array("size_class", F.col("size_class") + 1)))
+    earliest = cells.groupBy("token", "band").agg(F.min("place").alias("earliest"))
+    return cells.join(earliest, ["token", "band"]).where("place + earliest <= spare + 0.000001").select(
+        "rep", "size_class", "token", "band")
 
 
-def _units(members: DataFrame, percent: int) -> DataFrame:
-    """Adds unit (a task's work) and role: 0 both searched and indexed, 1 indexed, 2 searched.
+def _size_class(percent: int) -> Column:
+    # Sizes that are powers of the step are kept off the classes' edges, where rounding would decide.
+    return F.floor(F.log("n") / math.log(100 / percent) + 1e-9).cast("int")
 
-    Similar sets have sizes in one or two neighbouring classes. A large group's classes are split by
-    hash, and each two parts of a class or of neighbouring classes are a unit.
-    """
-    step = math.log(100 / percent)
-    sized = members.withColumn("size_class", F.floor(F.log("n") / step).cast("int"))
-    group = sized.groupBy("group").agg(F.count("*").alias("members"))
-    parts = sized.groupBy("group", "size_class").agg(F.ceil(F.count("*") / UNIT).cast("int").alias("parts"))
 
-    def beside(by: int, name: str) -> DataFrame:
-        return parts.select("group", (F.col("size_class") + by).alias("size_class"), F.col("parts").alias(name))
+def _visits(cells: DataFrame) -> DataFrame:
+    """rep, size_class, band, home and resident: which sets are searched for in which band's homes, and which
+    of them live there. Any two sets of a cell of which one is of the band's own class meet in one home.
 
-    own = F.pmod(F.xxhash64("rep"), F.col("parts")).cast("int")
+    A set's home is the smallest of the sets of its class in any of its cells: large cells have small
+    ones, so a cell's sets have few homes. Of two sets of a class the one with the smaller home visits the other.
+    """
+    own = F.col("size_class") == F.col("band")
+    hubs = cells.groupBy("token", "band").agg(F.min(F.when(own, F.col("rep"))).alias("hub"), F.count("*").alias("m"))
+    held = written_alone(cells.join(hubs.where("hub is not null and m > 1"), ["token", "band"]).drop("m"), "ngram-cells")
+    homes = written_alone(held.where(own).groupBy("rep", "size_class").agg(F.min("hub").alias("home")), "ngram-homes")
+    cell_homes = held.where(own).join(homes, ["rep", "size_class"]).select("token", "band", "home").distinct()
+    visits = held.select("rep", "size_class", "token", "band").join(cell_homes, ["token", "band"]).select(
+        "rep", "size_class", "band", "home").distinct()
+    lives = homes.withColumnRenamed("home", "lives")
+    return visits.join(lives, ["rep", "size_class"], "left").where(~own | (F.col("home") >= F.col("lives"))).select(
+        "rep", "size_class", "band", "home", (own & (F.col("home") == F.col("lives"))).alias("resident"))
+
+
+def _units(members: DataFrame) -> DataFrame:
+    """Adds part (with the home: a task's work) and role: 0 both searched and indexed, 1 indexed, 2 searched.
+
+    A large home's residents and its visitors are split by hash, and each two parts of residents, and each
+    part of visitors with each of residents, are a unit.
+    """
+    home = ["band", "home"]
+    parts = members.groupBy(*home).agg(
+        F.count("*").alias("members"),
+        F.ceil(F.sum(F.col("resident").cast("int")) / UNIT).cast("int").alias("lived"),
+        F.ceil(F.sum((~F.col("resident")).cast("int")) / UNIT).cast("int").alias("visited"))
+    own = F.pmod(F.xxhash64("rep"), F.when(F.col("resident"), F.col("lived")).otherwise(F.col("visited"))).cast("int")
     each = lambda n: F.when(F.col(n) > 0, F.sequence(F.lit(0), F.col(n) - 1)).otherwise(F.array().cast("array<int>"))
 
-    def unit(c: Column, i: Column, d: Column, j: Column, role: Column) -> Column:
-        return F.struct(F.concat_ws("/", *(x.cast("string") for x in (c, i, d, j))).alias("part"),
+    def unit(kind: str, i: Column, j: Column, role: Column) -> Column:
+        return F.struct(F.concat_ws("/", F.lit(kind), i.cast("string"), j.cast("string")).alias("part"),
                         role.cast("int").alias("role"))
 
-    c = F.col("size_class")
-    large = F.concat(
-        F.transform(each("parts"), lambda j: unit(
-            c, F.least("part", j), c, F.greatest("part", j),
-            F.when(F.col("part") == j, 0).when(F.col("part") < j, 1).otherwise(2))),
-        F.transform(each("above"), lambda j: unit(c, F.col("part"), c + 1, j, F.lit(1))),
-        F.transform(each("below"), lambda j: unit(c - 1, j, c, F.col("part"), F.lit(2))))
-    small = F.array(F.struct(F.lit("").alias("part"), F.lit(0).alias("role")))
-    placed = (
-        sized.join(group, "group").join(parts, ["group", "size_class"])
-        .join(beside(-1, "above"), ["group", "size_class"], "left")
-        .join(beside(1, "below"), ["group", "size_class"], "left")
-        .withColumn("part", own).fillna(0, ["above", "below"])
-        .select("rep", "set_id", "group",
-                F.explode(F.when(F.col("members") <= UNIT, small).otherwise(large)).alias("u"))
-    )
-    return placed.select("rep", "set_id", "group", "u.part", "u.role")
+    p = F.col("own")
+    resident = F.concat(
+        F.transform(each("lived"), lambda j: unit(
+            "", F.least(p, j), F.greatest(p, j), F.when(p == j, 0).when(p < j, 1).otherwise(2))),
+        F.transform(each("visited"), lambda j: unit("v", j, p, F.lit(1))))
+    visitor = F.transform(each("lived"), lambda j: unit("v", p, j, F.lit(2)))
+    small = F.array(F.struct(F.lit("").alias("part"), F.when(F.col("resident"), 0).otherwise(2).alias("role")))
+    return members.join(parts, home).withColumn("own", own).select("rep", "set_id", *home, F.explode(
+        F.when(F.col("members") <= UNIT, small).when(F.col("resident"), resident).otherwise(visitor)).alias("u")
+        ).select("rep", "set_id", *home, "u.part", "u.role")
 
 
 def _whole_sets(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
@@ -211,26 +231,24 @@ def link_documents(docs: DataFrame, width: int = 5, percent: int = 80, few: int
     gives an empty result. ``few``: up to so many candidates, their ids (16 bytes each) are broadcast
     to the scan that makes their sets; beyond it both sides are shuffled.
     """
-    summary = written(
+    summary = written_alone(
         texts(docs).mapInArrow(lambda batches: releasing(summarize(batches, width, percent)), SETS), "ngram-sets")
-    known = written(summary.where("n > 0 and doc_id is not null").groupBy("set_id").agg(
+    known = written_alone(summary.where("n > 0 and doc_id is not null").groupBy("set_id").agg(
         F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("eligible").alias("eligible")),
         "ngram-classes")
-    cells = written(candidate_cells(summary, known.select("rep", "n", "eligible"), percent), "ngram-cells")
-    hubs = cells.groupBy("token").agg(F.min("rep").alias("hub"), F.count("*").alias("m")).where("m > 1")
-    pairs = cells.join(hubs, "token").select(F.col("rep").alias("a"), F.col("hub").alias("b"))
-    groups = components(pairs, "ngram-groups").withColumnsRenamed({"node": "rep", "component": "group"})
-    members = written(known.drop("eligible").join(groups, "rep"), "ngram-members")
-    units = _units(members, percent)
+    cells = candidate_cells(summary, known.select("rep", "n", "eligible"), percent)
+    members = written_alone(known.select("rep", "set_id", _size_class(percent).alias("size_class")).join(
+        _visits(cells), ["rep", "size_class"]), "ngram-members")
+    units = _units(members)
     ids = members.select(F.col("rep").alias("doc_id")).distinct()
-    if members.count() <= few:
+    if ids.count() <= few:
         ids = F.broadcast(ids)
     grams = texts(docs).join(ids, "doc_id", "left_semi").mapInArrow(
         lambda batches: releasing(_whole_sets(batches, width)), "doc_id bigint, set_id binary, grams binary")
     # Copies have gone, but for rows repeated with their id.
     grams = grams.withColumnRenamed("doc_id", "rep").join(units, ["rep", "set_id"]).dropDuplicates(
-        ["rep", "set_id", "group", "part"])
-    links = grams.select("group", "part", "role", "rep", "grams").groupBy("group", "part").applyInArrow(
+        ["rep", "set_id", "band", "home", "part"])
+    links = grams.select("band", "home", "part", "role", "rep", "grams").groupBy("band", "home", "part").applyInArrow(
         lambda unit: _search(unit, percent), "a bigint, b bigint")
     found = components(links, "ngram-links").withColumnsRenamed({"node": "rep"})
     classes = known.join(found, "rep", "left").select(
