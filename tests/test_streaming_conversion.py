@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tests.feeds import BASE_MS, at, order_stream, order_table, rate_stream, rate_table, rows, run, timed
 from tidemark.plans import conversion as batch
+from tidemark.plans import registry
 from tidemark.streaming import conversion as stream
 from tidemark.streaming import ranking, sinks, watermarks
 
@@ -103,6 +104,21 @@ def test_sides_meet_as_lists_and_the_last_window_comes_out(spark, tmp_path):
     assert joined and max(joined) < 600
 
 
+def test_the_streamed_join_writes_lists_and_not_pairs(spark, tmp_path):
+    """Its files follow from the rows; the pairs, 300 x 200 of one window, come out whole, with copies and nulls."""
+    events = spark.range(500).select(
+        F.col("id").alias("event_id"), F.lit("2024-01-01 05:10:00").cast("timestamp_ntz").alias("ts"),
+        F.lit(4).cast("bigint").alias("user_id"), F.when(F.col("id") < 300, "purchase").otherwise("click").alias("event_type"),
+        F.when(F.col("id") % 50 != 0, (F.col("id") % 90).cast("double")).alias("value"),
+        F.when(F.col("id") % 40 != 0, F.concat(F.lit('{"k": '), F.col("id") % 70, F.lit("}"))).alias("props"))
+    events.write.parquet(str(tmp_path / "events.parquet"))
+    got = registry.QUERIES["stream_tumbling_join"](spark, str(tmp_path))
+    want = registry.QUERIES["tumbling_window_join"](spark, str(tmp_path))
+    assert got.dtypes == want.dtypes and got.count() == 60_000
+    assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
+    assert spark.read.parquet(*got.inputFiles()).count() <= 16 * 16
+
+
 def test_stream_ranking_equals_batch(spark, tmp_path):
     orders, rates = streams(spark, tmp_path, ORDERS + CLOSING_ORDERS, RATES + CLOSING_RATES)
     query = run(ranking.ranked(

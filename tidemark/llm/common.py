@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidemark.session import checkpoint_root
+from tidemark.session import checkpoint_root, shuffles_dropped
 
 
 _shipped: set[str] = set()
@@ -24,7 +24,6 @@ _BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
 # The same in bytes, for rows that hold whole blocks of texts.
 BATCH_BYTES = 8 << 20
 _BYTES_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
-_CLEANUP_SETTING = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def ship_code(spark: SparkSession) -> None:
@@ -82,18 +81,9 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 
 def written_alone(df: DataFrame, name: str) -> DataFrame:
-    """The same, and the shuffle files that it took go as soon as it is written: else they stay on the
-    executors' disks until the driver happens to collect its garbage."""
-    conf = df.sparkSession.conf
-    before = conf.get(_CLEANUP_SETTING, None)
-    conf.set(_CLEANUP_SETTING, "true")
-    try:
+    """The same, and the shuffle files that it took go as soon as it is written."""
+    with shuffles_dropped(df.sparkSession):
         return written(df, name)
-    finally:
-        if before is None:
-            conf.unset(_CLEANUP_SETTING)
-        else:
-            conf.set(_CLEANUP_SETTING, before)
 
 
 def running_totals(

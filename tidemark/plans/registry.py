@@ -20,14 +20,14 @@ from tidemark.operators.windows import session_count, tumbling_count
 from tidemark.plans.conversion import converted_orders, rank_sales, sales_ranking, sales_report, sales_sums
 from tidemark.plans.hot_items import hot_items, hot_items_report, item_views, page_views, rank_items
 from tidemark.plans.sessions import joined_message, user_self_join, user_session_counts, user_sessions
-from tidemark.session import checkpoint_location, configure, configure_state_store
+from tidemark.session import checkpoint_location, configure, configure_state_store, shuffles_dropped
 from tidemark.sources.feeds import csv_records
 from tidemark.sources.schemas import BEHAVIOR
 from tidemark.sources.tables import behavior_feed, event_stream, events, orders_feed, rate_feed
 from tidemark.streaming import conversion as streaming_conversion
 from tidemark.streaming import hot_items as streaming_hot_items
 from tidemark.streaming.ranking import ranked
-from tidemark.streaming.sinks import batch_files, catch_up, to_files
+from tidemark.streaming.sinks import REPEATED_LISTS, batch_files, catch_up, to_files
 from tidemark.streaming.watermarks import ascending
 from tidemark.streaming.windows import self_session_counts
 
@@ -384,10 +384,15 @@ def _(spark, sf_dir):
 @query("stream_tumbling_join", f"""WITH {_PAIRS}
   SELECT ts_ms, category, subcat, currency, amount, rate_ts_ms, rate_currency, rate, res FROM pairs""")
 def _(spark, sf_dir):
+    """Files hold the lists that meet, which grow with the rows; their pairs, which grow with the square of a
+    window's rows, are made as they are read."""
     ev = event_stream(configure_state_store(spark), sf_dir)
-    return catch_up(spark, "stream_tumbling_join", lambda run, path, until_end: to_files(
-        streaming_conversion.converted_orders(until_end(orders_feed(ev)), until_end(rate_feed(ev)), JOIN_WIDTH)
-        .drop("w", "ts"), run, path))
+    with shuffles_dropped(spark):
+        result = catch_up(spark, "stream_tumbling_join", lambda run, path, until_end: to_files(
+            streaming_conversion.converted_orders(
+                until_end(orders_feed(ev)), until_end(rate_feed(ev)), JOIN_WIDTH, paired=False).drop("w"),
+            run, path).options(**REPEATED_LISTS))
+    return streaming_conversion.pairs_of(result)
 
 
 @query("stream_session_counts", _SESSION_COUNTS)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.durations import Duration, positive_micros, text
@@ -14,7 +14,7 @@ from tidemark.streaming.windows import window_agg, window_end
 def converted_orders(
     orders: DataFrame, rates: DataFrame, width: Duration = JOIN_WINDOW,
     order_delay: Duration = ASCENDING_DELAY, rate_delay: Duration = RATE_DELAY, ts: str = "ts",
-    cells: tuple[int, int] = (4, 4), lots: int = 16,
+    cells: tuple[int, int] = (4, 4), lots: int = 16, paired: bool = True,
 ) -> DataFrame:
     """``w, ts`` and the converted fields, one row per (order, rate) pair of a currency's window.
 
@@ -26,37 +26,60 @@ def converted_orders(
     gathered in ``lots`` lists, dealt the same way, and the lists meet once the window has closed: so state is read
     once per two lists and not once per pair, and pairs are made from lists in memory. What is only to be
     summed needs no pairs: see ``sales_sums``.
+
+    If not ``paired``, a row is two lists that meet (``w, currency, orders, rates``), of which ``pairs_of`` makes the
+    pairs, without ``ts``. Pairs grow with the square of a window's rows, so files of them do; files of lists don't. Then
+    ``lots`` lists are all that a window's side has. They are gathered before they are dealt to cells, and only
+    lists of rates are copied, to every row of cells: state holds an order once, and a rate once until its window closes.
     """
     down, across = cells
     lhs = (
         with_delay(orders, ts, order_delay).where(keeping_the_clock(F.col("currency").isNotNull()))
         .withColumn("w", F.window(ts, text(width)))
         .select("w", plain_time(ts).alias(ts), "ts_ms", "category", "subcat", "currency", "amount")
-        .withColumn("cell_row", F.pmod(F.xxhash64(ts, "ts_ms", "category", "subcat", "amount"), F.lit(down)).cast("int"))
-        .withColumn("cell_column", F.explode(F.sequence(F.lit(0), F.lit(across - 1))))
     )
     rhs = (
         with_delay(rates, ts, rate_delay).where(keeping_the_clock(F.col("currency").isNotNull()))
         .withColumn("w", F.window(ts, text(width)))
-        .select("w", F.col("ts_ms").alias("rate_ts_ms"), "currency",
-                F.col("currency").alias("rate_currency"), "rate")
-        .withColumn("cell_column", F.pmod(F.xxhash64("rate_ts_ms", "rate"), F.lit(across)).cast("int"))
-        .withColumn("cell_row", F.explode(F.sequence(F.lit(0), F.lit(down - 1))))
+        .select("w", F.col("ts_ms").alias("rate_ts_ms"), "currency", "rate")
     )
-    cell = ["w", "currency", "cell_row", "cell_column"]
+    window = ["w", "currency"]
+
+    def fields(side: DataFrame) -> list[str]:
+        return [c for c in side.columns if c not in (*window, "cell_row", "cell_column")]
+
+    def place(side: DataFrame, cells: int) -> Column:
+        return F.pmod(F.xxhash64(*fields(side)), F.lit(cells)).cast("int")
+
+    def every(cells: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(cells - 1)))
+
+    def lists(side: DataFrame, name: str, keys: list[str]) -> DataFrame:
+        lot = F.pmod(F.xxhash64(F.lit(name), *fields(side)), F.lit(lots)).cast("int").alias("lot")
+        return side.groupBy(*keys, lot).agg(F.collect_list(F.struct(*fields(side))).alias(name))
+
+    if paired:
+        cell = [*window, "cell_row", "cell_column"]
+        lhs = lhs.withColumn("cell_row", place(lhs, down)).withColumn("cell_column", every(across))
+        rhs = rhs.withColumn("cell_column", place(rhs, across)).withColumn("cell_row", every(down))
+        lhs, rhs = lists(lhs, "orders", cell), lists(rhs, "rates", cell)
+    else:
+        cell = [*window, "cell_row"]
+        lhs = lists(lhs.drop(ts), "orders", window).withColumn("cell_row", F.col("lot") % down)
+        rhs = lists(rhs, "rates", window).withColumn("cell_row", every(down))
+    met = lhs.drop("lot").join(rhs.drop("lot"), cell, "inner").select(*window, "orders", "rates")
+    return pairs_of(met, ts) if paired else met
 
-    def lists(side: DataFrame, name: str) -> DataFrame:
-        fields = [c for c in side.columns if c not in cell]
-        lot = F.pmod(F.xxhash64(F.lit(name), *fields), F.lit(lots)).cast("int").alias(f"{name}_lot")
-        return side.groupBy(*cell, lot).agg(F.collect_list(F.struct(*fields)).alias(name)).drop(f"{name}_lot")
 
-    pairs = (
-        lists(lhs, "orders").join(lists(rhs, "rates"), cell, "inner")
-        .withColumn("order", F.explode("orders")).withColumn("rated", F.explode("rates"))
-        .select("w", "currency", "order.*", "rated.*")
+def pairs_of(lists: DataFrame, *more: str) -> DataFrame:
+    """The converted fields, and ``more`` of the orders', of every pair of an order and a rate in lists of one row
+    (``converted_orders(..., paired=False)``), with ``w`` if it is there."""
+    kept = [c for c in lists.columns if c == "w"]
+    return (
+        lists.withColumn("order", F.explode("orders")).withColumn("rated", F.explode("rates"))
+        .select(*kept, "currency", "order.*", "rated.*").withColumn("rate_currency", F.col("currency"))
+        .withColumn("res", F.col("rate").cast("bigint") * F.col("amount")).select(*kept, *more, *CONVERTED)
     )
-    res = F.col("rate").cast("bigint") * F.col("amount")
-    return pairs.withColumn("res", res).select("w", ts, *CONVERTED)
 
 
 def sales_sums(

@@ -15,6 +15,14 @@ from tidemark.session import checkpoint_location, state_partitions
 # After any event time, and before the last time that a window could end.
 END_OF_TIME = "9999-01-01 00:00:00+00:00"
 
+# For Parquet files whose rows repeat whole lists of the rows before: as written out, copies are near each other
+# and take next to nothing once compressed, while places in a dictionary would be cut at odd bits. Row groups
+# are small, since a reader holds the lists of up to one.
+REPEATED_LISTS = {
+    "compression": "zstd", "parquet.enable.dictionary": "false", "parquet.block.size": str(16 << 20),
+    "parquet.page.size.row.check.min": "10",
+}
+
 # Writes one micro-batch. It may be called again for the same id after a failure.
 BatchWrite = Callable[[DataFrame, int], None]
 
