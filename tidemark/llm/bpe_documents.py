@@ -25,7 +25,7 @@ from tidemark.llm.words import Words, blocks, gather, split_words
 SENT_BYTES = 64
 HELD = 300_000
 IDS = "doc_id bigint, ids array<int>"
-DIGESTS = "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string"
+DIGESTS = "doc_id bigint, n_tokens bigint, ids_digest string, decoded_digest string"
 BLOCK = "doc_ids array<bigint>, cuts binary, codes binary, rare array<string>"
 
 
@@ -184,7 +184,7 @@ def to_ids(batches: Iterator[pa.RecordBatch], known: Known) -> Iterator[pa.Recor
 
 class Digests:
     """Of rows with ids: how many there are, and digests of the ids and of what they decode to. A row without
-    a list of ids has none of them."""
+    a list of ids has none of them. ``by_method`` names the digests for good."""
 
     schema = DIGESTS
 
@@ -206,7 +206,7 @@ class Digests:
                  # Without the comma behind the last id.
                  pa.array(_sha256(self.numerals.take(flat), cuts, 1), pa.string(), mask=missing),
                  pa.array(_sha256(self.pieces.take(flat), cuts, 0), pa.string(), mask=missing)],
-                names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+                names=["doc_id", "n_tokens", "ids_digest", "decoded_digest"])
 
 
 def _sha256(parts: pa.Array, cuts: np.ndarray, less: int) -> np.ndarray:
@@ -243,4 +243,9 @@ def encode_documents(
 
 def digest_encoding(encoded: DataFrame, ranks_path: str) -> DataFrame:
     """Digests of the ids and of what they decode to."""
-    return encoded.select("doc_id", "ids").mapInArrow(Digests(read_ranks(ranks_path)), DIGESTS)
+    return by_method(encoded.select("doc_id", "ids").mapInArrow(Digests(read_ranks(ranks_path)), DIGESTS))
+
+
+def by_method(digests: DataFrame) -> DataFrame:
+    """Digests named by how they are made."""
+    return digests.withColumnsRenamed({"ids_digest": "ids_sha256", "decoded_digest": "decoded_sha256"})

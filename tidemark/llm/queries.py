@@ -48,8 +48,8 @@ def op8_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    return bpe_documents.encode_documents(
-        table(spark, sf_dir, "documents"), ranks, then=bpe_documents.Digests(bpe.read_ranks(ranks)))
+    return bpe_documents.by_method(bpe_documents.encode_documents(
+        table(spark, sf_dir, "documents"), ranks, then=bpe_documents.Digests(bpe.read_ranks(ranks))))
 
 
 def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
